@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import packing
+from seriesloom.llm import langid, packing, pii, simhash, toxicity
+from seriesloom.llm.common import id_remainder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,8 +22,45 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learnt from three quarters of the ids."""
+    docs, held_out = _read(spark, sf_dir, "documents"), id_remainder("doc_id", 4) == 2
+    found = langid.identify(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    groups = simhash.group(_read(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every text, learnt from the labels of four fifths of the ids."""
+    docs, held_out = _read(spark, sf_dir, "documents"), id_remainder("doc_id", 5) == 0
+    model = toxicity.train(docs, _read(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _equals(value: str) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
+def _listed(column: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(column, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: counts and digest of the base spans, and all spans."""
+    found = pii.find(_read(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda x: x["kind"])
+    counts = [F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing,)}
+    return {f.__name__: f for f in (op1_packing, op3_language_id, op6_simhash, op9_toxicity, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
