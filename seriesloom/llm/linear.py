@@ -69,11 +69,13 @@ def fit(examples: DataFrame, shape: Shape, classes: int, scale: np.ndarray) -> M
     """The averaged model of all shards; ``scale`` multiplies each bucket's share."""
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for label, ids, shares in zip(frame["label"], frame["ids"], frame["shares"], strict=True):
-            i = np.frombuffer(ids, "<u4").astype(np.int64)
-            rows.append((i, np.frombuffer(shares, "<f4") * scale[i], int(label)))
-        w, bias = follow_regularised_leader(rows, classes, shape.buckets, alpha=shape.alpha, beta=shape.beta, l1=shape.l1, l2=shape.l2, epochs=shape.epochs)
+        labels, ids, shares = frame["label"].to_numpy(), frame["ids"].to_list(), frame["shares"].to_list()
+
+        def example(k: int) -> tuple[np.ndarray, np.ndarray, int]:
+            i = np.frombuffer(ids[k], "<u4").astype(np.int64)
+            return i, np.frombuffer(shares[k], "<f4") * scale[i], int(labels[k])
+
+        w, bias = follow_regularised_leader(example, len(ids), classes, shape.buckets, alpha=shape.alpha, beta=shape.beta, l1=shape.l1, l2=shape.l2, epochs=shape.epochs)
         used = np.flatnonzero(np.any(w != 0, axis=1))
         out = [(-1, bias.astype("<f8").tobytes())] + [(int(k), w[k].astype("<f8").tobytes()) for k in used]
         return pd.DataFrame(out, columns=["bucket", "w"])

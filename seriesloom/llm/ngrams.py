@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -49,11 +49,11 @@ def mean_weight(text: str, orders: tuple[int, ...], bits: int, weights: np.ndarr
 
 
 def follow_regularised_leader(
-    examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int, features: int, *, alpha: float, beta: float, l1: float, l2: float, epochs: int
+    example: Callable[[int], tuple[np.ndarray, np.ndarray, int]], rows: int, classes: int, features: int, *, alpha: float, beta: float, l1: float, l2: float, epochs: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression by per-coordinate FTRL-proximal with elastic-net penalties.
 
-    ``examples``: (feature ids, values, class).  Returns weights (features x
+    ``example``: (feature ids, values, class) of a row number.  Returns weights (features x
     classes) and biases; the biases aren't penalised.
     """
     z = np.zeros((features, classes))
@@ -63,11 +63,11 @@ def follow_regularised_leader(
     def solve(zi: np.ndarray, ni: np.ndarray) -> np.ndarray:
         return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2))
 
-    order = np.arange(len(examples))
+    order = np.arange(rows)
     for epoch in range(epochs):
         np.random.default_rng(epoch).shuffle(order)
         for k in order:
-            ids, values, label = examples[k]
+            ids, values, label = example(int(k))
             zi, ni = z[ids], n[ids]
             w = solve(zi, ni)
             logits = values @ w + bias

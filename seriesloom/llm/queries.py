@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import langid, packing, pii, simhash, toxicity
+from seriesloom.llm import decontam, langid, packing, pii, simhash, toxicity
 from seriesloom.llm.common import id_remainder
 
 
@@ -35,6 +35,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark window found in a document."""
+    return decontam.find(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every text, learnt from the labels of four fifths of the ids."""
     docs, held_out = _read(spark, sf_dir, "documents"), id_remainder("doc_id", 5) == 0
@@ -60,7 +65,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_language_id, op6_simhash, op9_toxicity, op10_pii)}
+    return {f.__name__: f for f in (op1_packing, op3_language_id, op6_simhash, op8_decontamination, op9_toxicity, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from seriesloom.llm import linear
 from seriesloom.llm.common import sample_below, slices
 
-SHAPE = linear.Shape(orders=(2, 3, 4, 5), bits=17, shards=6, epochs=4, alpha=0.5, beta=1.0, l1=0.0, l2=0.01)
-GAIN = 20.0
+SHAPE = linear.Shape(orders=(3, 4, 5), bits=18, shards=8, epochs=6, alpha=0.3, beta=0.01, l1=0.0, l2=0.0)
+#: Shares are small; this constant brings the learner's steps to a useful size.
+GAIN = 100.0
 
 
 def _log_count_ratios(examples: DataFrame, shape: linear.Shape, smoothing: float) -> np.ndarray:
@@ -47,7 +48,7 @@ def _log_count_ratios(examples: DataFrame, shape: linear.Shape, smoothing: float
     return np.log(sums[1] / sums[1].sum()) - np.log(sums[0] / sums[0].sum())
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 12000, smoothing: float = 0.02, shape: linear.Shape = SHAPE) -> linear.Model:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 16000, smoothing: float = 0.001, shape: linear.Shape = SHAPE) -> linear.Model:
     """Learn from the documents that ``labels`` (id, label) marks."""
     marked = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max((F.col(label_col) != 0).cast("int")).alias("label"))
     chosen = sample_below(id_col, sample_rows, marked.count())
