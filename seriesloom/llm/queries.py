@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontam, langid, packing, pii, simhash, toxicity
+from seriesloom.llm import decontam, langid, lm, packing, pii, simhash, toxicity
 from seriesloom.llm.common import id_remainder
 
 
@@ -35,6 +35,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every text by the add-0.1 word model and by the subword lattice, learnt from nine tenths of the ids."""
+    docs, held_out = _read(spark, sf_dir, "documents"), id_remainder("doc_id", 10) == 0
+    scored = lm.score(docs, ~held_out, public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark window found in a document."""
     return decontam.find(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -65,7 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_language_id, op6_simhash, op8_decontamination, op9_toxicity, op10_pii)}
+    return {f.__name__: f for f in (op1_packing, op3_language_id, op6_simhash, op7_lattice_lm, op8_decontamination, op9_toxicity, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
