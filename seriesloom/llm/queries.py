@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontam, langid, lm, packing, pii, simhash, toxicity
+from seriesloom.llm import chat, decontam, embdedup, langid, lm, packing, pii, simhash, subdedup, toxicity
 from seriesloom.llm.common import id_remainder
 
 
@@ -22,6 +23,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back, and one more made of control strings."""
+    own = [(-7, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
+    more = spark.createDataFrame(own, "conv_id long, turn long, role string, text string")
+    given = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(given.unionByName(more)))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every text, learnt from three quarters of the ids."""
     docs, held_out = _read(spark, sf_dir, "documents"), id_remainder("doc_id", 4) == 2
@@ -29,6 +38,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages to remove as repeats, with their offsets."""
+    return subdedup.repeated(_read(spark, sf_dir, "documents"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    return embdedup.group(_read(spark, sf_dir, "embeddings")).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     groups = simhash.group(_read(spark, sf_dir, "documents"))
@@ -71,8 +90,26 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline at the top of the repository, from documents to packed sequences."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_language_id, op6_simhash, op7_lattice_lm, op8_decontamination, op9_toxicity, op10_pii)}
+    found = (
+        op1_packing,
+        op2_chat,
+        op3_language_id,
+        op4_substring_dedup,
+        op5_embedding_dedup,
+        op6_simhash,
+        op7_lattice_lm,
+        op8_decontamination,
+        op9_toxicity,
+        op10_pii,
+        pipeline,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
