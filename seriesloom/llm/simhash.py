@@ -157,12 +157,12 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # A group's own id names it, so no lookup by fingerprint is needed to tell the documents that stay.
     stay = named.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(id_col)).distinct()
     kept = docs.join(stay, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
-    at = docs.columns.index(text_col)
+    names, at = docs.columns, docs.columns.index(text_col)
 
     def with_fp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = np.array([fingerprint(t, shingle_words) for t in batch.column(at).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*docs.columns, "_fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*names, "_fp"])
 
     nameless = docs.filter(F.col(id_col).isNull()).mapInArrow(with_fp, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
     alone = named.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
