@@ -50,8 +50,8 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id
     scale = GAIN * (np.log((1 + n) / (1 + seen)) + 1)
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
     sample = known.filter(sample_below("id", sample_rows, sum(r[1] for r in sizes))).select("text", number.alias("label"))
-    examples = linear.featurised(sample, shape)
-    unseen = F.pmod(F.xxhash64("shares", "ids"), F.lit(5)) == 0
+    examples = linear.sampled(sample, shape)
+    unseen = F.pmod(F.xxhash64(F.lit("unseen"), F.col("text")), F.lit(5)) == 0
     model = linear.fit(examples.filter(~unseen), shape, len(languages), scale)
     slope = linear.temperature(*linear.sample_logits(examples.filter(unseen), model))
     return LanguageModel(languages, linear.replaced(model, slope=slope))

@@ -1,14 +1,14 @@
 """Fitting a linear classifier on hashed n-grams by shards.
 
-The labelled sample is featurised where it lies, dealt to a fixed number of
-shards, and every shard runs its own FTRL-proximal learner; the averaged
-weights are the model.  What reaches the driver is the model, bounded by the
+The labelled sample is dealt to a fixed number of shards, every shard makes its
+features and runs its own FTRL-proximal learner; the averaged weights are the
+model.  What reaches the driver is the model, bounded by the
 number of hash buckets times classes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -53,29 +53,25 @@ class Model:
         return self.slope * (mean_weight(text, self.shape.orders, self.shape.bits, self.weights) + self.bias) + self.shift
 
 
-def featurised(rows: DataFrame, shape: Shape) -> DataFrame:
-    """(shard, label, ids, shares) of rows (text, label), stored."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [counts(t or "", shape.orders, shape.bits) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([i.astype("<u4").tobytes() for i, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], ["label", "ids", "shares"])
-
-    dealt = rows.select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, "label int, ids binary, shares binary")
-    return stored(dealt.withColumn("shard", F.pmod(F.xxhash64("ids", "label"), F.lit(shape.shards)).cast("int")))
+def sampled(rows: DataFrame, shape: Shape) -> DataFrame:
+    """(shard, label, text) of the bounded sample (text, label), stored; its features are made where they are used, as they take several times its room."""
+    shard = F.pmod(F.xxhash64("text", "label"), F.lit(shape.shards)).cast("int")
+    return stored(rows.select("text", F.col("label").cast("int").alias("label")).withColumn("shard", shard))
 
 
 def fit(examples: DataFrame, shape: Shape, classes: int, scale: np.ndarray) -> Model:
     """The averaged model of all shards; ``scale`` multiplies each bucket's share."""
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
-        labels, ids, shares = frame["label"].to_numpy(), frame["ids"].to_list(), frame["shares"].to_list()
+        labels = frame["label"].to_numpy()
+        found = [counts(t, shape.orders, shape.bits) for t in frame["text"]]
+        found = [(i.astype(np.uint32), v) for i, v in found]
 
         def example(k: int) -> tuple[np.ndarray, np.ndarray, int]:
-            i = np.frombuffer(ids[k], "<u4").astype(np.int64)
-            return i, np.frombuffer(shares[k], "<f4") * scale[i], int(labels[k])
+            i, v = found[k]
+            return i, v * scale[i], int(labels[k])
 
-        w, bias = follow_regularised_leader(example, len(ids), classes, shape.buckets, alpha=shape.alpha, beta=shape.beta, l1=shape.l1, l2=shape.l2, epochs=shape.epochs)
+        w, bias = follow_regularised_leader(example, len(found), classes, shape.buckets, alpha=shape.alpha, beta=shape.beta, l1=shape.l1, l2=shape.l2, epochs=shape.epochs)
         used = np.flatnonzero(np.any(w != 0, axis=1))
         out = [(-1, bias.astype("<f8").tobytes())] + [(int(k), w[k].astype("<f8").tobytes()) for k in used]
         return pd.DataFrame(out, columns=["bucket", "w"])
@@ -97,13 +93,10 @@ def sample_logits(examples: DataFrame, model: Model) -> tuple[np.ndarray, np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for ids, shares in zip(batch.column("ids").to_pylist(), batch.column("shares").to_pylist(), strict=True):
-                i = np.frombuffer(ids, "<u4").astype(np.int64)
-                out.append((np.frombuffer(shares, "<f4").astype(np.float64) @ model.weights[i] + model.bias).tolist())
+            out = [model.logits(t).tolist() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.list_(pa.float64()))], ["label", "logits"])
 
-    got = examples.select("label", "ids", "shares").mapInArrow(run, "label int, logits array<double>").collect()
+    got = examples.select("label", "text").mapInArrow(run, "label int, logits array<double>").collect()
     return np.array([r[0] for r in got], np.int64), np.array([r[1] for r in got], np.float64).reshape(len(got), -1)
 
 
@@ -172,6 +165,3 @@ def slope_and_shift(labels: np.ndarray, margins: np.ndarray, steps: int = 100) -
 
 def replaced(model: Model, **changes) -> Model:
     return replace(model, **changes)
-
-
-Scorer = Callable[[str], tuple]

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import linear
 from seriesloom.llm.common import sample_below, slices
+from seriesloom.llm.ngrams import counts
 
 SHAPE = linear.Shape(orders=(3, 4, 5), bits=18, shards=8, epochs=6, alpha=0.3, beta=0.01, l1=0.0, l2=0.0)
 #: Shares are small; this constant brings the learner's steps to a useful size.
@@ -34,13 +35,14 @@ def _log_count_ratios(examples: DataFrame, shape: linear.Shape, smoothing: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, shape.buckets))
-        for batch in batches:
-            for label, ids, shares in zip(*(batch.column(k).to_pylist() for k in ("label", "ids", "shares")), strict=True):
-                sums[label][np.frombuffer(ids, "<u4")] += np.frombuffer(shares, "<f4")
+        for batch in slices(batches):
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids, shares = counts(text, shape.orders, shape.bits)
+                sums[label][ids] += shares
         used = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(sums[0][used]), pa.array(sums[1][used])], ["bucket", "other", "toxic"])
 
-    found = examples.select("label", "ids", "shares").mapInArrow(run, "bucket int, other double, toxic double")
+    found = examples.select("label", "text").mapInArrow(run, "bucket int, other double, toxic double")
     sums = np.full((2, shape.buckets), smoothing)
     for bucket, other, toxic in found.groupBy("bucket").agg(F.sum("other"), F.sum("toxic")).collect():
         sums[0][bucket] += other
@@ -55,7 +57,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # About sample_rows small rows, whatever the number of labels.
     some = F.broadcast(marked.filter(chosen))
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("text")).filter(chosen & F.col("text").isNotNull()).join(some, id_col)
-    examples = linear.featurised(rows, shape)
+    examples = linear.sampled(rows, shape)
     kinds = dict(examples.groupBy("label").count().collect())
     if len(kinds) < 2:
         certain = 50.0 if 1 in kinds else -50.0
