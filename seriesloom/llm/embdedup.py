@@ -144,8 +144,9 @@ def _compared(kind: str, least: float):
         links = np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)
         used = np.flatnonzero(links)
         tree = _forest(n, i, j)
-        rows = [(cls[k], None, int(links[k])) for k in used] + [(cls[p], cls[q], 0) for p, q in tree]
-        return pd.DataFrame(rows, columns=["a", "b", "n"]).astype({"a": "Int64", "b": "Int64", "n": "Int64"})
+        ends = np.array(tree, np.int64).reshape(-1, 2)
+        # A row of counts names its class twice; class names are 64-bit hashes, so no column may turn to floats for a null.
+        return pd.DataFrame({"a": np.append(cls[used], cls[ends[:, 0]]), "b": np.append(cls[used], cls[ends[:, 1]]), "n": np.append(links[used].astype(np.int64), np.zeros(len(ends), np.int64))})
 
     return run
 
@@ -167,8 +168,8 @@ def group(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "blocks", "n")
     found = stored(pairs.groupBy("tab", "bucket", "low", "high").applyInPandas(_compared(kind, least), "a long, b long, n long"))
-    joined = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
-    counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
+    joined = connected_components(found.filter("a <> b").select("a", "b"))
+    counts = found.filter("a = b").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
     whole = classes.select("cls", "first", "copies").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("component", "cls"))
     smallest = whole.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
     named = lookup(whole, smallest, ["root"], "n").join(counts, "cls", "left")
