@@ -1,7 +1,7 @@
 """Removing passages that repeat across documents, by hashing sentences of lines.
 
 A unit is a sentence, i.e. a stretch of a line up to a mark that ends it;
-paragraphs and lines are runs of units.  Units are normalised (lower case,
+paragraphs and lines are runs of units.  Units are normalised (case folded,
 only letters and digits, single blanks) and digested; per digest the earliest
 occurrence by (id, place) stays and all others are marked.  Marked units that
 follow one another in a document form a run, and runs of ``min_words`` words
@@ -49,7 +49,7 @@ def units(text: str) -> list[tuple[int, int, str]]:
         while end < length and not text[end - 1].isspace() and text[end - 1] in ".!?" and not text[end].isspace():
             end = _UNIT.match(text, end).end()
         piece = text[start:end]
-        plain = _SEPARATORS.sub(" ", piece.lower()).strip()
+        plain = _SEPARATORS.sub(" ", piece.casefold()).strip()
         if plain:
             left = len(piece) - len(piece.lstrip())
             out.append((start + left, start + len(piece.rstrip()), plain))
