@@ -60,6 +60,16 @@ def hop_log(counters: DataFrame, source: str, target: str, kind: str) -> DataFra
     )
 
 
+def collection_log(payloads: DataFrame, source: str = "landed") -> DataFrame:
+    """A row per series: how many observation rows its payloads hold, or why there are none."""
+    envelopes = split_envelopes(payloads)
+    good = envelopes.good.groupBy("indicator_id").agg(F.sum(F.size("rows")).alias("records_collected"))
+    failed = envelopes.violations.groupBy("indicator_id").agg(F.min("message").alias("error_message"))
+    both = good.join(failed, "indicator_id", "full_outer")
+    status = F.when(F.col("error_message").isNull(), "success").when(F.coalesce("records_collected", F.lit(0)) > 0, "partial").otherwise("failed")
+    return both.select("indicator_id", F.lit(source).alias("source_name"), F.coalesce("records_collected", F.lit(0)).alias("records_collected"), status.alias("status"), "error_message")
+
+
 def failure_log(violations: DataFrame, source: str, target: str, kind: str) -> DataFrame:
     """Audit rows of the series that failed a hop."""
     first = violations.groupBy("indicator_id").agg(F.min("message").alias("error_message"))
@@ -118,6 +128,7 @@ def run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str,
     new = levels.unionByName(growth).join(failed.select(F.col("indicator_id").alias("parent_id")), "parent_id", "left_anti")
     ids = good.select("indicator_id").distinct()
     tables.write_bucketed(tables.replace_gold(tables.read_or_none(spark, f"{root}/gold_analytical"), ids, new), f"{root}/gold_analytical")
+    tables.append(collection_log(payloads).withColumn("run_id", F.lit(run_id)), f"{root}/data_collection_log")
     log = hop_log(silver.cleaned.counters, "bronze", "silver", "clean").unionByName(failure_log(silver.violations, "bronze", "silver", "clean")).unionByName(gold.log)
     tables.append(log.withColumn("run_id", F.lit(run_id)), f"{root}/transformation_log")
     tables.append(gold.link_log.withColumn("run_id", F.lit(run_id)), f"{root}/chain_linking_log")

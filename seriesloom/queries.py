@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.expr import stable_id
-from seriesloom.operators import growth, linking, publish, quality
+from seriesloom.operators import growth, linking, publish, quality, resampling
 from seriesloom.operators.cleaning import clean
 from seriesloom.plans import inputs, medallion, reports
 from seriesloom.plans.inputs import ANNUAL, EVENTS, EVENTS_NOW, NOW, RAW, REBASED
 from seriesloom.sinks import tables
-from seriesloom.sources import payload
+from seriesloom.sources import payload, scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -401,15 +401,70 @@ def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""WITH {EVENTS} SELECT indicator_id, date_trunc('day', ts)::TIMESTAMP AS "timestamp", round(avg(value), 6) AS mean_value, max_by(value, ts) AS closing, round(stddev_samp(value), 6) AS volatility FROM ev WHERE value IS NOT NULL GROUP BY 1, 2""")
 def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = inputs.events(spark, sf_dir).filter("value IS NOT NULL AND NOT isnan(value)")
-    day = F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("timestamp")
-    return known.groupBy("indicator_id", day).agg(F.round(F.avg("value"), 6).alias("mean_value"), F.max_by("value", known["timestamp"]).alias("closing"), F.round(F.stddev_samp("value"), 6).alias("volatility"))
+    daily = resampling.downsample(inputs.events(spark, sf_dir), "day")
+    return daily.select("indicator_id", "timestamp", _r("mean_value", 6), "closing", _r("volatility", 6))
 
 
 @registered(f"""WITH {EVENTS}, d AS (SELECT indicator_id, date_trunc('day', ts)::TIMESTAMP AS ts, sum(value) AS v FROM ev WHERE value IS NOT NULL GROUP BY 1, 2)
 SELECT indicator_id, ts AS "timestamp", round(avg(v) OVER (PARTITION BY indicator_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_average FROM d""")
 def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = inputs.events(spark, sf_dir).filter("value IS NOT NULL AND NOT isnan(value)")
-    daily = known.groupBy("indicator_id", F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("timestamp")).agg(F.sum("value").alias("v"))
-    week = Window.partitionBy("indicator_id").orderBy("timestamp").rowsBetween(-6, 0)
-    return daily.select("indicator_id", "timestamp", F.round(F.avg("v").over(week), 6).alias("moving_average"))
+    return resampling.moving_average(_daily(spark, sf_dir), 7).withColumn("moving_average", F.round("moving_average", 6))
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("timestamp")
+    return inputs.events(spark, sf_dir).filter("value IS NOT NULL AND NOT isnan(value)").groupBy("indicator_id", day).agg(F.sum("value").alias("value"))
+
+
+_DAILY = f"""{EVENTS}, daily AS (SELECT indicator_id, CAST(date_trunc('day', ts) AS DATE) AS day, sum(value) AS v FROM ev WHERE value IS NOT NULL GROUP BY 1, 2)"""
+
+
+@registered(f"""WITH {_DAILY}, s AS (SELECT indicator_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM daily GROUP BY 1)
+SELECT indicator_id, day, round(last_value(v IGNORE NULLS) OVER (PARTITION BY indicator_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value FROM s LEFT JOIN daily USING (indicator_id, day)""")
+def upsample_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.upsample_days(_daily(spark, sf_dir)).withColumn("value", F.round("value", 6))
+
+
+@registered(f"""WITH {_DAILY}, k AS (SELECT * FROM daily WHERE indicator_id LIKE '%.1'), r AS (SELECT indicator_id, day, v / nullif(lag(v) OVER w, 0) - 1 AS x FROM k WINDOW w AS (PARTITION BY indicator_id ORDER BY day))
+SELECT p.indicator_id AS a, q.indicator_id AS b, round(corr(p.x, q.x), 6) AS correlation, count(*) AS periods FROM r p JOIN r q USING (day) WHERE p.indicator_id < q.indicator_id AND p.x IS NOT NULL AND q.x IS NOT NULL GROUP BY 1, 2""")
+def growth_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types of one user group against each other."""
+    chosen = _daily(spark, sf_dir).filter("indicator_id LIKE '%.1'")
+    return resampling.correlations(chosen).withColumn("correlation", F.round("correlation", 6))
+
+
+@registered(f"""WITH {ANNUAL} SELECT indicator_id, 'Part ' || CAST(k AS VARCHAR) AS name FROM (SELECT DISTINCT indicator_id, k FROM annual) WHERE contains(lower('Part ' || CAST(k AS VARCHAR)), 'part 1')""")
+def catalog_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.search_catalog(inputs.catalog(inputs.annual(spark, sf_dir)), "PART 1").select("indicator_id", "name")
+
+
+@registered(f"""WITH {ANNUAL}, {REBASED} SELECT indicator_id, ts AS "timestamp", value, 'USD' AS unit, 'annual' AS frequency FROM rebased WHERE k IN (1, 7)""")
+def series_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two series, each read by its id."""
+    silver, _ = _silver(spark, sf_dir)
+    stored = silver.withColumn("series_bucket", tables.bucket())
+    return scan.silver_series(stored, "PART.1").unionByName(scan.silver_series(stored, "PART.7")).drop("id")
+
+
+@registered(f"""WITH {ANNUAL} SELECT indicator_id, count(*) AS n_rows FROM annual WHERE k % 6 = 0 GROUP BY 1""")
+def lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the wanted parts have series; those found, with their rows."""
+    series = inputs.annual(spark, sf_dir)
+    wanted = series.filter("k % 6 = 0").select("indicator_id").unionByName(series.select(F.concat("indicator_id", F.lit("x")).alias("indicator_id")))
+    found, _ = scan.by_id(series, wanted, "indicator_id")
+    return found.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@registered(f"""WITH {ANNUAL}, {RAW} SELECT indicator_id, count(*) AS records_collected, 'success' AS status FROM raw WHERE {_GOOD} GROUP BY 1
+UNION ALL SELECT indicator_id, CAST(0 AS BIGINT), 'failed' FROM (SELECT DISTINCT indicator_id, k FROM raw) WHERE NOT ({_GOOD})""")
+def collection_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medallion.collection_log(_payloads(spark, sf_dir)).select("indicator_id", "records_collected", "status")
+
+
+@registered(f"""WITH {ANNUAL}, {RAW}, c AS (SELECT indicator_id, count(*) AS p FROM own WHERE {_GOOD} GROUP BY 1), w AS (SELECT indicator_id, count(*) AS w FROM silver GROUP BY 1)
+SELECT count(*) AS series, CAST(0 AS BIGINT) AS broken FROM c LEFT JOIN w USING (indicator_id)""")
+def layer_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series whose silver rows aren't what was processed less what failed: none."""
+    cleaned = clean(_rows(spark, sf_dir), NOW)
+    broken = reports.layer_identity(cleaned.counters, cleaned.silver).select("indicator_id", F.lit(1).alias("broken"))
+    return cleaned.counters.join(broken, "indicator_id", "left").agg(F.count(F.lit(1)).alias("series"), F.count("broken").alias("broken"))
