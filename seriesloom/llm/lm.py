@@ -25,6 +25,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ COUNTER_WORDS = 150_000
 STRENGTH = 2000.0
 #: Steps of expectation maximisation over the known words.
 STEPS = 2
-#: Words in over 1/FREQUENT of all (document, word) pairs are broadcast; they number fewer than FREQUENT.
-FREQUENT = 32768
+#: Words that make up over 1/FREQUENT of all tokens are broadcast; they number fewer than FREQUENT.
+FREQUENT = 1 << 17
 #: Classes with counts of their own; rarer labels share one more.
 CLASSES = 6
 
@@ -83,34 +84,26 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def count_words(docs: DataFrame, classes: int) -> DataFrame:
-    """(word, pairs, c0, c1, ...) of rows (id, text, cls): documents per word, and occurrences in learning documents by class; cls is null for others."""
+    """(word, times, c0, c1, ...) of rows (text, cls): occurrences in all documents, and in learning documents by class; cls is null for others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list[int]] = {}
+        held: list[Counter[bytes]] = [Counter() for _ in range(classes + 1)]
 
-        def out() -> pa.RecordBatch:
-            table = np.array(list(held.values()), np.int64).reshape(len(held), classes + 1)
-            columns = [pa.array([w.decode("utf-8", "surrogatepass") for w in held], pa.string()), *(pa.array(table[:, k]) for k in range(classes + 1))]
-            held.clear()
-            return pa.RecordBatch.from_arrays(columns, names)
+        def out() -> Iterator[pa.RecordBatch]:
+            for k, counter in enumerate(held):
+                words = pa.array(list(counter), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([words, pa.array([k] * len(counter), pa.int32()), pa.array(list(counter.values()), pa.int64())], ["word", "cls", "n"])
+                counter.clear()
 
-        names = ["word", "pairs", *(f"c{k}" for k in range(classes))]
         for batch in slices(batches):
             for text, cls in zip(batch.column("text").to_pylist(), batch.column("cls").to_pylist(), strict=True):
-                for word, n in Counter(_words(text)).items():
-                    row = held.get(word)
-                    if row is None:
-                        row = held[word] = [0] * (classes + 1)
-                    row[0] += 1
-                    if cls is not None:
-                        row[1 + cls] += n
-                if len(held) >= COUNTER_WORDS:
-                    yield out()
-        yield out()
-
-    kinds = ", ".join(f"c{k} long" for k in range(classes))
-    found = docs.select("text", "cls").mapInArrow(run, f"word string, pairs long, {kinds}")
-    return found.groupBy("word").agg(F.sum("pairs").alias("pairs"), *(F.sum(f"c{k}").alias(f"c{k}") for k in range(classes)))
+                held[classes if cls is None else cls].update(_words(text))
+            if sum(map(len, held)) >= COUNTER_WORDS:
+                yield from out()
+        yield from out()
+
+    found = docs.select("text", "cls").mapInArrow(run, "word string, cls int, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("times"), *(F.sum(F.when(F.col("cls") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(classes)))
 
 
 def _totals(words: DataFrame, documents: dict[int, int], classes: int) -> Totals:
@@ -151,7 +144,7 @@ def _fit_pieces(known: DataFrame, pieces: lattice.Pieces, logp: np.ndarray) -> n
 
 
 def _scored_words(words: DataFrame, pieces: lattice.Pieces, logp: np.ndarray, totals: Totals, classes: int) -> DataFrame:
-    """(word, pairs, c, p): each distinct word with its probability by class."""
+    """(word, times, c, p): each distinct word with its probability by class."""
     shared = words.sparkSession.sparkContext.broadcast((pieces, logp))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,14 +154,22 @@ def _scored_words(words: DataFrame, pieces: lattice.Pieces, logp: np.ndarray, to
             counts = np.column_stack([batch.column(f"c{k}").to_numpy() for k in range(classes)])
             p = totals.class_probabilities(counts, counts.sum(axis=1), np.maximum(marginal, 1e-300))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), classes).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("pairs"), pa.array(counts.sum(axis=1)), flat], ["word", "pairs", "c", "p"])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(counts.sum(axis=1)), flat], ["word", "times", "c", "p"])
+
+    return words.mapInArrow(run, "word string, times long, c long, p array<double>")
+
 
-    return words.mapInArrow(run, "word string, pairs long, c long, p array<double>")
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """ln of the gamma function of positive numbers: eight steps up, then Stirling's series."""
+    shift = x * (x + 1) * (x + 2) * (x + 3) * ((x + 4) * (x + 5) * (x + 6) * (x + 7))
+    y = x + 8
+    z = 1 / (y * y)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y - np.log(shift)
 
 
-def _rising(x: float, n: int) -> float:
+def _rising(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     """ln of x (x + 1) ... (x + n - 1)."""
-    return math.log(x) if n == 1 else math.lgamma(x + n) - math.lgamma(x)
+    return _log_gamma(x + n) - _log_gamma(x)
 
 
 def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang") -> DataFrame:
@@ -198,8 +199,8 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
     logp = _fit_pieces(words.filter("c > 0"), pieces, logp)
     table = stored(_scored_words(words, pieces, logp, totals, classes))
 
-    pairs = table.agg(F.sum("pairs")).first()[0] or 0
-    frequent = F.col("pairs") > max(16, pairs // FREQUENT)
+    tokens = table.agg(F.sum("times")).first()[0] or 0
+    frequent = F.col("times") > max(16, tokens // FREQUENT)
     hot = table.filter(frequent).select("word", "c", "p").collect()
     shared = docs.sparkSession.sparkContext.broadcast(
         ({w.encode("utf-8", "surrogatepass"): k for k, (w, _, _) in enumerate(hot)}, np.array([c for _, c, _ in hot], np.int64), np.array([p for _, _, p in hot]).reshape(len(hot), classes))
@@ -208,52 +209,55 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, counts, probabilities = shared.value
-        base, log_p = np.array([totals.base(int(c)) for c in counts]), np.log(STRENGTH * probabilities) if len(counts) else probabilities
+        base, scaled = np.array([totals.base(int(c)) for c in counts]), STRENGTH * probabilities
+        log_p = np.log(scaled)
         key = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("key", "n_tokens", "n_known", "base", *sums, "words", "times")}
             for text in batch.column("text").to_pylist():
                 listed = _words(text)
                 found = Counter(listed)
-                at = [(places[w], n) for w, n in found.items() if w in places]
-                ids, n = np.array([i for i, _ in at], np.int64), np.array([n for _, n in at], np.int64)
-                rest = [(w.decode("utf-8", "surrogatepass"), n) for w, n in found.items() if w not in places]
-                own = log_p[ids[n == 1]].sum(axis=0) if len(at) else np.zeros(classes)
-                for i, times in at:
-                    if times > 1:
-                        own = own + [_rising(x, times) for x in STRENGTH * probabilities[i]]
+                times = np.fromiter(found.values(), np.int64, len(found))
+                at = np.fromiter(map(places.get, found, repeat(-1)), np.int64, len(found))
+                known = at >= 0
+                ids, n = at[known], times[known]
+                rest = [w for w, i in zip(found, at.tolist(), strict=True) if i < 0]
+                more = n > 1
+                own = log_p[ids[~more]].sum(axis=0) + _rising(scaled[ids[more]], n[more, None]).sum(axis=0)
                 own = own - (math.lgamma(STRENGTH + len(listed)) - math.lgamma(STRENGTH))
                 ends = totals.documents[0]
                 out["key"].append(key)
                 out["n_tokens"].append(len(listed) + 1)
-                out["n_known"].append(int(n[counts[ids] > 0].sum()) + (ends > 0) if len(at) else int(ends > 0))
-                out["base"].append(float((base[ids] * n).sum()) + totals.base(ends) if len(at) else totals.base(ends))
+                out["n_known"].append(int(n[counts[ids] > 0].sum()) + (ends > 0))
+                out["base"].append(float((base[ids] * n).sum()) + totals.base(ends))
                 for name, v in zip(sums, own, strict=True):
                     out[name].append(float(v))
-                out["words"].append([w for w, _ in rest])
-                out["times"].append([t for _, t in rest])
+                out["words"].append(rest)
+                out["times"].append(times[~known])
                 key += 1
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), *[pa.float64()] * classes, pa.list_(pa.string()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True))], ["id", *out])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), *[pa.float64()] * classes, pa.list_(pa.binary()), pa.list_(pa.int32())]
+            made = dict(zip(out, (pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)), strict=True))
+            made["words"] = made["words"].cast(pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *made.values()], ["id", *made])
 
     parts = stored(rows.select("id", "text").mapInArrow(run, "id long, key long, n_tokens long, n_known long, base double, " + ", ".join(f"{s} double" for s in sums) + ", words array<string>, times array<int>"))
-    rest = parts.select("id", "key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("id", "key", "w.words", "w.times").withColumnsRenamed({"words": "word"})
-    n = totals.tokens[0] + 0.1 * (totals.types[0] + 1)
+    rest = parts.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("n"))
+    total = totals.tokens[0] + 0.1 * (totals.types[0] + 1)
 
     def rising(p: Column) -> Column:
         x = p * STRENGTH
-        more = F.aggregate(F.sequence(F.lit(0), F.col("times") - 1), F.lit(0.0), lambda total, k: total + F.log(x + k))
-        return F.when(F.col("times") == 1, F.log(x)).otherwise(more)
+        more = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), F.lit(0.0), lambda so_far, k: so_far + F.log(x + k))
+        return F.when(F.col("n") == 1, F.log(x)).otherwise(more)
 
     looked_up = rest.join(table.filter(~frequent).select("word", "c", "p"), "word").select(
-        "id",
+        F.lit(None).cast("long").alias("id"),
         "key",
-        F.lit(0).cast("long").alias("n_tokens"),
-        F.when(F.col("c") > 0, F.col("times")).otherwise(0).cast("long").alias("n_known"),
-        (F.col("times") * F.log10((F.col("c") + 0.1) / n)).alias("base"),
+        F.lit(None).cast("long").alias("n_tokens"),
+        F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long").alias("n_known"),
+        (F.col("n") * F.log10((F.col("c") + 0.1) / total)).alias("base"),
         *(rising(F.col("p")[k]).alias(s) for k, s in enumerate(sums)),
     )
-    every = parts.drop("words", "times").unionByName(looked_up).groupBy("key", "id").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", *sums)))
+    every = parts.drop("words", "times").unionByName(looked_up).groupBy("key").agg(F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", *sums)))
     by_class = F.array(*(F.col(s) + float(e) for s, e in zip(sums, totals.class_ends(), strict=True)))
     top = F.array_max(by_class)
     marginal = top + F.log(F.aggregate(F.transform(by_class, lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x))
