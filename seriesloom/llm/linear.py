@@ -72,19 +72,14 @@ def fit(examples: DataFrame, shape: Shape, classes: int, scale: np.ndarray) -> M
             return i, v * scale[i], int(labels[k])
 
         w, bias = follow_regularised_leader(example, len(found), classes, shape.buckets, alpha=shape.alpha, beta=shape.beta, l1=shape.l1, l2=shape.l2, epochs=shape.epochs)
-        used = np.flatnonzero(np.any(w != 0, axis=1))
-        out = [(-1, bias.astype("<f8").tobytes())] + [(int(k), w[k].astype("<f8").tobytes()) for k in used]
-        return pd.DataFrame(out, columns=["bucket", "w"])
+        return pd.DataFrame({"w": [w.astype("<f4").tobytes()], "bias": [bias.astype("<f8").tobytes()]})
 
-    shards = [r[0] for r in examples.select("shard").distinct().collect()]
+    # One row per shard, of the model's size; stored, so that the shards are fitted side by side and once.
+    trained = stored(examples.groupBy("shard").applyInPandas(train, "w binary, bias binary")).collect()
     weights, bias = np.zeros((shape.buckets, classes)), np.zeros(classes)
-    trained = examples.groupBy("shard").applyInPandas(train, "bucket int, w binary")
-    for bucket, raw in trained.toLocalIterator():
-        w = np.frombuffer(bytes(raw), "<f8") / len(shards)
-        if bucket < 0:
-            bias += w
-        else:
-            weights[bucket] += w
+    for row in trained:
+        weights += np.frombuffer(bytes(row["w"]), "<f4").reshape(weights.shape) / len(trained)
+        bias += np.frombuffer(bytes(row["bias"]), "<f8") / len(trained)
     return Model(shape, (weights * scale[:, None]).astype(np.float32), bias)
 
 

@@ -44,9 +44,9 @@ def _log_count_ratios(examples: DataFrame, shape: linear.Shape, smoothing: float
 
     found = examples.select("label", "text").mapInArrow(run, "bucket int, other double, toxic double")
     sums = np.full((2, shape.buckets), smoothing)
-    for bucket, other, toxic in found.groupBy("bucket").agg(F.sum("other"), F.sum("toxic")).collect():
-        sums[0][bucket] += other
-        sums[1][bucket] += toxic
+    by_bucket = found.groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
+    for k, kind in enumerate(("other", "toxic")):
+        sums[k][by_bucket["bucket"].to_numpy()] += by_bucket[kind].to_numpy()
     return np.log(sums[1] / sums[1].sum()) - np.log(sums[0] / sums[0].sum())
 
 
