@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seriesloom.llm import chat, chat_template, decontam, embdedup, langid, lattice, lm, packing, pii, simhash, subdedup, toxicity
+from seriesloom.llm import chat, chat_template, decontam, embdedup, langid, lattice, lm, packing, pii, simhash, simhash_wide, subdedup, toxicity
 from seriesloom.llm.common import id_remainder
 from seriesloom.llm.components import connected_components
 
@@ -239,6 +239,24 @@ def test_pigeonring_links_are_all_links(spark):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 2}
 
 
+@pytest.mark.parametrize("paired", [48, 3])
+def test_wide_simhash_keeps_one_of_each_group(spark, monkeypatch, paired):
+    monkeypatch.setattr(simhash_wide, "PAIRED", paired)  # 3: groups are compared with their first
+    r = random.Random(16)
+    rows = [(k, " ".join(f"w{r.random()}" for _ in range(80))) for k in range(30)]
+    for g in range(4):
+        base = [f"g{g}x{j}" for j in range(300)]
+        for k in range(12):
+            w = list(base)
+            w[r.randrange(300)] = "changed" + str(k)
+            rows.append((100 + 20 * g + k, " ".join(w)))
+    rows += [(400, None), (401, ""), (402, rows[0][1]), (None, rows[1][1]), (None, "one of its own"), (None, "one of its own"), (5, rows[5][1])]
+    got = [x["doc_id"] for x in simhash_wide.deduplicate(documents(spark, rows)).collect()]
+    assert sorted(i for i in got if i is not None) == [*range(30), 100, 120, 140, 160, 400]
+    assert got.count(None) == 1
+    assert simhash_wide.deduplicate(documents(spark, [])).count() == 0
+
+
 def test_repeated_passages(spark):
     r = random.Random(8)
     passage = ". ".join("Word" + str(r.random()) + " " + sentence(r, 14) for _ in range(5)) + "."
