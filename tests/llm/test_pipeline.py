@@ -38,7 +38,7 @@ def test_stages_do_what_they_say(spark):
     kept = {k for k in kept if root[k] == k}
     sigs = {k: simhash_wide.signature(rows[k]["text"], 5) for k in kept}
     keys = {k: set(simhash_wide.segments(v).tolist()) for k, v in sigs.items()}
-    linked = [(a, b) for a in kept for b in kept if a < b and keys[a] & keys[b] and np.bitwise_count(sigs[a] ^ sigs[b]).sum() <= simhash_wide.limit(0.8)]
+    linked = [(a, b) for a in kept for b in kept if a < b and keys[a] & keys[b] and np.bitwise_count((sigs[a] ^ sigs[b]).view(np.uint64)).sum() <= simhash_wide.limit(0.8)]
     parent = {k: k for k in kept}
 
     def top(x):
