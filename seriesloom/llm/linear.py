@@ -63,6 +63,8 @@ def fit(examples: DataFrame, shape: Shape, classes: int, scale: np.ndarray) -> M
     """The averaged model of all shards; ``scale`` multiplies each bucket's share."""
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
+        # The learner depends on the order of its rows, a shuffle's is arbitrary.
+        frame = frame.sort_values(["text", "label"], kind="stable")
         labels = frame["label"].to_numpy()
         found = [counts(t, shape.orders, shape.bits) for t in frame["text"]]
         found = [(i.astype(np.uint32), v) for i, v in found]
