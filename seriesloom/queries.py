@@ -393,7 +393,10 @@ def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = inputs.annual(spark, sf_dir)
     old = series.select(F.col("indicator_id").alias("parent_id"), "timestamp", "value").withColumn("series_bucket", tables.bucket("parent_id"))
     new = series.filter("k % 4 = 0").select(F.col("indicator_id").alias("parent_id"), "timestamp", (F.col("value") + 1).alias("value"))
-    return tables.replace_gold(old, series.filter("k % 2 = 0").select("indicator_id"), new).select("parent_id", "timestamp", "value")
+    even = series.filter("k % 2 = 0").select("indicator_id")
+    rewritten = tables.replace_gold(old, even, new)
+    others = old.join(even.select(tables.bucket().alias("series_bucket")).distinct(), "series_bucket", "left_anti")
+    return rewritten.select("parent_id", "timestamp", "value").unionByName(others.select("parent_id", "timestamp", "value"))
 
 
 # --- optional series transformations --------------------------------------------------
@@ -420,9 +423,10 @@ _DAILY = f"""{EVENTS}, daily AS (SELECT indicator_id, CAST(date_trunc('day', ts)
 
 
 @registered(f"""WITH {_DAILY}, s AS (SELECT indicator_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM daily GROUP BY 1)
-SELECT indicator_id, day, round(last_value(v IGNORE NULLS) OVER (PARTITION BY indicator_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value FROM s LEFT JOIN daily USING (indicator_id, day)""")
+SELECT indicator_id, CAST(day AS TIMESTAMP) AS "timestamp", round(last_value(v IGNORE NULLS) OVER (PARTITION BY indicator_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value FROM s LEFT JOIN daily USING (indicator_id, day)""")
 def upsample_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resampling.upsample_days(_daily(spark, sf_dir)).withColumn("value", F.round("value", 6))
+    days = resampling.upsample_days(_daily(spark, sf_dir))
+    return days.select("indicator_id", F.col("day").cast("timestamp_ntz").alias("timestamp"), _r("value", 6))
 
 
 @registered(f"""WITH {_DAILY}, k AS (SELECT * FROM daily WHERE indicator_id LIKE '%.1'), r AS (SELECT indicator_id, day, v / nullif(lag(v) OVER w, 0) - 1 AS x FROM k WINDOW w AS (PARTITION BY indicator_id ORDER BY day))
