@@ -62,13 +62,15 @@ class Totals:
         n = self.tokens[0] + 0.1 * (self.types[0] + 1)
         return math.log10((count + 0.1) / n)
 
-    def class_probabilities(self, counts: np.ndarray, whole: np.ndarray, marginal: np.ndarray) -> np.ndarray:
-        """By word and class; ``counts`` by word and class, ``whole`` in the corpus, ``marginal`` of the lattice's pieces."""
+    def class_logs(self, counts: np.ndarray, whole: np.ndarray, marginal: np.ndarray) -> np.ndarray:
+        """ln of the probabilities by word and class; ``counts`` by word and class, ``whole`` in the corpus, ``marginal``: ln of that of the lattice's pieces."""
 
         def interpolate(k: int, c: np.ndarray, below: np.ndarray) -> np.ndarray:
             if not self.tokens[k]:
                 return below
-            return np.maximum(c - self.discount[k], 0) / self.tokens[k] + self.discount[k] * self.types[k] / self.tokens[k] * below
+            with np.errstate(divide="ignore"):
+                own = np.log(np.maximum(c - self.discount[k], 0) / self.tokens[k])
+            return np.logaddexp(own, math.log(self.discount[k] * self.types[k] / self.tokens[k]) + below)
 
         corpus = interpolate(0, whole, marginal)
         return np.column_stack([interpolate(k + 1, counts[:, k], corpus) for k in range(counts.shape[1])])
@@ -144,19 +146,19 @@ def _fit_pieces(known: DataFrame, pieces: lattice.Pieces, logp: np.ndarray) -> n
 
 
 def _scored_words(words: DataFrame, pieces: lattice.Pieces, logp: np.ndarray, totals: Totals, classes: int) -> DataFrame:
-    """(word, times, c, p): each distinct word with its probability by class."""
+    """(word, times, c, log_p): each distinct word with the ln of its probability by class; long words have none that a double could hold."""
     shared = words.sparkSession.sparkContext.broadcast((pieces, logp))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, scores = shared.value
         for batch in batches:
-            marginal = 10.0 ** lattice.log10_marginals(batch.column("word").to_pylist(), own, scores)
+            marginal = math.log(10) * lattice.log10_marginals(batch.column("word").to_pylist(), own, scores)
             counts = np.column_stack([batch.column(f"c{k}").to_numpy() for k in range(classes)])
-            p = totals.class_probabilities(counts, counts.sum(axis=1), np.maximum(marginal, 1e-300))
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), classes).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(counts.sum(axis=1)), flat], ["word", "times", "c", "p"])
+            log_p = totals.class_logs(counts, counts.sum(axis=1), marginal)
+            flat = pa.FixedSizeListArray.from_arrays(pa.array(log_p.ravel()), classes).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(counts.sum(axis=1)), flat], ["word", "times", "c", "log_p"])
 
-    return words.mapInArrow(run, "word string, times long, c long, p array<double>")
+    return words.mapInArrow(run, "word string, times long, c long, log_p array<double>")
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -167,9 +169,10 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y - np.log(shift)
 
 
-def _rising(x: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """ln of x (x + 1) ... (x + n - 1)."""
-    return _log_gamma(x + n) - _log_gamma(x)
+def _rising(log_x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """ln of x (x + 1) ... (x + n - 1), for an x that may be too small for a double."""
+    x = np.exp(log_x)
+    return log_x + _log_gamma(x + n) - _log_gamma(x + 1)
 
 
 def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang") -> DataFrame:
@@ -201,16 +204,15 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
 
     tokens = table.agg(F.sum("times")).first()[0] or 0
     frequent = F.col("times") > max(16, tokens // FREQUENT)
-    hot = table.filter(frequent).select("word", "c", "p").collect()
+    hot = table.filter(frequent).select("word", "c", "log_p").collect()
     shared = docs.sparkSession.sparkContext.broadcast(
         ({w.encode("utf-8", "surrogatepass"): k for k, (w, _, _) in enumerate(hot)}, np.array([c for _, c, _ in hot], np.int64), np.array([p for _, _, p in hot]).reshape(len(hot), classes))
     )
     sums = [f"s{k}" for k in range(classes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, counts, probabilities = shared.value
-        base, scaled = np.array([totals.base(int(c)) for c in counts]), STRENGTH * probabilities
-        log_p = np.log(scaled)
+        places, counts, logs = shared.value
+        base, scaled = np.array([totals.base(int(c)) for c in counts]), math.log(STRENGTH) + logs
         key = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("key", "n_tokens", "n_known", "base", *sums, "words", "times")}
@@ -223,7 +225,7 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
                 ids, n = at[known], times[known]
                 rest = [w for w, i in zip(found, at.tolist(), strict=True) if i < 0]
                 more = n > 1
-                own = log_p[ids[~more]].sum(axis=0) + _rising(scaled[ids[more]], n[more, None]).sum(axis=0)
+                own = scaled[ids[~more]].sum(axis=0) + _rising(scaled[ids[more]], n[more, None]).sum(axis=0)
                 own = own - (math.lgamma(STRENGTH + len(listed)) - math.lgamma(STRENGTH))
                 ends = totals.documents[0]
                 out["key"].append(key)
@@ -244,18 +246,18 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
     rest = parts.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("n"))
     total = totals.tokens[0] + 0.1 * (totals.types[0] + 1)
 
-    def rising(p: Column) -> Column:
-        x = p * STRENGTH
-        more = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), F.lit(0.0), lambda so_far, k: so_far + F.log(x + k))
-        return F.when(F.col("n") == 1, F.log(x)).otherwise(more)
+    def rising(log_p: Column) -> Column:
+        log_x = log_p + math.log(STRENGTH)
+        more = F.aggregate(F.sequence(F.lit(1), F.col("n") - 1), log_x, lambda so_far, k: so_far + F.log(F.exp(log_x) + k))
+        return F.when(F.col("n") == 1, log_x).otherwise(more)
 
-    looked_up = rest.join(table.filter(~frequent).select("word", "c", "p"), "word").select(
+    looked_up = rest.join(table.filter(~frequent).select("word", "c", "log_p"), "word").select(
         F.lit(None).cast("long").alias("id"),
         "key",
         F.lit(None).cast("long").alias("n_tokens"),
         F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long").alias("n_known"),
         (F.col("n") * F.log10((F.col("c") + 0.1) / total)).alias("base"),
-        *(rising(F.col("p")[k]).alias(s) for k, s in enumerate(sums)),
+        *(rising(F.col("log_p")[k]).alias(s) for k, s in enumerate(sums)),
     )
     every = parts.drop("words", "times").unionByName(looked_up).groupBy("key").agg(F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", *sums)))
     by_class = F.array(*(F.col(s) + float(e) for s, e in zip(sums, totals.class_ends(), strict=True)))

@@ -362,6 +362,51 @@ def test_lm_base_scores_and_gain(spark):
     assert lm.score(docs, F.lit(False), PIECES).filter("train_tokens = 0 AND score < 0").count() == len(rows)
 
 
+def test_lm_long_unknown_words_keep_their_log_probability(spark):
+    r = random.Random(21)
+    train = [(k, " ".join(r.choice(WORDS[:12]) for _ in range(30))) for k in range(20)]
+    long = ["".join(r.choice("abcdefgh") for _ in range(5000)), "\u4e9c\u05d0" * 400]
+    held_out = [(100, long[0]), (101, f"{long[1]} {long[1]} {long[1]} the"), (102, " ".join([long[0]] * 60))]
+    docs = documents(spark, train + held_out)
+    got = {x["doc_id"]: x["score"] for x in lm.score(docs, F.col("doc_id") < 100, PIECES, class_col=None).collect()}
+
+    counts = Counter(w for _, t in train for w in t.lower().split())
+    known = spark.createDataFrame([(w,) for w in counts], "word string")
+    pieces, start = lattice.existing_pieces(PIECES)
+    logp, names = lm._fit_pieces(known, pieces, start), {n: k for k, n in enumerate(pieces.names)}
+    widest = max(map(len, names))
+    tokens, types = sum(counts.values()) + len(train), len(counts) + 1
+    once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice) if once else 0.5
+
+    def log_sum(ways):
+        return max(ways) + math.log(sum(math.exp(x - max(ways)) for x in ways))
+
+    def log_p(word):
+        text = lattice.WORD_START + word
+        total = [0.0]
+        for t in range(1, len(text) + 1):
+            ways = [total[k] + logp[names[text[k:t]]] for k in range(max(0, t - widest), t) if text[k:t] in names]
+            if text[t - 1] not in names:
+                ways.append(total[t - 1] + sum(logp[len(names) + b] for b in text[t - 1].encode()))
+            total.append(log_sum(ways))
+        below = total[-1]
+        for _ in range(2):  # the corpus, then its one class
+            below += math.log(discount * types / tokens)
+            if word in counts:
+                below = log_sum([below, math.log((counts[word] - discount) / tokens)])
+        return below
+
+    for k, text in held_out:
+        found = Counter(text.split())
+        want = math.log((len(train) - discount) / tokens) - sum(math.log(lm.STRENGTH + j) for j in range(sum(found.values())))
+        for w, n in found.items():
+            x = log_p(w) + math.log(lm.STRENGTH)
+            want += x + sum(math.log(math.exp(x) + j) for j in range(1, n))
+        assert got[k] == pytest.approx(want / math.log(10), rel=1e-9)
+        assert got[k] < -1000
+
+
 # --- decontamination ---------------------------------------------------------------------
 
 
