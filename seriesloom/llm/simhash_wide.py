@@ -25,12 +25,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from seriesloom.llm.common import slices, stored
 from seriesloom.llm.components import connected_components
 from seriesloom.llm.heavy import lookup
-from seriesloom.llm.simhash import SEED
+from seriesloom.llm.simhash import SEED, chosen_rows, first_row
 
 WORDS = 24
 SEGMENTS, SEGMENT_BITS = 64, 24
@@ -104,21 +103,16 @@ def similar_pairs(classes: DataFrame, similarity: float) -> DataFrame:
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group stays: the one with the smallest id.
 
-    Of repeated ids one row stays.  A group without any id keeps one row; a row
-    without id in a group that has one goes.
+    Rows are told apart by id and text, so an id that stands on different
+    texts can stay in several groups.  A group without any id keeps one row; a
+    row without id in a group that has one goes.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    marked = rows.mapInArrow(_signed(1, ["id", "text"], shingle_words), "id long, text string, _sig array<long>").select("id", "_sig")
-    classes = stored(marked.groupBy(F.xxhash64("_sig").alias("cls")).agg(F.min("id").alias("first"), F.first("_sig").alias("sig")))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    marked = rows.mapInArrow(_signed(2, ["id", "text_hash", "text"], shingle_words), "id long, text_hash long, text string, _sig array<long>").drop("text")
+    first = F.min(first_row("id", "text_hash")).alias("first")
+    classes = stored(marked.groupBy(F.xxhash64("_sig").alias("cls")).agg(first, F.first("_sig").alias("sig"), F.count(F.lit(1)).alias("copies")))
     joined = connected_components(similar_pairs(classes, similarity))
-    roots = classes.select("cls", "first").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("component", "cls"))
-    smallest = roots.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    named = stored(lookup(roots.select("cls", "root"), smallest, ["root"], "n").select("cls", "root", "component_id"))
-    # A group's own id names it, so no lookup by signature is needed to tell the documents that stay.
-    stay = named.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(id_col)).distinct()
-    kept = docs.join(stay, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
-    schema = StructType([*docs.schema.fields, StructField("_sig", ArrayType(LongType()))])
-    nameless = docs.filter(F.col(id_col).isNull()).mapInArrow(_signed(docs.columns.index(text_col), docs.columns, shingle_words), schema)
-    alone = named.filter(F.col("component_id").isNull()).select(F.col("cls").alias("_cls"), F.col("root").alias("_root"))
-    placed = nameless.withColumn("_cls", F.xxhash64("_sig")).join(alone, "_cls").dropDuplicates(["_root"])
-    return kept.unionByName(placed.select(*docs.columns))
+    roots = classes.select("cls", "first", "copies").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("component", "cls"))
+    chosen = roots.groupBy("root").agg(F.min("first").alias("first"), F.sum("copies").alias("copies"))
+    return chosen_rows(docs, stored(chosen), id_col, text_col)

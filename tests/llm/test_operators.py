@@ -257,6 +257,19 @@ def test_wide_simhash_keeps_one_of_each_group(spark, monkeypatch, paired):
     assert simhash_wide.deduplicate(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("how", [simhash, simhash_wide])
+def test_an_id_on_different_texts_stays_in_each_group(spark, how):
+    r = random.Random(22)
+    text = [" ".join(f"w{r.random()}" for _ in range(60)) for _ in range(8)]
+    # 7 names the groups of six texts; the group of text[6] is named by 3, that of text[7] has no id.
+    rows = [(7, t) for t in text] + [(9, text[0]), (9, text[1]), (3, text[6]), (7, text[2]), (None, text[3]), (None, text[7] + " more")]
+    rows = [(None, t) if (k, t) == (7, text[7]) else (k, t) for k, t in rows]
+    got = sorted((x["doc_id"] or 0, x["text"]) for x in how.deduplicate(documents(spark, rows), shingle_words=5).collect())
+    groups = [(7, t) for t in text[:6]] + [(3, text[6])]
+    assert [x for x in got if x[0]] == sorted(groups)
+    assert {t for k, t in got if not k} & {text[7], text[7] + " more"}
+
+
 def test_repeated_passages(spark):
     r = random.Random(8)
     passage = ". ".join("Word" + str(r.random()) + " " + sentence(r, 14) for _ in range(5)) + "."
