@@ -54,10 +54,10 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
         return 0
     digest = xxhash.xxh64_intdigest
     shingles = zip(*(words[k:] for k in range(shingle_words)), strict=False) if len(words) > shingle_words else [words]
-    return _majority(np.fromiter((digest(b" ".join(s), SEED) for s in shingles), np.uint64))
+    return majority(np.fromiter((digest(b" ".join(s), SEED) for s in shingles), np.uint64))
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
     """The word whose bits are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 8192):
@@ -66,22 +66,16 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """(id, text_hash, fp) of every document."""
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
+    """(id, fp): the fingerprint of every document as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = np.array([fingerprint(t, shingle_words) for t in batch.column(2).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["id", "text_hash", "fp"])
-
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return rows.mapInArrow(run, "id long, text_hash long, fp long")
+            found = np.array([fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
 
-
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """(id, fp): the fingerprint of every document as a signed long."""
-    return _marked(docs, id_col, text_col, shingle_words).select(F.col("id").alias(id_col), "fp")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "id long, fp long").withColumnRenamed("id", id_col)
 
 
 def _rotated(fp: Column, segment: int) -> Column:
@@ -120,12 +114,13 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     turned = F.lit(None).cast("long")
     for k in reversed(range(SEGMENTS)):
         turned = F.when(F.col("segment") == k, _rotated(apart, k)).otherwise(turned)
-    pairs = pairs.filter((F.col("a") < F.col("b")) & (F.bit_count(apart) <= max_bits))
+    pairs = pairs.filter("a < b")
     for length in range(chain + 1, SEGMENTS):
         budget = length * max_bits // SEGMENTS
         # A budget met by a longer chain is met by all its beginnings with the same budget.
         if (length + 1) * max_bits // SEGMENTS > budget:
             pairs = pairs.filter(F.bit_count(turned.bitwiseAND(_low(length * SEGMENT_BITS))) <= budget)
+    pairs = pairs.filter(F.bit_count(apart) <= max_bits)
     near = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit((1 << k) - (1 << 64) * (k == 63)).cast("long")) for k in range(64)))
     words = crowded.select("fp", F.explode(near).alias("word")) if max_bits == 2 else crowded.select("fp", F.explode(F.slice(near, 1, 65)).alias("word"))
     if max_bits == 1:
@@ -136,47 +131,12 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return pairs.select("a", "b").unionByName(around).distinct()
 
 
-def _grouped(marked: DataFrame, first: Column, max_bits: int) -> DataFrame:
-    """(fp, copies, root, first) of every fingerprint of ``marked``; first: the smallest of its group."""
-    classes = stored(marked.groupBy("fp").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")))
-    joined = connected_components(links(classes.select("fp"), max_bits))
-    roots = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
-    smallest = roots.groupBy("root").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("n"))
-    return stored(lookup(roots.select("fp", "copies", "root"), smallest, ["root"], "n").select("fp", "copies", "root", F.col("smallest").alias("first")))
-
-
 def group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
     """(id, fp, component_id): every document with the smallest id reachable by links, its own included."""
     marked = stored(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words))
-    named = _grouped(marked, F.col(id_col), max_bits).withColumnRenamed("first", "component_id")
+    classes = stored(marked.groupBy("fp").agg(F.min(id_col).alias("first"), F.count(F.lit(1)).alias("copies")))
+    joined = connected_components(links(classes.select("fp"), max_bits))
+    roots = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
+    smallest = roots.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    named = stored(lookup(roots.select("fp", "copies", "root"), smallest, ["root"], "n").select("fp", "copies", "component_id"))
     return lookup(marked, named, ["fp"], "copies").select(id_col, "fp", "component_id")
-
-
-def first_row(id_col: str, hash_col: str) -> Column:
-    """What a group keeps is its smallest: by id, rows without one last, then by the text's hash."""
-    return F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), F.col(hash_col).alias("text_hash"))
-
-
-def chosen_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row of ``docs`` for each of ``chosen`` (first, copies): that with its id and text, whatever else its id stands on.
-
-    A text is in one group only, so its hash is the key.  Of rows with the
-    same id and text the one with the smallest hash over all columns stays.
-    """
-    rows = docs.withColumn("_hash", F.xxhash64(F.col(text_col).cast("string")))
-    table = chosen.select(F.col("first.text_hash").alias("_hash"), F.col("first.id").alias("_id"), F.col("copies").alias("_copies"))
-    found = lookup(rows, table, ["_hash"], "_copies").filter(F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
-    hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
-    return found.groupBy("_hash").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("_row")).select("_row.*")
-
-
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each group stays: the one with the smallest id.
-
-    Rows are told apart by id and text, so an id that stands on different
-    texts can stay in several groups.  A group without any id keeps one row; a
-    row without id in a group that has one goes.
-    """
-    named = _grouped(stored(_marked(docs, id_col, text_col, shingle_words)), first_row("id", "text_hash"), max_bits)
-    chosen = named.groupBy("root").agg(F.first("first").alias("first"), F.sum("copies").alias("copies"))
-    return chosen_rows(docs, stored(chosen), id_col, text_col)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seriesloom.llm import chat, chat_template, decontam, embdedup, langid, lattice, lm, packing, pii, simhash, simhash_wide, subdedup, toxicity
+from seriesloom.llm import chat, chat_template, decontam, embdedup, langid, lattice, lm, near_duplicates, packing, pii, simhash, subdedup, toxicity
 from seriesloom.llm.common import id_remainder
 from seriesloom.llm.components import connected_components
 
@@ -219,7 +219,7 @@ def test_simhash_groups(spark, monkeypatch, paired):
     want = plain_groups(rows)
     assert got == sorted(want, key=str)
     assert len({c for *_, c in want}) < len(rows) - 60
-    kept = simhash.deduplicate(docs)
+    kept = near_duplicates.deduplicate(docs, shingle_words=3, similarity=None)
     assert kept.columns == docs.columns
     ids = [x["doc_id"] for x in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted({c for *_, c in want if c is not None})
@@ -239,32 +239,77 @@ def test_pigeonring_links_are_all_links(spark):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 2}
 
 
-@pytest.mark.parametrize("paired", [48, 3])
-def test_wide_simhash_keeps_one_of_each_group(spark, monkeypatch, paired):
-    monkeypatch.setattr(simhash_wide, "PAIRED", paired)  # 3: groups are compared with their first
+def plain_kept(rows, shingle_words=5, similarity=0.8):
+    """What stays of (id, text) rows by comparing all pairs of texts: fingerprints at 2 bits, or exact Jaccard similarity."""
+    texts = sorted({t or "" for _, t in rows})
+    words = [re.findall("[^ \\t-\\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) for t in texts]
+    sets = [{" ".join(w[k : k + shingle_words]) for k in range(max(1, len(w) - shingle_words + 1))} if w else set() for w in words]
+    fps = [simhash.fingerprint(t, shingle_words) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            alike = (fps[a] ^ fps[b]).bit_count() <= 2 or len(sets[a] & sets[b]) >= similarity * max(1, len(sets[a] | sets[b]))
+            if alike and top(a) != top(b):
+                root[top(a)] = top(b)
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault(top(texts.index(text or "")), []).append((doc is None, doc))
+    return sorted(min(g, key=lambda x: (x[0], x[1] or 0)) for g in groups.values())
+
+
+def edited(r, base, share):
+    """A copy with this share of its words changed."""
+    return " ".join("v" + str(r.random()) if r.random() < share else w for w in base)
+
+
+@pytest.mark.parametrize(("leaders", "listed"), [(2, 128), (1, 0)])
+def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, leaders, listed):
+    """Single copies, chains, and a large group around one text whose copies are often unlike each other."""
+    monkeypatch.setattr(near_duplicates, "LEADERS", leaders)
+    monkeypatch.setattr(near_duplicates, "LISTED", listed)  # 0: leaders and members are joined as rows
     r = random.Random(16)
     rows = [(k, " ".join(f"w{r.random()}" for _ in range(80))) for k in range(30)]
-    for g in range(4):
+    for g in range(12):
         base = [f"g{g}x{j}" for j in range(300)]
-        for k in range(12):
-            w = list(base)
-            w[r.randrange(300)] = "changed" + str(k)
-            rows.append((100 + 20 * g + k, " ".join(w)))
-    rows += [(400, None), (401, ""), (402, rows[0][1]), (None, rows[1][1]), (None, "one of its own"), (None, "one of its own"), (5, rows[5][1])]
-    got = [x["doc_id"] for x in simhash_wide.deduplicate(documents(spark, rows)).collect()]
-    assert sorted(i for i in got if i is not None) == [*range(30), 100, 120, 140, 160, 400]
-    assert got.count(None) == 1
-    assert simhash_wide.deduplicate(documents(spark, [])).count() == 0
-
-
-@pytest.mark.parametrize("how", [simhash, simhash_wide])
-def test_an_id_on_different_texts_stays_in_each_group(spark, how):
+        for k in range(60 if g == 0 else 3):
+            rows.append((1000 * (g + 1) + r.randrange(900), edited(r, base, r.choice([0.005, 0.02, 0.04]))))
+    shared = [f"s{j}" for j in range(200)]
+    for k in range(25):  # texts that share a passage and no more: alike in some buckets, no duplicates
+        rows.append((20_000 + k, " ".join(shared + [f"o{r.random()}" for _ in range(80)])))
+    rows += [(400, None), (401, ""), (402, rows[0][1]), (403, rows[0][1].upper() + "  "), (None, rows[1][1]), (None, "one of its own"), (None, "one of its own"), (5, rows[5][1])]
+    docs = documents(spark, rows).withColumns({c: F.lit(k) for k, c in enumerate(("_fp", "_root", "_sig", "_cls", "_hash", "_id", "_copies", "row", "doc", "place", "digest", "bands", "key", "comp", "cls"))})
+    got = near_duplicates.deduplicate(docs)
+    assert got.columns == docs.columns
+    found = sorted(((x["doc_id"] is None, x["doc_id"]) for x in got.collect()), key=lambda x: (x[0], x[1] or 0))
+    assert found == sorted(plain_kept(rows), key=lambda x: (x[0], x[1] or 0))
+    assert near_duplicates.deduplicate(documents(spark, [])).count() == 0
+
+
+def test_bands_find_what_is_similar():
+    """The share of pairs at the least similarity that meet in a bucket."""
+    r, met, n = random.Random(5), 0, 0
+    for _ in range(600):
+        base = np.array([r.getrandbits(64) for _ in range(180)], np.uint64)
+        other = np.concatenate([base[:160], np.array([r.getrandbits(64) for _ in range(20)], np.uint64)])  # Jaccard 0.8
+        met += bool(set(near_duplicates.band_keys(base).tolist()) & set(near_duplicates.band_keys(other).tolist()))
+        n += 1
+    assert met / n >= 0.98
+
+
+@pytest.mark.parametrize("similarity", [None, 0.8])
+def test_an_id_on_different_texts_stays_in_each_group(spark, similarity):
     r = random.Random(22)
     text = [" ".join(f"w{r.random()}" for _ in range(60)) for _ in range(8)]
     # 7 names the groups of six texts; the group of text[6] is named by 3, that of text[7] has no id.
     rows = [(7, t) for t in text] + [(9, text[0]), (9, text[1]), (3, text[6]), (7, text[2]), (None, text[3]), (None, text[7] + " more")]
     rows = [(None, t) if (k, t) == (7, text[7]) else (k, t) for k, t in rows]
-    got = sorted((x["doc_id"] or 0, x["text"]) for x in how.deduplicate(documents(spark, rows), shingle_words=5).collect())
+    got = sorted((x["doc_id"] or 0, x["text"]) for x in near_duplicates.deduplicate(documents(spark, rows), shingle_words=5, similarity=similarity).collect())
     groups = [(7, t) for t in text[:6]] + [(3, text[6])]
     assert [x for x in got if x[0]] == sorted(groups)
     assert {t for k, t in got if not k} & {text[7], text[7] + " more"}

@@ -2,13 +2,13 @@
 
 import os
 
-import numpy as np
 import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from seriesloom.llm import decontam, pii, simhash, simhash_wide, toxicity
+from seriesloom.llm import decontam, pii, toxicity
 from seriesloom.llm.common import id_remainder
+from tests.llm.test_operators import plain_kept
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -26,30 +26,7 @@ def test_stages_do_what_they_say(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").filter(id_remainder("doc_id", 5) != 0)
     model = toxicity.train(docs, labels)
     kept = {k for k, r in rows.items() if toxicity.probability(model, r["text"]) < 0.5}
-    fps = {k: simhash.fingerprint(rows[k]["text"], 5) for k in kept}
-    root = {k: k for k in kept}
-    changed = True
-    while changed:
-        changed = False
-        for a in kept:
-            for b in kept:
-                if (fps[a] ^ fps[b]).bit_count() <= 2 and root[b] > root[a]:
-                    root[b], changed = root[a], True
-    kept = {k for k in kept if root[k] == k}
-    sigs = {k: simhash_wide.signature(rows[k]["text"], 5) for k in kept}
-    keys = {k: set(simhash_wide.segments(v).tolist()) for k, v in sigs.items()}
-    linked = [(a, b) for a in kept for b in kept if a < b and keys[a] & keys[b] and np.bitwise_count((sigs[a] ^ sigs[b]).view(np.uint64)).sum() <= simhash_wide.limit(0.8)]
-    parent = {k: k for k in kept}
-
-    def top(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in linked:
-        x, y = top(a), top(b)
-        parent[max(x, y)] = min(x, y)
-    kept = {k for k in kept if parent[k] == k}
+    kept = {k for _, k in plain_kept([(k, rows[k]["text"]) for k in kept])}
     index = decontam.build_index([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
     kept = {k for k in kept if not decontam.find_regions(rows[k]["text"], index)}
     texts = {k: pii.mask_text(rows[k]["text"], pii.find_all(rows[k]["text"])[1]) for k in kept}
