@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontam, packing, pii, simhash, simhash_wide, toxicity
+from seriesloom.llm import decontam, near_duplicates, packing, pii, toxicity
 from seriesloom.llm.common import id_remainder, stored
 
 #: None: classifiers, fingerprint components and token ids can't be put in SQL; tests hold run() against a plain version.
@@ -25,9 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word shingles: fingerprints linked at 2 bits, then what is left at a similarity of 0.8 by a wide SimHash."""
-    close = stored(simhash.deduplicate(docs, shingle_words=5))
-    return simhash_wide.deduplicate(close, shingle_words=5, similarity=0.8)
+    """One document of each group over five-word shingles: fingerprints linked at 2 bits, and texts of a Jaccard similarity of 0.8 or more."""
+    return near_duplicates.deduplicate(docs, shingle_words=5, max_bits=2, similarity=0.8)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
