@@ -16,8 +16,9 @@ texts are taken whole.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,7 +67,7 @@ def luhn(digits: str) -> bool:
 def find_base(text: str) -> list[Span]:
     """The spans of the four fixed patterns, by kind as listed, then start."""
     spans = list(_emails(text)) if "@" in text else []
-    spans += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+    spans += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in m.groups())]
     if _LONG_DIGITS.search(text):
         for m in _CARD.finditer(text):
             digits = _NOT_DIGIT.sub("", m[0])
@@ -105,12 +106,16 @@ _WORD = "|".join(DIGIT_WORDS)
 _SPELLED = re.compile(rf"(?i)(?<![A-Za-z])(?:plus[\s-]++)?(?:{_WORD})(?:[\s,.-]*+(?:(?:dot|point|dash)[\s-]++)?(?:{_WORD}|[0-9]++)(?![A-Za-z])){{2,}}")
 _SPELLED_PART = re.compile(rf"(?i){_WORD}|plus|dot|point|dash|[0-9]+|[\s,.-]+")
 _HINT_SPELLED = re.compile(rf"(?i)\b(?:{_WORD})\b")
-_LABEL = r"[A-Za-z0-9-]"
-# Bracketed at/dot anywhere between labels, or bare words where both "at" and "dot" stand in order.
-_AT = r"(?:\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}|\s{1,3}(?:at|@)\s{1,3}|\s{0,3}@\s{0,3}|[_-]at[_-])"
-_DOT = r"(?:\s{0,3}[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]\s{0,3}|\s{1,3}(?:dot|punkt|punto|point)\s{1,3}|[_-]dot[_-])"
-_DISGUISED = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])({_AT})(?={_LABEL}++(?:(?:{_DOT}|\.){_LABEL}++)*?(?:{_DOT}){_LABEL})|(?<=[A-Za-z0-9])(\s{{0,3}}[\[({{<]\s{{0,3}}(?:at|@)\s{{0,3}}[\])}}>]\s{{0,3}})(?={_LABEL}++\.{_LABEL})|(?<=[A-Za-z0-9])({_DOT})(?={_LABEL})")
-_HINT_DISGUISED = re.compile(r"(?i)[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]|\sdot\s|[_-]dot[_-]|\s(?:at|@)\s+\S+\s+(?:punkt|punto|point)\s")
+# What may stand for an at sign or a dot: in brackets (strong), as a word or set apart by blanks (weak), or the plain sign.
+_SIGN = re.compile(
+    r"(?i)(?P<strong_at>\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3})|(?P<strong_dot>\s{0,3}[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]\s{0,3})"
+    r"|(?P<weak_at>\s{1,3}(?:at|@)\s{1,3}|\s{1,3}@|@\s{1,3}|[_-]at[_-])|(?P<weak_dot>\s{1,3}(?:dot|punkt|punto|point)\s{1,3}|[_-]dot[_-])"
+    r"|(?P<plain_at>@)|(?P<plain_dot>\.)"
+)
+_LABEL = re.compile(r"[A-Za-z0-9-]++")
+_HINT_DISGUISED = re.compile(r"(?i)[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]|[\s_-](?:dot|punkt|punto|point)[\s_-]|\s@|@\s")
+#: Top-level domains that words alone are taken for an address with; brackets need none (fixed values).
+DOMAINS = frozenset("com org net edu gov mil int info biz io co ai app dev me tv eu uk us ca au de fr es it nl be ch at pl pt se no fi dk ie cz ru ua in jp cn br mx ar cl nz za".split())
 
 
 class Rewritten:
@@ -176,6 +181,49 @@ def _spelled(match: re.Match) -> str:
     return "".join(out)
 
 
+def _start(signs: list[tuple[int, int, str, str]], k: int, text: str) -> int:
+    return signs[k][0] if k < len(signs) else len(text)
+
+
+def _signs(text: str) -> list[tuple[int, int, str]]:
+    """Edits that write disguised signs plainly: in addresses, and dots between digits.
+
+    One pass over the signs.  An address is an at sign followed by labels with
+    dots between, and some sign of it is disguised.  Without a bracket among
+    its signs it must end in a known domain; it goes as far as one does.
+    """
+    signs = [(m.start(), m.end(), *m.lastgroup.split("_")) for m in _SIGN.finditer(text)]
+    edits, k = [], 0
+    while k < len(signs):
+        start, end, strength, sign = signs[k]
+        k += 1
+        if sign == "dot":
+            if strength != "plain" and start and end < len(text) and text[start - 1] in "0123456789" and text[end] in "0123456789":
+                edits.append((start, end, "."))
+            continue
+        if not start or text[start - 1] not in _LOCAL:
+            continue
+        # The word "at" before a plain host name is ordinary text.
+        bracket, dots, found = strength == "strong", [], 0
+        hidden = bracket or (strength == "weak" and "@" in text[start:end])
+        label = _LABEL.fullmatch(text, end, _start(signs, k, text))
+        while label and k + len(dots) < len(signs):
+            s, e, how, what = signs[k + len(dots)]
+            label = _LABEL.match(text, e, _start(signs, k + len(dots) + 1, text))
+            if what != "dot" or not label:
+                break
+            dots.append((s, e))
+            bracket, hidden = bracket or how == "strong", hidden or how != "plain"
+            if hidden and (bracket or label[0].lower() in DOMAINS):
+                found = len(dots)
+            if label.end() < _start(signs, k + len(dots), text):
+                break
+        if found:
+            edits += [(start, end, "@"), *((s, e, ".") for s, e in dots[:found])]
+            k += found
+    return edits
+
+
 def deobfuscate(text: str) -> Rewritten:
     """The transducers one after another: look-alikes, invisible characters, digit words, at/dot."""
     now = Rewritten(text)
@@ -185,8 +233,7 @@ def deobfuscate(text: str) -> Rewritten:
     if _HINT_SPELLED.search(now.text):
         now = now.replaced([(m.start(), m.end(), _spelled(m)) for m in _SPELLED.finditer(now.text)])
     if _HINT_DISGUISED.search(now.text):
-        edits = [(m.start(), m.end(), "." if m[3] else "@") for m in _DISGUISED.finditer(now.text)]
-        now = now.replaced(edits)
+        now = now.replaced(_signs(now.text))
     return now
 
 
@@ -197,11 +244,12 @@ def find_all(text: str) -> tuple[list[Span], list[Span]]:
     if plain.text == text:
         return base, base
     taken = sorted((s, e) for _, s, e in base)
+    furthest = list(accumulate((e for _, e in taken), max))
     added = []
     for kind, start, end in find_base(plain.text):
         s, e = plain.source(start, end)
-        k = bisect_right(taken, (e, -1))
-        if not any(b > s for _, b in taken[max(0, k - 4) : k]):
+        k = bisect_left(taken, (e, -1))
+        if not (k and furthest[k - 1] > s):
             added.append((kind, s, e))
     return base, sorted({*base, *added}, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 

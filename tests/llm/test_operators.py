@@ -531,7 +531,7 @@ def test_decontamination_in_blocks(spark, monkeypatch):
 
 def plain_spans(text):
     out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
-    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(len(x.lstrip("0")) <= 3 and int(x[-3:]) <= 255 for x in m[0].split("."))]
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         digits = re.sub("[^0-9]", "", m[0])
         if 16 <= len(digits) <= 19 and sum(int(d) if k % 2 == 0 else (2 * int(d) - 9 * (int(d) > 4)) for k, d in enumerate(reversed(digits))) % 10 == 0:
@@ -564,6 +564,43 @@ def test_disguises_are_mapped_back(text, kind, found):
     assert set(base) <= set(every)
 
 
+def plain_added(text):
+    """find_all by its definition: every span of the rewritten text that meets no base span."""
+    base, plain = plain_spans(text), pii.deobfuscate(text)
+    added = []
+    for kind, start, end in plain_spans(plain.text) if plain.text != text else []:
+        s, e = plain.source(start, end)
+        if all(e <= a or b <= s for _, a, b in base):
+            added.append((kind, s, e))
+    return base, sorted({*base, *added}, key=lambda x: (pii.KINDS.index(x[0]), x[1], x[2]))
+
+
+def test_all_spans_are_those_of_the_definition():
+    r = random.Random(15)
+    parts = ["a", "bob", " at ", " dot ", "[at]", "(dot)", " (at) ", "@", ".", "com", "example", " ", "-at-", "_dot_", "one ", "two ", "three ", "plus ", "1", "12", "255", "аb", "＠", "​", "\n", "+49 ", "é", "a@b.c@d.e@f.g"]
+    for _ in range(6_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 24)))
+        assert pii.find_all(text) == plain_added(text), text
+    digits = ["0" * 10_000, "9" * 10_000 + ".1.2.3", "0" * 5_000 + "1.2.3.4", "1.2.3." + "0" * 10_000 + "7", "+1" + "2" * 10_000]
+    for text in digits:
+        assert pii.find_all(text) == plain_added(text)
+
+
+@pytest.mark.parametrize("text", ["we left at five point two", "I was at home dot dot", "look at example.com", "meet at noon dot then go", "5 at 3.5", "he is at it. dot com"])
+def test_ordinary_words_are_no_disguise(text):
+    assert pii.find_all(text)[1] == []
+
+
+@pytest.mark.parametrize("piece", ["a-at-", "a at b dot ", "@", "a@", "[at]x", " dot ", "1 dot 1 ", "a@b.", "one ", "+1 ", "a.", "x [dot] "])
+def test_scanning_is_linear(piece):
+    import time
+
+    text = piece * (1_000_000 // len(piece)) + " x [dot] y at z dot q"
+    began = time.process_time()
+    pii.find_all(text)
+    assert time.process_time() - began < 8
+
+
 def test_pii_over_a_table(spark):
     long = "a" * 200_000 + " 1.2.3.4 " + "9" * 100_000 + "@"
     rows = [(1, None), (2, ""), (3, "me@x.org and 10.0.0.1"), (4, long), (3, "me@x.org and 10.0.0.1"), (None, "+1 234 567 89 01")]
