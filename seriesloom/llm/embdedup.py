@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by random-hyperplane sign hashing in several tables.
 
-In each table a vector's bucket is the signs of its products with ``BITS``
-random hyperplanes.  Vectors that share a bucket in some table are compared by
+In each table a vector's bucket is the signs of its products with a few random
+hyperplanes.  Vectors that share a bucket in some table are compared by
 exact cosine in double precision, in blocks of bounded size: a bucket of any
 size is split into blocks, and every pair of its blocks is one small product of
 matrices.  A pair that meets in several tables counts in the first only, so
@@ -12,9 +12,10 @@ Equal vectors are one class: they are hashed once and counted with their
 number.
 
 At cosine 0.9 two vectors agree in a bit with probability 1 - acos(0.9) / pi,
-about 0.856.  With 10 bits and 20 tables a pair at the threshold is found with
-probability 0.99, at 0.95 with over 0.9999.  More vectors call for more bits
-(about the logarithm of their number less six) and tables.
+about 0.856.  The number of bits follows the number of different vectors, so
+that a bucket of unrelated vectors stays small, and the number of tables
+follows the bits, so that a pair at the threshold is found with probability
+``RECALL``: 10 bits and 20 tables up to about 10^5 vectors, 14 and 39 at 10^6.
 
 Cases: vectors that are null, zero, or hold null or non-finite components have
 no links and are components of their own; vectors of different lengths never
@@ -24,8 +25,10 @@ different vectors; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -38,24 +41,40 @@ from seriesloom.llm.common import slices, stored
 from seriesloom.llm.components import connected_components
 from seriesloom.llm.heavy import lookup
 
-BITS = 10
-TABLES = 20
+#: Chance that a pair at the threshold meets in some table.
+RECALL = 0.99
+#: Unrelated vectors of one bucket, as a power of two, and the bits at least and at most.
+BUCKET_BITS, LEAST_BITS, MOST_BITS = 6, 10, 30
 #: Vectors of one block; a task holds two blocks at a time.
 BLOCK = 512
 #: Up to so many buckets of all tables, their sizes are broadcast.
 BROADCAST_BUCKETS = 1 << 17
 
 
+class Tables(NamedTuple):
+    """How many hyperplanes a bucket number has, and how many tables there are."""
+
+    bits: int
+    tables: int
+
+
+def tables_for(vectors: int, least: float) -> Tables:
+    """Bits by the number of different vectors, tables to reach ``RECALL`` at cosine ``least``."""
+    bits = min(MOST_BITS, max(LEAST_BITS, round(math.log2(max(vectors, 1))) - BUCKET_BITS))
+    agree = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
+    return Tables(bits, 1 if agree >= RECALL else math.ceil(math.log(1 - RECALL) / math.log(1 - agree)))
+
+
 @cache
-def hyperplanes(dim: int, seed: int = 7) -> np.ndarray:
-    """The planes' normals: dim x (TABLES * BITS)."""
-    return np.random.default_rng([seed, dim]).standard_normal((dim, TABLES * BITS))
+def hyperplanes(dim: int, shape: Tables, seed: int = 7) -> np.ndarray:
+    """The planes' normals: dim x (tables * bits)."""
+    return np.random.default_rng([seed, dim]).standard_normal((dim, shape.tables * shape.bits))
 
 
-def signatures(unit: np.ndarray) -> np.ndarray:
+def signatures(unit: np.ndarray, shape: Tables) -> np.ndarray:
     """Bucket numbers by vector and table."""
-    signs = (unit @ hyperplanes(unit.shape[1]) > 0).reshape(len(unit), TABLES, BITS)
-    return signs @ (1 << np.arange(BITS))
+    signs = (unit @ hyperplanes(unit.shape[1], shape) > 0).reshape(len(unit), *shape[::-1])
+    return signs @ (1 << np.arange(shape.bits))
 
 
 def _unit(raw: np.ndarray) -> np.ndarray | None:
@@ -81,20 +100,20 @@ def _marked(kind: str):
     return run
 
 
-def _tables(kind: str, light: bool):
+def _tables(kind: str, shape: Tables, light: bool):
     """A row per vector and table: (tab, bucket), and unless ``light`` also (cls, raw, copies)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             raws = [np.frombuffer(b, kind) for b in batch.column("raw").to_pylist()]
-            sigs = np.zeros((len(raws), TABLES), np.int64)
+            sigs = np.zeros((len(raws), shape.tables), np.int64)
             for dim in {len(r) for r in raws}:
                 at = [k for k, r in enumerate(raws) if len(r) == dim]
-                sigs[at] = signatures(np.stack([_unit(raws[k]) for k in at])) | dim << 24
-            columns = [pa.array(np.tile(np.arange(TABLES), len(raws)), pa.int32()), pa.array(sigs.ravel())]
+                sigs[at] = signatures(np.stack([_unit(raws[k]) for k in at]), shape) | dim << 32
+            columns = [pa.array(np.tile(np.arange(shape.tables), len(raws)), pa.int32()), pa.array(sigs.ravel())]
             names = ["tab", "bucket"]
             if not light:
-                each = pa.array(np.repeat(np.arange(len(raws)), TABLES))
+                each = pa.array(np.repeat(np.arange(len(raws)), shape.tables))
                 columns += [batch.column(c).take(each) for c in ("cls", "raw", "copies")]
                 names += ["cls", "raw", "copies"]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -121,7 +140,7 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _compared(kind: str, least: float):
+def _compared(kind: str, shape: Tables, least: float):
     """Per pair of blocks: partial link counts by class, and a spanning forest of the links."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -137,7 +156,7 @@ def _compared(kind: str, least: float):
         if low == high:
             i, j = i[i < j], j[i < j]
         if tab and len(i):
-            sigs = signatures(x)
+            sigs = signatures(x, shape)
             fresh = ~(sigs[i, :tab] == sigs[j, :tab]).any(axis=1)
             i, j = i[fresh], j[fresh]
         n = len(frame)
@@ -145,7 +164,7 @@ def _compared(kind: str, least: float):
         used = np.flatnonzero(links)
         tree = _forest(n, i, j)
         ends = np.array(tree, np.int64).reshape(-1, 2)
-        # A row of counts names its class twice; class names are 64-bit hashes, so no column may turn to floats for a null.
+        # A row of counts names its class twice; class names are 64-bit numbers, so no column may turn to floats for a null.
         return pd.DataFrame({"a": np.append(cls[used], cls[ends[:, 0]]), "b": np.append(cls[used], cls[ends[:, 1]]), "n": np.append(links[used].astype(np.int64), np.zeros(len(ends), np.int64))})
 
     return run
@@ -156,24 +175,25 @@ def group(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
     element = vectors.schema[vector_col].dataType.elementType
     kind, sql = ("<f4", "float") if isinstance(element, FloatType) else ("<f8", "double")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{sql}>").alias("v"))
-    # The class of equal vectors is named by a 64-bit hash; among 10^8 different vectors two share a name with a chance of 1 in 3,700.
-    marked = stored(rows.mapInArrow(_marked(kind), "id long, raw binary").withColumn("cls", F.when(F.col("raw").isNotNull(), F.xxhash64("raw"))))
-    classes = stored(marked.filter("cls IS NOT NULL").groupBy("cls").agg(F.first("raw").alias("raw"), F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")))
-    sizes = classes.select("raw").mapInArrow(_tables(kind, light=True), "tab int, bucket long").groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    hashed = classes.select("raw", "cls", "copies").mapInArrow(_tables(kind, light=False), "tab int, bucket long, cls long, raw binary, copies long")
-    few = TABLES << BITS <= BROADCAST_BUCKETS
+    # Written once, so the numbers given to the rows stay; a class of equal vectors is named by its first row.
+    marked = stored(rows.mapInArrow(_marked(kind), "id long, raw binary").withColumn("row", F.monotonically_increasing_id()))
+    classes = stored(marked.filter("raw IS NOT NULL").groupBy("raw").agg(F.min("row").alias("cls"), F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")))
+    shape = tables_for(classes.count(), least)
+    sizes = classes.select("raw").mapInArrow(_tables(kind, shape, light=True), "tab int, bucket long").groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    hashed = classes.select("raw", "cls", "copies").mapInArrow(_tables(kind, shape, light=False), "tab int, bucket long, cls long, raw binary, copies long")
+    few = shape.tables << shape.bits <= BROADCAST_BUCKETS
     dealt = hashed.join(F.broadcast(sizes), ["tab", "bucket"]) if few else lookup(hashed, stored(sizes), ["tab", "bucket"], "n")
     # Every member joins each pair of blocks that its own block is in; a small bucket is one block.
     dealt = dealt.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "blocks", "n")
-    found = stored(pairs.groupBy("tab", "bucket", "low", "high").applyInPandas(_compared(kind, least), "a long, b long, n long"))
+    found = stored(pairs.groupBy("tab", "bucket", "low", "high").applyInPandas(_compared(kind, shape, least), "a long, b long, n long"))
     joined = connected_components(found.filter("a <> b").select("a", "b"))
     counts = found.filter("a = b").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
-    whole = classes.select("cls", "first", "copies").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("component", "cls"))
+    whole = classes.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("component", "cls"))
     smallest = whole.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
     named = lookup(whole, smallest, ["root"], "n").join(counts, "cls", "left")
-    named = stored(named.select("cls", "copies", "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    linked = lookup(marked.filter("cls IS NOT NULL").select("id", "cls"), named, ["cls"], "copies").select("id", "n_links", "component_id")
-    alone = marked.filter("cls IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    named = stored(named.select("raw", "copies", "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    linked = lookup(marked.filter("raw IS NOT NULL").select("id", "raw"), named, ["raw"], "copies").select("id", "n_links", "component_id")
+    alone = marked.filter("raw IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).withColumnRenamed("id", id_col)
