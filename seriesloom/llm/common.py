@@ -53,12 +53,6 @@ def id_remainder(col: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % F.lit(divisor)
 
 
-def sample_below(col: str, rows: int, of: int) -> Column:
-    """True for about ``rows`` of ``of`` rows, chosen by a hash of the id: a bounded sample without a sort."""
-    share = 1.0 if of <= rows else rows / of
-    return F.pmod(F.xxhash64(F.lit("sample"), F.col(col)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-
-
 def code_points(text: str) -> np.ndarray:
     """The text's code points as uint32."""
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")

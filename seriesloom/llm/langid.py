@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm import linear
-from seriesloom.llm.common import sample_below, slices
+from seriesloom.llm.common import slices
 
 UNDETERMINED = "und"
 SHAPE = linear.Shape(orders=(1, 2, 3), bits=16, shards=8, epochs=3, alpha=0.5, beta=1.0, l1=0.02, l2=0.01)
@@ -39,22 +39,22 @@ class LanguageModel:
     model: linear.Model
 
 
-def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = 6000, shape: linear.Shape = SHAPE) -> LanguageModel:
-    """Learn from ``rows``: document frequencies from all of them, weights from about ``sample_rows``."""
-    known = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = known.groupBy("lang").count().collect()
-    languages = sorted(r[0] for r in sizes)
+def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_rows: int = 6000, shape: linear.Shape = SHAPE) -> LanguageModel:
+    """Learn from ``rows``: document frequencies from all of them, weights from about ``sample_rows`` distinct texts, as many of each language where there are enough."""
+    known = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    sizes = linear.distinct_texts(known, "lang")
+    languages = sorted(sizes)
     if not languages:
         return LanguageModel([], linear.Model(shape, np.zeros((shape.buckets, 1), np.float32), np.zeros(1)))
     seen, n = linear.document_frequencies(known, shape)
     scale = GAIN * (np.log((1 + n) / (1 + seen)) + 1)
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
-    sample = known.filter(sample_below("id", sample_rows, sum(r[1] for r in sizes))).select("text", number.alias("label"))
-    examples = linear.sampled(sample, shape)
-    unseen = F.pmod(F.xxhash64(F.lit("unseen"), F.col("text")), F.lit(5)) == 0
-    model = linear.fit(examples.filter(~unseen), shape, len(languages), scale)
-    slope = linear.temperature(*linear.sample_logits(examples.filter(unseen), model))
-    return LanguageModel(languages, linear.replaced(model, slope=slope))
+    examples, share = linear.sampled(known.select("text", number.alias("label")), shape, sample_rows, {k: sizes[name] for k, name in enumerate(languages)})
+    model = linear.fit(examples.filter("NOT unseen"), shape, len(languages), scale)
+    slope = linear.temperature(*linear.sample_logits(examples.filter("unseen"), model))
+    # Languages were drawn at different rates; their shares of the corpus come back as a shift.
+    drawn = np.array([share[k] for k in range(len(languages))])
+    return LanguageModel(languages, linear.replaced(model, slope=slope, shift=-np.log(np.maximum(drawn, 1e-9))))
 
 
 def predict(docs: DataFrame, learnt: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

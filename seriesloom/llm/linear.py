@@ -47,16 +47,43 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     slope: float = 1.0
-    shift: float = 0.0
+    shift: float | np.ndarray = 0.0
 
     def logits(self, text: str) -> np.ndarray:
         return self.slope * (mean_weight(text, self.shape.orders, self.shape.bits, self.weights) + self.bias) + self.shift
 
 
-def sampled(rows: DataFrame, shape: Shape) -> DataFrame:
-    """(shard, label, text) of the bounded sample (text, label), stored; its features are made where they are used, as they take several times its room."""
+def quotas(sizes: dict[int, int], rows: int) -> dict[int, float]:
+    """The share of each label's texts to draw, so that about ``rows`` are drawn and none of the labels crowds out the others."""
+    left, out = rows, {}
+    for k, (label, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, left // (len(sizes) - k))
+        out[label], left = take / max(n, 1), left - take
+    return out
+
+
+def distinct_texts(rows: DataFrame, label: str = "label") -> dict:
+    """How many different texts each label has, to about 2 %."""
+    return {r[0]: r[1] for r in rows.groupBy(label).agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).collect()}
+
+
+def sampled(rows: DataFrame, shape: Shape, sample_rows: int, sizes: dict[int, int]) -> tuple[DataFrame, dict[int, float]]:
+    """(shard, label, text, unseen) of a bounded sample of the distinct rows (text, label), stored; and the share drawn of each label.
+
+    ``sizes``: the labels' numbers of texts.  Texts are drawn by their hash, the same text once per label, so repeated
+    rows or ids don't widen the bound; a label rarer than its part of
+    ``sample_rows`` is taken whole.  A tenth is ``unseen``, for the calibration.
+    Features are made where they are used, as they take several times the room.
+    """
+    rows = rows.select("text", F.col("label").cast("int").alias("label"))
+    share = quotas(sizes, sample_rows)
+    rate = F.lit(0.0)
+    for label, s in share.items():
+        rate = F.when(F.col("label") == label, F.lit(s)).otherwise(rate)
+    drawn = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("text")), F.lit(1 << 30)) < rate * (1 << 30)).dropDuplicates(["text", "label"])
     shard = F.pmod(F.xxhash64("text", "label"), F.lit(shape.shards)).cast("int")
-    return stored(rows.select("text", F.col("label").cast("int").alias("label")).withColumn("shard", shard))
+    unseen = F.pmod(F.xxhash64(F.lit("unseen"), F.col("text")), F.lit(10)) == 0
+    return stored(drawn.withColumns({"shard": shard, "unseen": unseen})), share
 
 
 def fit(examples: DataFrame, shape: Shape, classes: int, scale: np.ndarray) -> Model:
@@ -148,13 +175,14 @@ def temperature(labels: np.ndarray, logits: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def slope_and_shift(labels: np.ndarray, margins: np.ndarray, steps: int = 100) -> tuple[float, float]:
-    """Logistic calibration of a binary margin by damped Newton steps."""
-    theta, x = np.array([1.0, 0.0]), np.column_stack([margins, np.ones(len(margins))])
+def slope_and_shift(labels: np.ndarray, margins: np.ndarray, weights: np.ndarray, prior: tuple[float, float], strength: float = 0.5, steps: int = 100) -> tuple[float, float]:
+    """Weighted logistic calibration of a binary margin by damped Newton steps, held near ``prior`` where there are few rows."""
+    start = np.array(prior)
+    theta, x = start.copy(), np.column_stack([margins, np.ones(len(margins))])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -500, 500)))
-        gradient = x.T @ (p - labels) + 1e-3 * (theta - [1.0, 0.0])
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        gradient = x.T @ (weights * (p - labels)) + strength * (theta - start)
+        hessian = (x * (weights * p * (1 - p))[:, None]).T @ x + strength * np.eye(2)
         step = np.linalg.solve(hessian, gradient)
         theta -= step * min(1.0, 5.0 / max(1e-9, float(np.abs(step).max())))
     return float(theta[0]), float(theta[1])

@@ -2,8 +2,10 @@
 
 Each n-gram bucket's share of the whole text is multiplied by the log ratio of
 its smoothed shares among toxic and other labelled texts; a logistic model is
-learnt on these features and its margin calibrated.  Ratios and weights come
-from a bounded sample of the labelled rows (``sample_rows``).
+learnt on these features.  Ratios and weights come from a bounded sample of the
+labelled texts (``sample_rows``), as many of each label where there are enough;
+the margin is calibrated on a tenth of it that the learner didn't see, weighted
+back to the labels' shares.
 
 Cases: a null text counts as empty, and an empty text has the score of the
 bias alone; a document labelled more than once is toxic if any label says so;
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm import linear
-from seriesloom.llm.common import sample_below, slices
+from seriesloom.llm.common import slices, stored
 from seriesloom.llm.ngrams import counts
 
 SHAPE = linear.Shape(orders=(3, 4, 5), bits=18, shards=8, epochs=6, alpha=0.3, beta=0.01, l1=0.0, l2=0.0)
@@ -53,19 +55,26 @@ def _log_count_ratios(examples: DataFrame, shape: linear.Shape, smoothing: float
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 16000, smoothing: float = 0.001, shape: linear.Shape = SHAPE) -> linear.Model:
     """Learn from the documents that ``labels`` (id, label) marks."""
     marked = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max((F.col(label_col) != 0).cast("int")).alias("label"))
-    chosen = sample_below(id_col, sample_rows, marked.count())
-    # About sample_rows small rows, whatever the number of labels.
-    some = F.broadcast(marked.filter(chosen))
-    rows = docs.select(id_col, F.col(text_col).cast("string").alias("text")).filter(chosen & F.col("text").isNotNull()).join(some, id_col)
-    examples = linear.sampled(rows, shape)
-    kinds = dict(examples.groupBy("label").count().collect())
-    if len(kinds) < 2:
-        certain = 50.0 if 1 in kinds else -50.0
+    by_id = linear.quotas(dict(marked.groupBy("label").count().collect()), sample_rows)
+    rate = F.lit(0.0)
+    for label, s in by_id.items():
+        rate = F.when(F.col("label") == label, F.lit(s)).otherwise(rate)
+    # About sample_rows ids, whatever the number of labels; an id that stands on many rows is thinned out by text.
+    some = F.broadcast(marked.filter(F.pmod(F.xxhash64(F.lit("id"), F.col(id_col)), F.lit(1 << 30)) < rate * (1 << 30)))
+    rows = stored(docs.select(id_col, F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull()).join(some, id_col).select("text", "label"))
+    examples, by_text = linear.sampled(rows, shape, sample_rows, linear.distinct_texts(rows))
+    share = {k: by_id[k] * s for k, s in by_text.items()}
+    if len(share) < 2:
+        certain = 50.0 if 1 in share else -50.0
         return linear.Model(shape, np.zeros((shape.buckets, 1), np.float32), np.zeros(1), shift=certain)
-    scale = GAIN * _log_count_ratios(examples, shape, smoothing)
-    model = linear.fit(examples, shape, 2, scale)
-    y, logits = linear.sample_logits(examples, model)
-    slope, shift = linear.slope_and_shift(y, logits[:, 1] - logits[:, 0])
+    seen = examples.filter("NOT unseen")
+    scale = GAIN * _log_count_ratios(seen, shape, smoothing)
+    model = linear.fit(seen, shape, 2, scale)
+    y, logits = linear.sample_logits(examples.filter("unseen"), model)
+    # A label drawn at a lower rate stands for more rows.
+    weights = np.array([1 / max(share[k], 1e-9) for k in (0, 1)])
+    weights /= weights.min()
+    slope, shift = linear.slope_and_shift(y, logits[:, 1] - logits[:, 0], weights[y], (1.0, float(np.log(weights[1] / weights[0]))))
     # Only the margin between the two classes matters from here on.
     return linear.replaced(model, weights=model.weights[:, 1:] - model.weights[:, :1], bias=model.bias[1:] - model.bias[:1], slope=slope, shift=shift)
 
