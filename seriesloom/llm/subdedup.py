@@ -1,7 +1,8 @@
-"""Removing passages that repeat across documents, by hashing sentences of lines.
+"""Removing passages that repeat across documents, by hashing the clauses of lines.
 
-A unit is a sentence, i.e. a stretch of a line up to a mark that ends it;
-paragraphs and lines are runs of units.  Units are normalised (case folded,
+A unit is a clause, i.e. a stretch of a line up to a mark that ends it;
+paragraphs, lines and sentences are runs of units, and a passage that was cut
+inside a sentence loses no more than a clause at its edges.  Units are normalised (case folded,
 only letters and digits, single blanks) and digested; per digest the earliest
 occurrence by (id, place) stays and all others are marked.  Marked units that
 follow one another in a document form a run, and runs of ``min_words`` words
@@ -26,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesloom.llm.common import slices, stored
 from seriesloom.llm.heavy import lookup
@@ -34,7 +36,8 @@ from seriesloom.llm.heavy import lookup
 MIN_WORDS = 25
 
 # A unit ends with its line, or with a mark before white space.
-_UNIT = re.compile(r"[^\n.!?。！？]*(?:[.!?。！？]+(?=\s|$)[^\S\n]*|[.!?。！？]+|\n|$)")
+_MARKS = ".!?。！？,;:，；："
+_UNIT = re.compile(rf"[^\n{_MARKS}]*(?:[{_MARKS}]+(?=\s|$)[^\S\n]*|[{_MARKS}]+|\n|$)")
 _SEPARATORS = re.compile(r"[\W_]+")
 
 
@@ -45,8 +48,8 @@ def units(text: str) -> list[tuple[int, int, str]]:
     while start < length:
         m = _UNIT.match(text, start)
         end = m.end()
-        # A mark inside a word ("3.14") doesn't end the unit.
-        while end < length and not text[end - 1].isspace() and text[end - 1] in ".!?" and not text[end].isspace():
+        # A mark inside a word ("3.14", "1,000") doesn't end the unit.
+        while end < length and not text[end - 1].isspace() and text[end - 1] in ".!?,;:" and not text[end].isspace():
             end = _UNIT.match(text, end).end()
         piece = text[start:end]
         plain = _SEPARATORS.sub(" ", piece.casefold()).strip()
@@ -60,22 +63,22 @@ def units(text: str) -> list[tuple[int, int, str]]:
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         out: dict[str, list] = {k: [] for k in ("id", "doc", "unit", "start", "end", "words", "d1", "d2")}
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for doc_id, text, doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if not text:
                 continue
-            doc = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
             for k, (start, end, plain) in enumerate(units(text)):
                 digest = xxhash.xxh3_128_intdigest(plain.encode("utf-8", "surrogatepass"))
                 for name, v in zip(out, (doc_id, doc, k, start, end, plain.count(" ") + 1, digest >> 64, digest & (1 << 64) - 1), strict=True):
                     out[name].append(v)
-        kinds = {"id": pa.int64(), "unit": pa.int32(), "start": pa.int64(), "end": pa.int64(), "words": pa.int32()}
+        kinds = {"id": pa.int64(), "doc": pa.int64(), "unit": pa.int32(), "start": pa.int64(), "end": pa.int64(), "words": pa.int32()}
         arrays = [pa.array(v, kinds[k]) if k in kinds else pa.array(np.array(v, np.uint64).view(np.int64)) for k, v in out.items()]
         yield pa.RecordBatch.from_arrays(arrays, list(out))
 
 
 def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, start, end, words, units, first_id): the runs to remove, with the id of the earliest document that keeps the run's first unit."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("doc"))
     every = stored(rows.mapInArrow(_digested, "id long, doc long, unit int, start long, end long, words int, d1 long, d2 long"))
     key = ["d1", "d2"]
     place = F.struct(F.col("id").isNull().alias("nameless"), "id", "doc", "unit")
@@ -104,3 +107,20 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
             end += 1
         at = max(at, end)
     return "".join([*out, text[at:]])
+
+
+def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """The same rows and columns with all repeats of ``repeated`` cut out of the texts; the earliest occurrence of each stays."""
+    runs = repeated(docs, id_col=id_col, text_col=text_col, min_words=min_words)
+    spans = runs.groupBy(F.col(id_col).alias("id"), F.col("text_hash").alias("hash")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"))
+    met = rows.alias("r").join(spans.alias("s"), F.col("r.id").eqNullSafe(F.col("s.id")) & (F.col("r.hash") == F.col("s.hash")), "left").select("doc", "spans", F.col(f"doc.{text_col}").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            given = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+            texts = [cut_spans(t, [(x["start"], x["end"]) for x in spans]) if spans else t for t, spans in given]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], ["doc", "text"])
+
+    cut = met.mapInArrow(run, T.StructType([met.schema["doc"], T.StructField("text", T.StringType())]))
+    return cut.select(*(F.col("text").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns))

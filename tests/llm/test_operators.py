@@ -315,14 +315,39 @@ def test_an_id_on_different_texts_stays_in_each_group(spark, similarity):
     assert {t for k, t in got if not k} & {text[7], text[7] + " more"}
 
 
+def plain_repeats(rows, least):
+    """(id, text) to its spans: later occurrences of units, in runs of at least so many words."""
+    earliest, out = {}, {}
+    docs = sorted({x for x in rows if x[1]}, key=lambda x: (x[0] is None, x[0] or 0))
+    for at, (doc, text) in enumerate(docs):
+        run = []
+        for k, (start, end, plain) in enumerate([*subdedup.units(text), (0, 0, "")]):
+            if plain and earliest.setdefault(plain, (at, k)) != (at, k):
+                run.append((start, end, len(plain.split())))
+                continue
+            if sum(n for *_, n in run) >= least:
+                out.setdefault((doc, text), []).append((run[0][0], run[-1][1]))
+            run = []
+    return out
+
+
 def test_repeated_passages(spark):
     r = random.Random(8)
     passage = ". ".join("Word" + str(r.random()) + " " + sentence(r, 14) for _ in range(5)) + "."
     rows = [(k, ". ".join(sentence(r, 9) + str(r.random()) for _ in range(6)) + ".\n" + "Short common line.") for k in range(20)]
     rows += [(50 + k, f"Own {k} start {r.random()}. {passage} And own end {r.random()}.") for k in range(4)] + [(60, passage), (60, passage), (61, None), (62, ""), (None, passage), (63, passage.upper().replace(" ", "  "))]
-    docs = documents(spark, rows)
+    rows += [(70 + k, f"Clipped, {passage[40 * k : -30]}") for k in range(3)] + [(80, sentence(r, 40_000))]
+    docs = documents(spark, rows).withColumns({c: F.lit(c) for c in ("doc", "hash", "spans", "unit")})
     got = subdedup.repeated(docs).collect()
-    assert {x["doc_id"] for x in got} == {51, 52, 53, 60, None, 63}
+    assert {x["doc_id"] for x in got} == {51, 52, 53, 60, None, 63, 70, 71, 72}
+    for least in (25, 1):
+        want = plain_repeats(rows, least)
+        found = {(x["doc_id"], x["start"], x["end"]) for x in subdedup.repeated(docs, min_words=least).collect()}
+        assert found == {(doc, s, e) for (doc, _), spans in want.items() for s, e in spans}
+        removed = subdedup.remove(docs, min_words=least)
+        assert removed.columns == docs.columns
+        cut = sorted(((x["doc_id"], x["text"]) for x in removed.collect()), key=str)
+        assert cut == sorted(((doc, subdedup.cut_spans(t, want.get((doc, t), [])) if t else t) for doc, t in rows), key=str)
     by_id = dict(rows)
     for x in got:
         assert x["first_id"] == 50 and "Word" in by_id[x["doc_id"]][x["start"] : x["end"]] or x["doc_id"] == 63
