@@ -14,10 +14,15 @@ that reach the bound are verified by an alignment confined to them.
 The benchmark's index is broadcast in blocks of bounded size, each block being
 matched against all documents; a benchmark of any size is so many passes.
 
-Cases: a null or short text (document or item: under ``MIN_CHARS`` characters
-left after the normalisation) matches nothing; repeated items are reported one
-by one, repeated rows too; an empty benchmark gives no rows, and leaves all
-documents; a null document id stays null.
+The length of the q-grams follows the window's length, so that the lemma still
+asks for enough of them at the full budget.  An item of under ``MIN_CHARS``
+characters says too little inside a text; it is found where it is the whole
+text.
+
+Cases: a null text or one without letters and digits (document or item)
+matches nothing; repeated items are reported one by one, repeated rows too; an
+empty benchmark gives no rows, and leaves all documents; a null document id
+stays null.
 """
 
 from __future__ import annotations
@@ -35,12 +40,12 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm.common import code_points, slices
 
-Q = 10
+LONGEST_Q = 10
 WINDOW = 100
 #: Edits allowed per character of a window.
 ERRORS = 0.08
-MIN_CHARS = 40
-#: Shared q-grams that the lemma asks for at least; fewer would let ordinary phrases pass.
+MIN_CHARS = 16
+#: Shared q-grams that the lemma asks for at least, in windows of 48 characters or more; in shorter ones a third of their length.
 SHARED = 16
 #: Characters of benchmark text in one broadcast block (about 60 bytes of index each).
 BLOCK_CHARS = 1 << 20
@@ -72,71 +77,99 @@ def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, places
 
 
-def grams(points: np.ndarray) -> np.ndarray:
+def grams(points: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of every q-gram."""
-    if len(points) < Q:
+    if len(points) < q:
         return np.zeros(0, np.uint64)
-    n = len(points) - Q + 1
+    n = len(points) - q + 1
     value = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(Q):
+        for k in range(q):
             value = value * np.uint64(1_000_003) + points[k : k + n]
         return value * _MULTIPLIER
 
 
 def budget(length: int) -> int:
-    """Edits allowed in a window of this length; the lemma then still asks for ``SHARED`` q-grams."""
-    return max(0, min(int(length * ERRORS), (length - Q + 1 - SHARED) // Q))
+    """Edits allowed in a window of this length."""
+    return int(length * ERRORS)
+
+
+@cache
+def gram_length(length: int) -> int:
+    """The longest q-grams of which a stretch within the budget still shares enough with the window."""
+    return next(q for q in range(LONGEST_Q, 0, -1) if q == 1 or length - q + 1 - q * budget(length) >= min(SHARED, length / 3))
 
 
 def bound(length: int) -> int:
     """q-grams that a stretch within the budget shares with the window at least."""
-    return length - Q + 1 - Q * budget(length)
+    q = gram_length(length)
+    return length - q + 1 - q * budget(length)
 
 
 @dataclass(frozen=True)
-class Index:
-    """The windows of a block of items, and their q-grams sorted by hash."""
+class Grams:
+    """The q-grams of one length, sorted by hash, of the windows that are searched with them."""
 
-    items: list[int]
-    windows: list[tuple[int, np.ndarray]]
+    q: int
     hashes: np.ndarray
     window_of: np.ndarray
     place_of: np.ndarray
     present: np.ndarray
-    bounds: np.ndarray
     least: int
     longest: int
 
 
+@dataclass(frozen=True)
+class Index:
+    """The windows of a block of items, with the least number of shared q-grams of each; and the items that must be a whole text."""
+
+    items: list[int]
+    windows: list[tuple[int, np.ndarray]]
+    bounds: np.ndarray
+    grams: list[Grams]
+    whole: dict[bytes, list[int]]
+
+
+def _stripped(points: np.ndarray) -> np.ndarray:
+    return points[:-1] if len(points) and points[-1] == 32 else points
+
+
+def _grams_of(q: int, numbers: list[int], windows: list[tuple[int, np.ndarray]]) -> Grams:
+    each = [grams(windows[k][1], q) for k in numbers]
+    hashes = np.concatenate(each)
+    order = np.argsort(hashes, kind="stable")
+    present = np.zeros(1 << _FILTER_BITS, bool)
+    present[hashes >> np.uint64(64 - _FILTER_BITS)] = True
+    lengths = [len(windows[k][1]) for k in numbers]
+    return Grams(
+        q,
+        hashes[order],
+        np.repeat(np.array(numbers), [len(e) for e in each])[order].astype(np.int32),
+        np.concatenate([np.arange(len(e)) for e in each])[order].astype(np.int32),
+        present,
+        min(map(bound, lengths)),
+        max(n + budget(n) for n in lengths),
+    )
+
+
 def build_index(items: list[tuple[int, str]]) -> Index | None:
     windows: list[tuple[int, np.ndarray]] = []
+    whole: dict[bytes, list[int]] = {}
     for k, (_, text) in enumerate(items):
-        points, _ = normalised(text or "")
-        points = points[:-1] if len(points) and points[-1] == 32 else points
+        points = _stripped(normalised(text or "")[0])
+        if 0 < len(points) < MIN_CHARS:
+            whole.setdefault(points.tobytes(), []).append(k)
         if len(points) < MIN_CHARS:
             continue
         stops = list(range(min(WINDOW, len(points)), len(points) + 1, WINDOW // 2))
         for stop in dict.fromkeys([*stops, len(points)]):
             windows.append((k, points[max(0, stop - WINDOW) : stop]))
-    if not windows:
+    if not windows and not whole:
         return None
-    each = [grams(p) for _, p in windows]
-    hashes = np.concatenate(each)
-    order = np.argsort(hashes, kind="stable")
-    present = np.zeros(1 << _FILTER_BITS, bool)
-    present[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-    return Index(
-        [i for i, _ in items],
-        windows,
-        hashes[order],
-        np.repeat(np.arange(len(each)), [len(e) for e in each])[order].astype(np.int32),
-        np.concatenate([np.arange(len(e)) for e in each])[order].astype(np.int32),
-        present,
-        np.array([bound(len(p)) for _, p in windows]),
-        min(bound(len(p)) for _, p in windows),
-        max(len(p) + budget(len(p)) for _, p in windows),
-    )
+    by_q: dict[int, list[int]] = {}
+    for k, (_, p) in enumerate(windows):
+        by_q.setdefault(gram_length(len(p)), []).append(k)
+    return Index([i for i, _ in items], windows, np.array([bound(len(p)) for _, p in windows], np.int64), [_grams_of(q, ks, windows) for q, ks in sorted(by_q.items())], whole)
 
 
 def _retained(hits: np.ndarray, least: int, reach: int) -> np.ndarray:
@@ -200,26 +233,37 @@ Region = tuple[int, int, int, int, int]
 
 def find_regions(text: str, index: Index) -> list[Region]:
     """(item number, start, end, edits, window characters) of every window found; offsets in the source's code points."""
-    if len(text) < MIN_CHARS:
+    if not text:
         return []
     points, places = normalised(text)
-    values = grams(points)
-    hits = np.flatnonzero(index.present[(values >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-    hits = _retained(hits, index.least, index.longest)
+    out: dict[tuple[int, int, int], Region] = {}
+    if len(points) <= MIN_CHARS and index.whole:
+        own = _stripped(points)
+        for item in index.whole.get(own.tobytes(), []):
+            out[item, 0, 0] = (item, int(places[0]), int(places[len(own) - 1]) + 1, 0, len(own))
+    for part in index.grams:
+        _search(points, places, index, part, out)
+    return sorted(out.values())
+
+
+def _search(points: np.ndarray, places: np.ndarray, index: Index, part: Grams, out: dict[tuple[int, int, int], Region]) -> None:
+    """Adds the windows found by q-grams of one length."""
+    values = grams(points, part.q)
+    hits = np.flatnonzero(part.present[(values >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+    hits = _retained(hits, part.least, part.longest)
     if not len(hits):
-        return []
-    low = np.searchsorted(index.hashes, values[hits], "left")
-    high = np.searchsorted(index.hashes, values[hits], "right")
+        return
+    low = np.searchsorted(part.hashes, values[hits], "left")
+    high = np.searchsorted(part.hashes, values[hits], "right")
     hits, low, high = (x[high > low] for x in (hits, low, high))
     # Common q-grams that pass the filter by chance are dropped by the exact lookup above; what is left is retained again.
-    stay = np.isin(hits, _retained(hits, index.least, index.longest))
+    stay = np.isin(hits, _retained(hits, part.least, part.longest))
     hits, low, n = hits[stay], low[stay], (high - low)[stay]
     if not len(hits):
-        return []
+        return
     where = np.repeat(hits, n)
     entry = np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-    window, diagonal = index.window_of[entry], where - index.place_of[entry]
-    out: dict[tuple[int, int, int], Region] = {}
+    window, diagonal = part.window_of[entry], where - part.place_of[entry]
     tried: set[tuple[int, int]] = set()
     width = int(WINDOW * ERRORS)
     # Bands of twice the width, each overlapping the next by half: any width of neighbouring diagonals lies in one.
@@ -245,7 +289,6 @@ def find_regions(text: str, index: Index) -> list[Region]:
             e = max(e, s + 1)
             region = (item, int(places[s]), int(places[min(e, len(places)) - 1]) + 1, edits, len(letters))
             out.setdefault((item, region[1], region[2]), region)
-    return sorted(out.values())
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:

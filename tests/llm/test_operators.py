@@ -543,6 +543,46 @@ def test_decontamination(spark):
     assert decontam.find(docs, benchmark.limit(0)).count() == 0 and decontam.remove(docs, benchmark.limit(0)).count() == docs.count()
 
 
+def best_stretch(window, text):
+    """The least edit distance of the whole window to any stretch of the text."""
+    cost = np.zeros(len(text) + 1, np.int64)
+    for k, letter in enumerate(window):
+        step = np.empty_like(cost)
+        step[0] = k + 1
+        step[1:] = np.minimum(cost[:-1] + (text != letter), cost[1:] + 1)
+        cost = np.minimum.accumulate(step - np.arange(len(step))) + np.arange(len(step))
+    return int(cost.min())
+
+
+def test_decontamination_finds_the_whole_budget():
+    """Every window whose best alignment is within the budget, by comparing all windows with all texts."""
+    r = random.Random(23)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    items = [(k, " ".join(word() for _ in range(60))[: r.choice([16, 20, 25, 30, 40, 50, 60, 80, 99, 100, 180])].strip() + "x") for k in range(40)]
+    index = decontam.build_index(items)
+    assert all(decontam.bound(n) >= min(decontam.SHARED, n / 3) for n in range(decontam.MIN_CHARS, 101))
+    hits = misses = 0
+    for k, (_, item) in enumerate(items * 4):
+        copy, edits = list(item), r.randint(0, int(len(item) * 0.1) + 1)
+        for _ in range(edits):
+            at = r.randrange(len(copy))
+            copy[at : at + 1] = r.choice([[], ["q"], [copy[at], "r"]])
+        text = " ".join(word() for _ in range(12)) + " " + "".join(copy) + " " + " ".join(word() for _ in range(12))
+        points = decontam.normalised(text)[0]
+        got = {x[0] for x in decontam.find_regions(text, index)}
+        want = {i for i, w in index.windows if best_stretch(w, points) <= decontam.budget(len(w))}
+        assert got == want, (k, item, text)
+        hits, misses = hits + bool(want), misses + (not want)
+    assert hits > 60 and misses > 10
+
+
+def test_decontamination_of_short_items_and_no_documents(spark):
+    benchmark = spark.createDataFrame([(1, "Yes, it is."), (2, "a much longer item that is searched inside of texts, word by word")], "item_id long, text string")
+    docs = documents(spark, [(1, "yes IT is"), (2, "well, yes it is so"), (3, ""), (4, None)])
+    assert {(x["doc_id"], x["item_id"]) for x in decontam.find(docs, benchmark).collect()} == {(1, 1)}
+    assert decontam.find(docs.limit(0), benchmark).count() == 0 and decontam.remove(docs.limit(0), benchmark).count() == 0
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 100)
     items = [(k, f"passage number {k} " + " ".join(f"w{k}{j}x" for j in range(20))) for k in range(4)]
