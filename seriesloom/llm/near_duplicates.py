@@ -8,15 +8,16 @@ selective key for that.  So further candidates are texts that agree in one of
 at 0.85 with 0.9999), and a candidate links only if the exact Jaccard
 similarity of the two shingle sets is at least ``similarity``.
 
-A band's bucket may hold any share of the corpus.  Pairs are needed only
+A band's bucket may hold any share of the corpus.  Links are needed only
 between texts that aren't in one component yet, so a bucket is taken in
-rounds.  In each round some members outside the bucket's largest component
-lead: they are compared with all members of other components, and what is
-verified is merged before the next round.  A bucket is finished once all
-members outside its largest component have led, i.e. when no pair across
-components is left uncompared.  The outcome is that of comparing all pairs of
-every bucket; a large group of copies takes a few rows per member, while a bucket of g
-texts that are all unlike takes g * g in its last round.
+rounds.  It has an anchor, a member of its largest component.  In each round
+some of the members outside the anchor's component lead: they are compared
+with all members of other components, and what is linked is merged before the
+next round.  A bucket is finished once every member that isn't in the anchor's
+component has led, i.e. when no pair across components is left uncompared.
+The outcome is that of comparing all pairs of every bucket.  A large bucket is
+dealt to tasks in chunks, each with all leaders of the round; rows are as many
+as members, plus the leaders once per chunk, and pairs are never listed.
 
 Cases: null, empty and blank texts have no shingle and are one group; texts of
 fewer words than a shingle have one shingle of them all; texts equal after
@@ -34,7 +35,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +47,10 @@ from seriesloom.llm.heavy import lookup
 BANDS, ROWS = 24, 7
 #: Expected leaders of a bucket in the first round; each later round takes eight times as many.
 LEADERS = 2
-#: Up to so many, a bucket's leaders are handed to its members as one list.
-LISTED = 128
+#: Members of a bucket that one task compares with the leaders.
+CHUNK = 1024
+#: Tables of up to so many rows, each of a few numbers, are broadcast.
+BROADCAST_ROWS = 1 << 20
 
 
 @cache
@@ -84,52 +87,97 @@ def band_keys(distinct: np.ndarray) -> np.ndarray:
 
 
 def _signed(shingle_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The rows, without their text's copy, with what is compared of them."""
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            digests, fps, keys, sets = [], [], [], []
+            digests, fps, keys = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes, words = shingle_hashes(text, shingle_words)
-                distinct = np.unique(hashes)
                 digests.append(xxhash.xxh3_128_digest(words))
                 fps.append(simhash.majority(hashes) if len(hashes) else 0)
-                keys.append(band_keys(distinct))
-                sets.append(np.unique(distinct.astype(np.uint32)).view(np.int32))
-            made = [pa.array(digests, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), *made], ["doc", "place", "digest", "fp", "bands", "shingles"])
+                keys.append(band_keys(np.unique(hashes)))
+            made = [pa.array(digests, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("place"), *made], ["place", "digest", "fp", "bands"])
+
+    return run
+
+
+def _sets(shingle_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The shingles of each text as sorted 32-bit hashes without repeats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.unique(shingle_hashes(t, shingle_words)[0].astype(np.uint32)).view(np.int32) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(found, pa.list_(pa.int32()))], ["cls", "shingles"])
 
     return run
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Of two arrays without repeats."""
-    shared = F.size(F.array_intersect(a, b))
-    return shared / (F.size(a) + F.size(b) - shared)
+class _Leaders:
+    """The leaders of one bucket, with their shingles in one sorted list."""
 
+    def __init__(self, comps: list[int], sets: list[np.ndarray], similarity: float):
+        self.comps, self.similarity = np.array(comps, np.int64), similarity
+        self.lengths = np.array([len(x) for x in sets])
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.lengths)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owner = every[order], owner[order]
 
-def _verified(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Those ``pairs`` (a, b, ...) whose shingle sets are similar enough; ``classes``: (cls, shingles)."""
-    ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    needed = stored(classes.join(ends, "cls", "left_semi"))
-    both = pairs.join(needed.select(F.col("cls").alias("b"), F.col("shingles").alias("of_b")), "b").join(needed.select(F.col("cls").alias("a"), F.col("shingles").alias("of_a")), "a")
-    return both.filter(jaccard(F.col("of_a"), F.col("of_b")) >= similarity).select(*pairs.columns)
+    def linked(self, comp: int, shingles: np.ndarray) -> set[int]:
+        """The other components that have a leader which is similar enough."""
+        low, high = (np.searchsorted(self.every, shingles, side) for side in ("left", "right"))
+        n = high - low
+        at = np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        shared = np.bincount(self.owner[at], minlength=len(self.comps))
+        close = shared >= self.similarity * (self.lengths + len(shingles) - shared) - 1e-9
+        return set(self.comps[close & (self.comps != comp)].tolist())
 
 
-def _candidates(members: DataFrame, sizes: DataFrame, leaders: int, total: int) -> DataFrame:
-    """(a, b, comp_a, comp_b): this round's leaders against the members of other components; ``members``: (key, cls, comp)."""
-    drawn = F.pmod(F.xxhash64("cls", "key"), F.col("m")) < leaders
-    leading = lookup(members, sizes, ["key"], "n", total=total).filter((F.col("comp") != F.col("largest")) & ((F.col("m") <= leaders) | drawn)).select("key", "cls", "comp")
-    if leaders <= LISTED:
-        lists = leading.groupBy("key").agg(F.collect_list(F.struct("cls", "comp")).alias("leading"))
-        met = lookup(members, stored(sizes.select("key", "n").join(lists, "key")), ["key"], "n", total=total)
-        met = met.select("cls", "comp", F.explode(F.filter("leading", lambda x: x["comp"] != F.col("comp"))).alias("x"))
-    else:
-        apart = [F.col("l.key") == F.col("o.key"), F.col("l.comp") != F.col("o.comp")]
-        met = leading.alias("l").join(members.alias("o"), apart).select("o.cls", "o.comp", F.struct("l.cls", "l.comp").alias("x"))
-    first = F.col("x.cls") < F.col("cls")
-    ends = {"a": ("x.cls", "cls"), "b": ("cls", "x.cls"), "comp_a": ("x.comp", "comp"), "comp_b": ("comp", "x.comp")}
-    return met.select(*(F.when(first, F.col(p)).otherwise(F.col(q)).alias(name) for name, (p, q) in ends.items())).distinct()
+def _compared(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(comp_a, comp_b) linked by rows (key, chunk, lead, own, comp, shingles) that come by bucket and chunk, leaders first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, index = None, None
+        comps: list[int] = []
+        sets: list[np.ndarray] = []
+        own: list[bool] = []
+        links: set[tuple[int, int]] = set()
+
+        def close() -> None:
+            """All leaders are there; those dealt to this chunk are compared with each other."""
+            nonlocal index
+            if index is None and comps:
+                index = _Leaders(comps, sets, similarity)
+                for comp, shingles, mine in zip(comps, sets, own, strict=True):
+                    if mine:
+                        links.update((comp, other) for other in index.linked(comp, shingles))
+
+        for batch in slices(batches):
+            given = [batch.column(c).to_pylist() for c in ("key", "chunk", "lead", "own", "comp")]
+            for key, chunk, lead, mine, comp, shingles in zip(*given, batch.column("shingles"), strict=True):
+                if (key, chunk) != bucket:
+                    close()
+                    bucket, index, comps, sets, own = (key, chunk), None, [], [], []
+                values = shingles.values.to_numpy()
+                if lead:
+                    comps.append(comp)
+                    sets.append(values)
+                    own.append(mine)
+                    continue
+                close()
+                if index is not None:
+                    links.update((comp, other) for other in index.linked(comp, values))
+            out = [(min(x), max(x)) for x in links]
+            links.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["comp_a", "comp_b"])
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], ["comp_a", "comp_b"])
+
+    return run
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """``table``, to be broadcast if its rows are few enough; else Spark joins by a shuffle."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -139,26 +187,40 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(step, "comp", "left").select("cls", F.coalesce("component", "comp").alias("comp")))
 
 
-def similar_groups(classes: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """``labels`` (cls, comp) after all texts of ``classes`` (cls, bands, shingles) that share a bucket and are similar were joined."""
-    every = stored(classes.select("cls", F.explode("bands").alias("key")))
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(lookup(every, stored(shared), ["key"], "n").select("key", "cls"))
+def similar_groups(bands: DataFrame, labels: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """``labels`` (cls, comp) after all texts that share a bucket and are similar were joined.
+
+    ``bands``: (cls, bands); ``sets_of`` gives (cls, shingles) of the classes (cls) that need them.
+    """
+    every = stored(bands.join(labels, "cls").select("cls", "comp", F.explode("bands").alias("key")))
+    by_comp = every.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("anchor"))
+    keys = by_comp.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "anchor")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    keys = stored(keys.select("key", "n", F.col("top.anchor").alias("anchor"), F.lit(0.0).alias("low")))
+    members = stored(lookup(every.select("key", "cls"), keys, ["key"], "n").select("key", "cls"))
+    sets = stored(sets_of(members.select("cls").distinct()))
+    share = F.pmod(F.xxhash64("cls", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     leaders = LEADERS
     while True:
         total = members.count()
-        now = stored(members.join(labels, "cls"))
-        by_comp = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        sizes = by_comp.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
-        sizes = stored(sizes.select("key", "n", (F.col("n") - F.col("top.n")).alias("m"), F.col("top.comp").alias("largest")).filter("m > 0"))
+        anchored = stored(keys.join(labels.select(F.col("cls").alias("anchor"), F.col("comp").alias("home")), "anchor"))
+        now = stored(lookup(members.join(labels, "cls"), anchored, ["key"], "n", total=total).withColumn("waits", (F.col("comp") != F.col("home")) & (share >= F.col("low"))))
+        waiting = now.filter("waits").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+        high = F.when(F.col("m") <= leaders, 1.0).otherwise(F.col("low") + (1 - F.col("low")) * leaders / F.col("m"))
+        sizes = stored(anchored.join(waiting, "key").select("key", "n", "anchor", "m", high.alias("high")))
         if sizes.isEmpty():
             return labels
-        pairs = stored(_candidates(now, sizes, leaders, total))
-        labels = _joined(labels, _verified(pairs, classes, similarity))
-        unfinished = sizes.filter(F.col("m") > leaders)
-        if unfinished.isEmpty():
+        rows = lookup(now.select("key", "cls", "comp", "waits"), sizes.select("key", "n", "high"), ["key"], "n", total=total).withColumn("lead", F.col("waits") & (share < F.col("high")))
+        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+        home = F.pmod(F.xxhash64("cls"), chunks).cast("int")
+        rows = rows.select("key", "cls", "comp", "lead", home.alias("home"), F.explode(F.when(F.col("lead"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(home))).alias("chunk"))
+        rows = rows.withColumn("own", F.col("chunk") == F.col("home")).drop("home").join(sets, "cls")
+        rows = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", F.col("lead").desc())
+        links = rows.select("key", "chunk", "lead", "own", "comp", "shingles").mapInArrow(_compared(similarity), "comp_a long, comp_b long").distinct()
+        labels = _joined(labels, links)
+        keys = stored(sizes.filter(F.col("m") > leaders).select("key", "n", "anchor", F.col("high").alias("low")))
+        if keys.isEmpty():
             return labels
-        members = stored(lookup(members, unfinished.select("key", "n"), ["key"], "n", total=total).select("key", "cls"))
+        members = stored(lookup(members, keys, ["key"], "n", total=total).select("key", "cls"))
         leaders *= 8
 
 
@@ -180,19 +242,32 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     smallest hash over its columns stays.
     """
     text = F.col(text_col).cast("string")
-    hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
-    place = F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), F.xxhash64(*hashed).alias("row_hash"))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), place.alias("place"), text.alias("text"))
-    made = T.StructType.fromDDL("digest binary, fp long, bands array<long>, shingles array<int>")
-    signed = rows.mapInArrow(_signed(shingle_words), T.StructType([rows.schema["doc"], rows.schema["place"], *made]))
+    # A row is known by two hashes, of its text and of all its columns; rows that agree in both are copies.
+    by_text, by_row = F.xxhash64(text), F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind))
+    place = F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).cast("long").alias("id"), by_text.alias("h1"), by_row.alias("h2"))
+    rows = docs.select(place.alias("place"), text.alias("text"))
+    made = T.StructType.fromDDL("digest binary, fp long, bands array<long>")
+    signed = rows.mapInArrow(_signed(shingle_words), T.StructType([rows.schema["place"], *made]))
     # Written once, so the numbers given to the rows stay.
     marked = stored(signed.withColumn("row", F.monotonically_increasing_id()))
-    first = F.struct("place", "row")
-    by_digest = stored(marked.groupBy("digest").agg(F.min("row").alias("cls"), F.min(first).alias("first"), F.first("fp").alias("fp")))
-    labels = _fingerprint_groups(by_digest.select("cls", "fp"), max_bits)
+    by_place = marked.groupBy("digest", "place").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("same"), F.first("fp").alias("fp"))
+    classes = by_place.groupBy("digest").agg(F.min(F.struct("place", "row", "same")).alias("first"), F.first("fp").alias("fp"))
+    classes = stored(classes.select(F.col("first.row").alias("cls"), "fp", "first"))
+    labels = _fingerprint_groups(classes.select("cls", "fp"), max_bits)
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), by_text.alias("h1"), by_row.alias("h2"))
+    key = ["h1", "h2"]
+
+    def sets_of(needed: DataFrame) -> DataFrame:
+        wanted = stored(classes.join(needed, "cls").select("cls", "first.place.h1", "first.place.h2"))
+        texts = docs.select(text.alias("text"), by_text.alias("h1"), by_row.alias("h2")).join(_small(wanted), key)
+        return texts.groupBy("cls").agg(F.first("text").alias("text")).mapInArrow(_sets(shingle_words), "cls long, shingles array<int>")
+
     if similarity is not None:
-        heads = marked.select(F.col("row").alias("cls"), "bands", "shingles").join(by_digest.select("cls"), "cls", "left_semi")
-        labels = similar_groups(stored(heads), labels, similarity)
-    chosen = by_digest.select("cls", "first").join(labels, "cls").groupBy("comp").agg(F.min("first").alias("first"))
-    kept = marked.select("row", "doc").join(chosen.select(F.col("first.row").alias("row")), "row", "left_semi")
-    return kept.select("doc.*")
+        labels = similar_groups(marked.select(F.col("row").alias("cls"), "bands"), labels, sets_of, similarity)
+    chosen = stored(classes.join(labels, "cls").groupBy("comp").agg(F.min("first").alias("first")).select("first.place.h1", "first.place.h2", "first.same"))
+    # All rows but the chosen go; of a chosen row's copies one stays.
+    gone = stored(by_place.select("place.h1", "place.h2").join(chosen.filter("same = 1"), key, "left_anti"))
+    once = whole.join(_small(gone), key, "left_anti").select("doc.*")
+    again = chosen.filter("same > 1").select("h1", "h2", "same")
+    copies = lookup(whole, again, key, "same").groupBy(*key).agg(F.first("doc").alias("doc")).select("doc.*")
+    return once.unionByName(copies)

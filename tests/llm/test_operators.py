@@ -268,11 +268,12 @@ def edited(r, base, share):
     return " ".join("v" + str(r.random()) if r.random() < share else w for w in base)
 
 
-@pytest.mark.parametrize(("leaders", "listed"), [(2, 128), (1, 0)])
-def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, leaders, listed):
+@pytest.mark.parametrize(("leaders", "chunk", "few"), [(2, 1024, 1 << 20), (1, 7, 0)])
+def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, leaders, chunk, few):
     """Single copies, chains, and a large group around one text whose copies are often unlike each other."""
     monkeypatch.setattr(near_duplicates, "LEADERS", leaders)
-    monkeypatch.setattr(near_duplicates, "LISTED", listed)  # 0: leaders and members are joined as rows
+    monkeypatch.setattr(near_duplicates, "CHUNK", chunk)  # 7: most buckets are dealt to several tasks
+    monkeypatch.setattr(near_duplicates, "BROADCAST_ROWS", few)
     r = random.Random(16)
     rows = [(k, " ".join(f"w{r.random()}" for _ in range(80))) for k in range(30)]
     for g in range(12):
@@ -283,7 +284,7 @@ def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, leaders, lis
     for k in range(25):  # texts that share a passage and no more: alike in some buckets, no duplicates
         rows.append((20_000 + k, " ".join(shared + [f"o{r.random()}" for _ in range(80)])))
     rows += [(400, None), (401, ""), (402, rows[0][1]), (403, rows[0][1].upper() + "  "), (None, rows[1][1]), (None, "one of its own"), (None, "one of its own"), (5, rows[5][1])]
-    docs = documents(spark, rows).withColumns({c: F.lit(k) for k, c in enumerate(("_fp", "_root", "_sig", "_cls", "_hash", "_id", "_copies", "row", "doc", "place", "digest", "bands", "key", "comp", "cls"))})
+    docs = documents(spark, rows).withColumns({c: F.lit(k) for k, c in enumerate(("_fp", "_root", "_sig", "_cls", "_hash", "_id", "_copies", "row", "doc", "place", "digest", "bands", "key", "comp", "cls", "h1", "h2", "same", "first"))})
     got = near_duplicates.deduplicate(docs)
     assert got.columns == docs.columns
     found = sorted(((x["doc_id"] is None, x["doc_id"]) for x in got.collect()), key=lambda x: (x[0], x[1] or 0))
