@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     return _own_dir[0]
