@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.functions.expr import base_years_of, run_status
+from seriesloom.functions.expr import base_years_of, run_status, stable_id
 from seriesloom.operators.cleaning import Cleaned, clean, silver_records
 from seriesloom.operators.linking import Linked, chain_link
 from seriesloom.operators.publish import growth_records, level_records, unmatched
@@ -16,6 +17,7 @@ from seriesloom.plans.reports import observed_range
 from seriesloom.shared import written
 from seriesloom.sinks import tables
 from seriesloom.sources.payload import raw_rows, row_violations, split_envelopes
+from seriesloom.sources.scan import by_id
 
 
 @dataclass(frozen=True)
@@ -47,34 +49,38 @@ def to_silver(payloads: DataFrame, now: datetime, source: str = "landed", freque
 
 
 def hop_log(counters: DataFrame, source: str, target: str, kind: str) -> DataFrame:
-    """Audit rows of a hop from (indicator_id, records_processed, records_written, records_failed)."""
+    """Audit rows of a hop from (indicator_id, records_processed, records_written, records_failed); further counters go to ``metadata``."""
+    known = {"indicator_id", "records_processed", "records_written", "records_failed", "status"}
+    more = [c for c in counters.columns if c not in known]
     return counters.select(
         "indicator_id",
         F.lit(source).alias("source_layer"),
         F.lit(target).alias("target_layer"),
         F.lit(kind).alias("transformation_type"),
         "records_processed",
+        "records_written",
         "records_failed",
         run_status(F.col("records_written"), F.col("records_failed")).alias("status"),
         F.lit(None).cast("string").alias("error_message"),
+        (F.to_json(F.struct(*more)) if more else F.lit(None).cast("string")).alias("metadata"),
     )
 
 
 def collection_log(payloads: DataFrame, source: str = "landed") -> DataFrame:
     """A row per series: how many observation rows its payloads hold, or why there are none."""
     envelopes = split_envelopes(payloads)
-    good = envelopes.good.groupBy("indicator_id").agg(F.sum(F.size("rows")).alias("records_collected"))
+    good = envelopes.good.groupBy("indicator_id").agg(F.sum(F.size("rows")).alias("records_collected"), F.to_json(F.struct(F.count(F.lit(1)).alias("pages"), F.max(F.try_variant_get("meta", "$.lastupdated", "string")).alias("last_updated"))).alias("metadata"))
     failed = envelopes.violations.groupBy("indicator_id").agg(F.min("message").alias("error_message"))
     both = good.join(failed, "indicator_id", "full_outer")
     status = F.when(F.col("error_message").isNull(), "success").when(F.coalesce("records_collected", F.lit(0)) > 0, "partial").otherwise("failed")
-    return both.select("indicator_id", F.lit(source).alias("source_name"), F.coalesce("records_collected", F.lit(0)).alias("records_collected"), status.alias("status"), "error_message")
+    return both.select("indicator_id", F.lit(source).alias("source_name"), F.coalesce("records_collected", F.lit(0)).alias("records_collected"), status.alias("status"), "error_message", "metadata")
 
 
 def failure_log(violations: DataFrame, source: str, target: str, kind: str) -> DataFrame:
     """Audit rows of the series that failed a hop."""
     first = violations.groupBy("indicator_id").agg(F.min("message").alias("error_message"))
     zero = F.lit(0).cast("long")
-    return first.select("indicator_id", F.lit(source).alias("source_layer"), F.lit(target).alias("target_layer"), F.lit(kind).alias("transformation_type"), zero.alias("records_processed"), zero.alias("records_failed"), F.lit("failed").alias("status"), "error_message")
+    return first.select("indicator_id", F.lit(source).alias("source_layer"), F.lit(target).alias("target_layer"), F.lit(kind).alias("transformation_type"), zero.alias("records_processed"), zero.alias("records_written"), zero.alias("records_failed"), F.lit("failed").alias("status"), "error_message", F.lit(None).cast("string").alias("metadata"))
 
 
 def link_log(linked: Linked) -> DataFrame:
@@ -104,35 +110,61 @@ def to_gold(silver: DataFrame, catalog: DataFrame, include_growth: bool = True,
     return Gold(levels, growth, linked, log, link_log(linked))
 
 
+def landed(payloads: DataFrame, run_id: str) -> DataFrame:
+    """Bronze rows of a run's payloads: an id depends on run, series, page and payload, so a run that is repeated gives the same."""
+    return payloads.withColumn("bronze_id", stable_id(F.lit(run_id), "indicator_id", "page", F.sha2("payload", 256)))
+
+
+def history(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+    """All silver rows, old and new, of the series that ``new`` has rows of."""
+    ids = new.select("indicator_id").distinct()
+    return tables.upsert_silver(stored, new).join(ids, "indicator_id", "left_semi").drop("series_bucket")
+
+
+def replay(spark: SparkSession, root: str, ids: DataFrame, now: datetime) -> Silver:
+    """Silver rows of stored bronze rows (bronze_id), made anew without a fetch."""
+    bronze, _ = by_id(spark.read.parquet(f"{root}/bronze_raw"), ids, "bronze_id")
+    return to_silver(bronze.select("indicator_id", "page", "payload", "bronze_id"), now)
+
+
 def run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str, now: datetime, run_id: str, dry_run: bool = False) -> DataFrame:
     """All layers of all series; returns one outcome per series (indicator_id, records_written, records_failed, error).
 
-    A series that fails anywhere is left out of all layers.  Everything is
-    computed before anything is written; bronze, silver and gold follow in that
-    order and the audit rows last, each write can be repeated, so a run that
-    broke off is repaired by running it again.  ``dry_run`` only counts.
+    Gold is built from the whole stored history of the series that the
+    payloads belong to, with the new observations in it.  A series that fails
+    anywhere is left out of all layers.  Everything is computed before anything
+    is written; bronze, silver and gold follow in that order and the audit rows
+    last.  Each write can be repeated, and a run id that is run again replaces
+    what it wrote, so a run that broke off is repaired by running it again.
+    ``dry_run`` only counts.
     """
-    silver = to_silver(payloads, now)
-    gold = to_gold(silver.rows, catalog, run_id=run_id)
-    failed = silver.violations.unionByName(gold.linked.violations).groupBy("indicator_id").agg(F.min("message").alias("error"))
-    counted = silver.cleaned.counters.select("indicator_id", "records_written", "records_failed")
-    outcomes = payloads.select("indicator_id").distinct().join(counted, "indicator_id", "left").join(failed, "indicator_id", "left").fillna(0, ["records_written", "records_failed"])
+    began = time.monotonic()
+    bronze = landed(payloads, run_id)
+    silver = to_silver(bronze, now)
+    fresh = written(silver.rows)
+    stored = tables.read_or_none(spark, f"{root}/silver_cleaned") if root else None
+    gold = to_gold(history(stored, fresh), catalog, run_id=run_id)
+    violations = written(silver.violations.unionByName(gold.linked.violations))
+    failed = violations.groupBy("indicator_id").agg(F.min("message").alias("error"))
+    counters = written(silver.cleaned.counters)
+    counted = counters.select("indicator_id", "records_written", "records_failed")
+    outcomes = written(payloads.select("indicator_id").distinct().join(counted, "indicator_id", "left").join(failed, "indicator_id", "left").fillna(0, ["records_written", "records_failed"]))
     if dry_run:
         return outcomes
-    ok = payloads.join(failed, "indicator_id", "left_anti")
-    tables.append(ok.withColumn("run_id", F.lit(run_id)), f"{root}/bronze_raw")
-    good = silver.rows.join(failed, "indicator_id", "left_anti")
-    tables.write_bucketed(tables.upsert_silver(tables.read_or_none(spark, f"{root}/silver_cleaned"), good), f"{root}/silver_cleaned")
     levels = gold.levels.withColumn("parent_id", F.col("indicator_id"))
     growth = gold.growth.withColumn("parent_id", F.get_json_object("metadata", "$.derived_from"))
-    new = levels.unionByName(growth).join(failed.select(F.col("indicator_id").alias("parent_id")), "parent_id", "left_anti")
+    new = written(levels.unionByName(growth).join(failed.select(F.col("indicator_id").alias("parent_id")), "parent_id", "left_anti"))
+    tables.append_run(bronze.join(failed, "indicator_id", "left_anti"), f"{root}/bronze_raw", run_id)
+    good = fresh.join(failed, "indicator_id", "left_anti")
+    tables.write_bucketed(tables.upsert_silver(stored, good), f"{root}/silver_cleaned")
     ids = good.select("indicator_id").distinct()
     tables.write_bucketed(tables.replace_gold(tables.read_or_none(spark, f"{root}/gold_analytical"), ids, new), f"{root}/gold_analytical")
-    tables.append(collection_log(payloads).withColumn("run_id", F.lit(run_id)), f"{root}/data_collection_log")
-    log = hop_log(silver.cleaned.counters, "bronze", "silver", "clean").unionByName(failure_log(silver.violations, "bronze", "silver", "clean")).unionByName(gold.log)
-    tables.append(log.withColumn("run_id", F.lit(run_id)), f"{root}/transformation_log")
-    tables.append(gold.link_log.withColumn("run_id", F.lit(run_id)), f"{root}/chain_linking_log")
-    ranges = tables.update_availability(catalog, observed_range(good)) if {"availability_start", "availability_end"} <= set(catalog.columns) else None
-    if ranges is not None:
-        ranges.write.mode("overwrite").parquet(f"{root}/indicator_catalog/run={run_id}")
+    tables.append_run(collection_log(bronze), f"{root}/data_collection_log", run_id)
+    log = hop_log(counters, "bronze", "silver", "clean").unionByName(failure_log(silver.violations, "bronze", "silver", "clean")).unionByName(gold.log)
+    timed = log.withColumns({"started_at": F.lit(now), "duration_seconds": F.lit(time.monotonic() - began)})
+    tables.append_run(timed, f"{root}/transformation_log", run_id)
+    tables.append_run(gold.link_log, f"{root}/chain_linking_log", run_id)
+    if {"availability_start", "availability_end"} <= set(catalog.columns):
+        seen = observed_range(spark.read.parquet(f"{root}/silver_cleaned").join(ids, "indicator_id", "left_semi"))
+        tables.update_availability(catalog, seen).write.mode("overwrite").parquet(f"{root}/indicator_catalog/run={run_id}")
     return outcomes

@@ -27,8 +27,9 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Add a run's rows to an append-only table, as its partition ``run_id``; the same run again replaces its own rows."""
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def write_bucketed(df: DataFrame, path: str, key: str = "series_bucket") -> None:

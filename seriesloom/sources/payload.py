@@ -50,7 +50,8 @@ def split_envelopes(payloads: DataFrame) -> Envelopes:
     rows = F.when(is_list, _get("v", "$[1]", "array<variant>")).otherwise(_get("v", "$.rows", "array<variant>"))
     wrong = F.when(F.col("message").isNotNull(), F.col("message")).when(~(is_list | is_object), F.lit("payload is neither a list nor an object"))
     v = v.withColumn("problem", wrong)
-    good = v.filter("problem IS NULL").select("indicator_id", "page", F.when(F.schema_of_variant(meta).startswith("OBJECT"), meta).alias("meta"), F.coalesce(rows, F.array().cast("array<variant>")).alias("rows"))
+    told = [c for c in ("bronze_id",) if c in payloads.columns]
+    good = v.filter("problem IS NULL").select("indicator_id", "page", *told, F.when(F.schema_of_variant(meta).startswith("OBJECT"), meta).alias("meta"), F.coalesce(rows, F.array().cast("array<variant>")).alias("rows"))
     bad = v.filter("problem IS NOT NULL").select("indicator_id", F.when(F.col("message").isNotNull(), "api").otherwise("parse").alias("error_type"), F.col("problem").alias("message"))
     return Envelopes(good, bad)
 
@@ -66,11 +67,13 @@ def concatenated(good: DataFrame, max_pages: int = K.MAX_PAGES) -> DataFrame:
 
 
 def raw_rows(good: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
-    """One row per observation object: (indicator_id, page, code, name, date, value, unit, obs_status, pos), all as text; ``pos`` is its place in the payload."""
-    each = good.select("indicator_id", "page", F.posexplode("rows").alias("n", "row"))
+    """One row per observation object: (indicator_id, page, code, name, date, value, unit, obs_status, pos), all as text; ``pos`` is its place in the payload, ``bronze_id`` goes along where the envelopes have one."""
+    told = [c for c in ("bronze_id",) if c in good.columns]
+    each = good.select("indicator_id", "page", *told, F.posexplode("rows").alias("n", "row"))
     out = each.select(
         "indicator_id",
         "page",
+        *told,
         _get("row", "$.indicator.id").alias("code"),
         _get("row", "$.indicator.value").alias("name"),
         _get("row", "$.date").alias("date"),
