@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm.common import code_points, slices
 
-LONGEST_Q = 10
+LONGEST_Q = 9
 WINDOW = 100
 #: Edits allowed per character of a window.
 ERRORS = 0.08
