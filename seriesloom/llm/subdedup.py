@@ -82,7 +82,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     every = stored(rows.mapInArrow(_digested, "id long, doc long, unit int, start long, end long, words int, d1 long, d2 long"))
     key = ["d1", "d2"]
     place = F.struct(F.col("id").isNull().alias("nameless"), "id", "doc", "unit")
-    firsts = every.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n")).filter(F.col("first") != F.col("last"))
+    firsts = every.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = stored(firsts.select(*key, "n", "first"))
     marked = lookup(every, firsts, key, "n").filter(place != F.col("first"))
     in_doc = Window.partitionBy("id", "doc").orderBy("unit")
