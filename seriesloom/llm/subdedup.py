@@ -62,15 +62,15 @@ def units(text: str) -> list[tuple[int, int, str]]:
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        out: dict[str, list] = {k: [] for k in ("id", "doc", "unit", "start", "end", "words", "d1", "d2")}
+        out: dict[str, list] = {k: [] for k in ("id", "doc", "unit", "span", "d1", "d2")}
         for doc_id, text, doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if not text:
                 continue
             for k, (start, end, plain) in enumerate(units(text)):
                 digest = xxhash.xxh3_128_intdigest(plain.encode("utf-8", "surrogatepass"))
-                for name, v in zip(out, (doc_id, doc, k, start, end, plain.count(" ") + 1, digest >> 64, digest & (1 << 64) - 1), strict=True):
+                for name, v in zip(out, (doc_id, doc, k << 32 | plain.count(" ") + 1, start << 32 | end - start, digest >> 64, digest & (1 << 64) - 1), strict=True):
                     out[name].append(v)
-        kinds = {"id": pa.int64(), "doc": pa.int64(), "unit": pa.int32(), "start": pa.int64(), "end": pa.int64(), "words": pa.int32()}
+        kinds = {k: pa.int64() for k in ("id", "doc", "unit", "span")}
         arrays = [pa.array(v, kinds[k]) if k in kinds else pa.array(np.array(v, np.uint64).view(np.int64)) for k, v in out.items()]
         yield pa.RecordBatch.from_arrays(arrays, list(out))
 
@@ -79,15 +79,18 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """(id, start, end, words, units, first_id): the runs to remove, with the id of the earliest document that keeps the run's first unit."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("doc"))
-    every = stored(rows.mapInArrow(_digested, "id long, doc long, unit int, start long, end long, words int, d1 long, d2 long"))
+    # Two numbers share a long: the unit's place over its words, and its start over its length.
+    every = stored(rows.mapInArrow(_digested, "id long, doc long, unit long, span long, d1 long, d2 long"))
     key = ["d1", "d2"]
     place = F.struct(F.col("id").isNull().alias("nameless"), "id", "doc", "unit")
     firsts = every.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = stored(firsts.select(*key, "n", "first"))
     marked = lookup(every, firsts, key, "n").filter(place != F.col("first"))
     in_doc = Window.partitionBy("id", "doc").orderBy("unit")
-    once = marked.select("id", "doc", "unit", "start", "end", "words", F.col("first.id").alias("first_id")).dropDuplicates(["id", "doc", "unit"])
-    runs = once.withColumn("run", F.col("unit") - F.row_number().over(in_doc))
+    start, low = F.shiftright("span", 32), F.lit((1 << 32) - 1)
+    parts = [F.shiftright("unit", 32).alias("unit"), start.alias("start"), (start + F.col("span").bitwiseAND(low)).alias("end"), F.col("unit").bitwiseAND(low).alias("words")]
+    once = marked.select("id", "doc", "unit", "span", F.col("first.id").alias("first_id")).dropDuplicates(["id", "doc", "unit"])
+    runs = once.select("id", "doc", *parts, "first_id").withColumn("run", F.col("unit") - F.row_number().over(in_doc))
     return (
         runs.groupBy("id", "doc", "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("units"), F.min_by("first_id", "unit").alias("first_id"))
