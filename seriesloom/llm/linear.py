@@ -175,7 +175,7 @@ def temperature(labels: np.ndarray, logits: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def slope_and_shift(labels: np.ndarray, margins: np.ndarray, weights: np.ndarray, prior: tuple[float, float], strength: float = 0.5, steps: int = 100) -> tuple[float, float]:
+def slope_and_shift(labels: np.ndarray, margins: np.ndarray, weights: np.ndarray, prior: tuple[float, float], strength: float = 0.02, steps: int = 100) -> tuple[float, float]:
     """Weighted logistic calibration of a binary margin by damped Newton steps, held near ``prior`` where there are few rows."""
     start = np.array(prior)
     theta, x = start.copy(), np.column_stack([margins, np.ones(len(margins))])
