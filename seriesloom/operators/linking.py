@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from seriesloom import constants as K
@@ -19,6 +19,13 @@ from seriesloom.shared import written
 
 LINK_ERROR = "chain_linking"
 
+_FRAME = ["indicator_id", "timestamp", "value", "original_value", "scale_factor", "is_linked"]
+
+
+def _whole() -> WindowSpec:
+    """All rows of one series."""
+    return Window.partitionBy("indicator_id")
+
 
 @dataclass(frozen=True)
 class Linked:
@@ -108,36 +115,38 @@ def growth_violations(frame: DataFrame, tolerance: float = K.GROWTH_TOLERANCE) -
     return bad.select("indicator_id", F.lit(LINK_ERROR).alias("error_type"), F.format_string("linking altered growth rates by %.6f", "worst").alias("message"), "worst")
 
 
+def _guarded(frame: DataFrame, tolerance: float = K.GROWTH_TOLERANCE) -> tuple[DataFrame, DataFrame]:
+    """The series that pass the growth guard, and violations for the others.  A window, so that the frame isn't made twice to be joined with itself."""
+    deviation = F.abs(change("value") - change("original_value"))
+    moved = frame.withColumn("_moved", F.when(~scale_changed() & is_finite(deviation), deviation))
+    worst = moved.withColumn("_worst", F.coalesce(F.max("_moved").over(_whole()), F.lit(0.0))).drop("_moved")
+    broken = worst.filter(F.col("_worst") > tolerance).groupBy("indicator_id").agg(F.max("_worst").alias("_worst"))
+    return worst.filter(F.col("_worst") <= tolerance).drop("_worst"), _violation(broken, F.format_string("linking altered growth rates by %.6f", "_worst"))
+
+
 def link_at_breaks(series: DataFrame, breaks: DataFrame) -> Linked:
     """Each older segment times the product of the junction ratios after it.
 
-    Series without breaks pass through unlinked and without confidence.
+    Series without breaks pass through unlinked and without confidence.  A
+    series' few breaks travel with its rows as one array, by one join.
     """
-    undefined = breaks.filter(F.col("level_ratio").isNull()).groupBy("indicator_id").agg(F.min("timestamp").alias("at"))
-    no_ratio = _violation(undefined, F.concat(F.lit("cannot chain-link across the break at "), F.date_format("at", "yyyy-MM-dd"), F.lit(": junction ratio is undefined")))
-    usable = breaks.join(undefined, "indicator_id", "left_anti")
-    newest_first = Window.partitionBy("indicator_id").orderBy(F.col("timestamp").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    factors = usable.select("indicator_id", F.col("timestamp").alias("until"), F.product("level_ratio").over(newest_first).alias("factor"))
-    steps = factors.groupBy("indicator_id").agg(F.array_sort(F.collect_list(F.struct("until", "factor"))).alias("steps"))
-    whole = prepared(series).join(undefined, "indicator_id", "left_anti").join(steps, "indicator_id", "left")
-    # The first break after an observation carries the product of all junctions still to cross.
-    ahead = F.get(F.filter("steps", lambda s: s["until"] > F.col("timestamp")), F.lit(0))["factor"]
-    factor = F.coalesce(ahead, F.lit(1.0))
-    frame = whole.withColumn("_factor", factor)
-    frame = frame.withColumns({"value": F.col("value") * F.col("_factor"), "scale_factor": F.col("scale_factor") * F.col("_factor"), "is_linked": F.abs(F.col("_factor") - 1) > K.SCALE_EPSILON}).drop("_factor", "steps")
-    broken = growth_violations(frame).drop("worst")
-    frame = frame.join(broken, "indicator_id", "left_anti")
-    ordered = usable.groupBy("indicator_id").agg(
-        F.count(F.lit(1)).alias("n_breaks"),
-        F.min_by("base_year_from", "timestamp").alias("base_year_from"),
-        F.max_by("base_year_to", "timestamp").alias("base_year_to"),
-        F.array_sort(F.collect_list(F.struct("timestamp", "base_year_from", "base_year_to", "detected_by", "level_ratio"))).alias("breaks"),
+    entry = F.struct("timestamp", "base_year_from", "base_year_to", "detected_by", "level_ratio")
+    known = breaks.groupBy("indicator_id").agg(
+        F.array_sort(F.collect_list(entry)).alias("breaks"),
+        F.min(F.when(F.col("level_ratio").isNull(), F.col("timestamp"))).alias("undefined_at"),
     )
-    linked = F.col("n_breaks").isNotNull()
+    undefined = known.filter("undefined_at IS NOT NULL")
+    no_ratio = _violation(undefined, F.concat(F.lit("cannot chain-link across the break at "), F.date_format("undefined_at", "yyyy-MM-dd"), F.lit(": junction ratio is undefined")))
+    rows = prepared(series).join(known, "indicator_id", "left").filter("undefined_at IS NULL").drop("undefined_at")
+    # All junctions between an observation and the newest base, newest first.
+    ahead = F.filter(F.reverse("breaks"), lambda b: b["timestamp"] > F.col("timestamp"))
+    rows = rows.withColumn("_factor", F.coalesce(F.aggregate(ahead, F.lit(1.0), lambda product, b: product * b["level_ratio"]), F.lit(1.0)))
+    rows = rows.withColumns({"value": F.col("value") * F.col("_factor"), "scale_factor": F.col("scale_factor") * F.col("_factor"), "is_linked": F.abs(F.col("_factor") - 1) > K.SCALE_EPSILON}).drop("_factor")
+    rows, broken = _guarded(rows)
+    linked = F.col("breaks").isNotNull()
     summary = (
-        frame.groupBy("indicator_id")
-        .agg(F.count_if("is_linked").alias("records_linked"))
-        .join(ordered, "indicator_id", "left")
+        rows.groupBy("indicator_id")
+        .agg(F.count_if("is_linked").alias("records_linked"), F.first("breaks").alias("breaks"))
         .select(
             "indicator_id",
             linked.alias("is_chain_linked"),
@@ -146,71 +155,84 @@ def link_at_breaks(series: DataFrame, breaks: DataFrame) -> Linked:
             F.when(linked, confidence(F.lit(0.0), F.lit(None).cast("double"))).alias("avg_confidence_score"),
             F.when(linked, F.lit(0)).cast("int").alias("overlap_period_months"),
             F.lit(None).cast("double").alias("growth_rate_variance"),
-            "base_year_from",
-            "base_year_to",
+            F.get("breaks", F.lit(0))["base_year_from"].alias("base_year_from"),
+            F.element_at("breaks", -1)["base_year_to"].alias("base_year_to"),
             "breaks",
         )
     )
-    return Linked(frame, summary, no_ratio.unionByName(broken), usable)
+    usable = known.filter("undefined_at IS NULL").select("indicator_id", F.inline("breaks"))
+    return Linked(rows.drop("breaks"), summary, no_ratio.unionByName(broken), usable)
 
 
 # --- overlaps ------------------------------------------------------------------
 
 
-def splice(old: DataFrame, new: DataFrame, frequency: str = "annual", overlap: int | None = None) -> Linked:
-    """Old series put on the base of new ones by the mean ratio of their shared periods.
+def _compared(old: DataFrame, new: DataFrame, frequency: str, overlap: int | None) -> DataFrame:
+    """Rows of both sides, each with its series' measurements and ``problem``: one exchange by series, all else are windows on it.
 
-    The new series holds from its first period on.  ``overlap`` takes the most
-    recent so many shared periods only.  The summary has a row per pair:
-    (indicator_id, scale, overlap_periods, ratio_variance, confidence,
-    base_year_from, base_year_to).
+    Each side has one row per series and period.  ``ends`` is null for a series
+    without old rows, ``boundary`` for one without new rows.
     """
-    before, after = prepared(old), prepared(new)
+    sides = [prepared(side).select(*_FRAME, F.lit(is_new).alias("is_new")) for side, is_new in ((old, False), (new, True))]
+    in_pairs = Window.partitionBy("indicator_id").orderBy("timestamp", "is_new")
+    partner = F.col("is_new") & ~F.lag("is_new").over(in_pairs) & (F.lag("timestamp").over(in_pairs) == F.col("timestamp"))
+    rows = sides[0].unionByName(sides[1]).withColumns({"shares": F.coalesce(partner, F.lit(False)), "ratio": F.when(partner, safe_ratio(F.col("value"), F.lag("value").over(in_pairs)))})
+    taken = F.col("shares")
+    if overlap is not None:
+        recent = Window.partitionBy("indicator_id").orderBy(F.col("shares").desc(), F.col("timestamp").desc())
+        rows = rows.withColumn("back", F.row_number().over(recent))
+        taken = taken & (F.col("back") <= overlap)
+    measured = rows.withColumns({
+        "shared": F.count_if("shares").over(_whole()),
+        "overlap_periods": F.count_if(taken).over(_whole()),
+        "usable": F.count(F.when(taken, F.col("ratio"))).over(_whole()),
+        "scale": F.avg(F.when(taken, F.col("ratio"))).over(_whole()),
+        "ratio_var": F.var_pop(F.when(taken, F.col("ratio"))).over(_whole()),
+        "ends": F.max(F.when(~F.col("is_new"), F.col("timestamp"))).over(_whole()),
+        "boundary": F.min(F.when(F.col("is_new"), F.col("timestamp"))).over(_whole()),
+    })
     required = min_overlap(F.lit(frequency))
-    shared = before.select("indicator_id", "timestamp", F.col("value").alias("old_value")).join(after.select("indicator_id", "timestamp", F.col("value").alias("new_value")), ["indicator_id", "timestamp"])
-    recent = Window.partitionBy("indicator_id").orderBy(F.col("timestamp").desc())
-    used = shared.withColumn("back", F.row_number().over(recent)).withColumn("ratio", safe_ratio(F.col("new_value"), F.col("old_value")))
-    taken = F.col("back") <= overlap if overlap is not None else F.lit(True)
-    measured = used.groupBy("indicator_id").agg(
-        F.count(F.lit(1)).alias("shared"),
-        F.count_if(taken).alias("overlap_periods"),
-        F.count(F.when(taken, F.col("ratio"))).alias("usable"),
-        F.avg(F.when(taken, F.col("ratio"))).alias("scale"),
-        F.var_pop(F.when(taken, F.col("ratio"))).alias("ratio_var"),
-    )
-    ends = before.groupBy("indicator_id").agg(F.year(F.max("timestamp")).alias("base_year_from"))
-    starts = after.groupBy("indicator_id").agg(F.min("timestamp").alias("boundary"))
-    both = ends.join(starts, "indicator_id").join(measured, "indicator_id", "left").fillna(0, ["shared", "overlap_periods", "usable"])
     problem = (
-        F.when(F.col("shared") < required, F.format_string("insufficient overlap to chain-link: %d shared period(s)", "shared"))
+        F.when(F.col("ends").isNull() | F.col("boundary").isNull(), F.lit(None).cast("string"))
+        .when(F.col("shared") < required, F.format_string("insufficient overlap to chain-link: %d shared period(s)", "shared"))
         .when(F.lit(overlap is not None) & (F.lit(overlap or 0) < required), F.lit(f"requested overlap of {overlap} period(s) is below the required number"))
         .when(F.col("usable") < required, F.format_string("only %d usable overlap ratio(s)", "usable"))
     )
-    both = both.withColumn("problem", problem)
-    refused = _violation(both.filter("problem IS NOT NULL"), F.col("problem"))
+    return measured.withColumn("problem", problem)
+
+
+def _joined_up(compared: DataFrame, frequency: str) -> Linked:
+    """The rescaled old rows before the boundary and the new ones from there on; series without old rows stay as they are, without a summary."""
+    refused = _violation(compared.filter("problem IS NOT NULL").groupBy("indicator_id").agg(F.first("problem").alias("problem")), F.col("problem"))
+    kept = compared.filter("problem IS NULL AND boundary IS NOT NULL AND (is_new OR timestamp < boundary)")
+
+    def scaled(name: str) -> Column:
+        return F.when(F.col("is_new"), F.col(name)).otherwise(F.col(name) * F.col("scale"))
+
+    frame = kept.withColumns({"value": scaled("value"), "scale_factor": scaled("scale_factor"), "is_linked": F.col("is_linked") | ~F.col("is_new")})
+    frame, broken = _guarded(frame)
     months = F.col("overlap_periods") * months_per_period(F.lit(frequency))
     # The variance of ratio / scale is the ratios' variance over the square of their mean.
-    pairs = both.filter("problem IS NULL").select(
-        "indicator_id",
-        "scale",
-        "boundary",
-        "overlap_periods",
-        (F.col("ratio_var") / (F.col("scale") * F.col("scale"))).alias("ratio_variance"),
-        "base_year_from",
-        F.year("boundary").alias("base_year_to"),
+    summary = frame.filter("ends IS NOT NULL").groupBy("indicator_id").agg(
+        F.first("scale").alias("scale"),
+        F.first("overlap_periods").alias("overlap_periods"),
+        F.first(F.col("ratio_var") / (F.col("scale") * F.col("scale"))).alias("ratio_variance"),
+        F.year(F.first("ends")).alias("base_year_from"),
+        F.year(F.first("boundary")).alias("base_year_to"),
     )
-    pairs = pairs.withColumn("confidence", confidence(months, F.col("ratio_variance")))
-    columns = ["indicator_id", "timestamp", "value", "original_value", "scale_factor", "is_linked"]
-    rescaled = (
-        before.select(*columns)
-        .join(pairs.select("indicator_id", "scale", "boundary"), "indicator_id")
-        .filter(F.col("timestamp") < F.col("boundary"))
-        .select("indicator_id", "timestamp", (F.col("value") * F.col("scale")).alias("value"), "original_value", (F.col("scale_factor") * F.col("scale")).alias("scale_factor"), F.lit(True).alias("is_linked"))
-    )
-    kept = after.select(*columns).join(pairs.select("indicator_id"), "indicator_id", "left_semi")
-    frame = rescaled.unionByName(kept)
-    broken = growth_violations(frame).drop("worst")
-    return Linked(frame.join(broken, "indicator_id", "left_anti"), pairs.join(broken, "indicator_id", "left_anti").drop("boundary"), refused.unionByName(broken))
+    summary = summary.withColumn("confidence", confidence(months, F.col("ratio_variance")))
+    return Linked(frame.select(*_FRAME), summary, refused.unionByName(broken))
+
+
+def splice(old: DataFrame, new: DataFrame, frequency: str = "annual", overlap: int | None = None) -> Linked:
+    """Old series put on the base of new ones by the mean ratio of their shared periods; each side has one row per period.
+
+    The new series holds from its first period on.  ``overlap`` takes the most
+    recent so many shared periods only.  Series that one side lacks are left
+    out.  The summary has a row per pair: (indicator_id, scale,
+    overlap_periods, ratio_variance, base_year_from, base_year_to, confidence).
+    """
+    return _joined_up(_compared(old, new, frequency, overlap).filter("ends IS NOT NULL"), frequency)
 
 
 def fold_segments(segments: DataFrame, frequency: str = "annual", most: int | None = None) -> Linked:
@@ -224,18 +246,15 @@ def fold_segments(segments: DataFrame, frequency: str = "annual", most: int | No
     last = segments.groupBy("indicator_id").agg(F.max("segment").alias("last"))
     dealt = written(segments.join(last, "indicator_id").withColumn("age", F.col("last") - F.col("segment")))
     steps = most if most is not None else (dealt.agg(F.max("last")).first()[0] or 0)
-    columns = ["indicator_id", "timestamp", "value", "original_value", "scale_factor", "is_linked"]
-    combined = prepared(dealt.filter("age = 0").select("indicator_id", "timestamp", "value")).select(*columns)
+    combined = prepared(dealt.filter("age = 0").select("indicator_id", "timestamp", "value")).select(*_FRAME)
     outcomes, violations = None, None
     for age in range(1, steps + 1):
         older = dealt.filter(F.col("age") == age).select("indicator_id", "timestamp", "value")
-        ids = older.select("indicator_id").distinct()
-        step = splice(older, combined.join(ids, "indicator_id", "left_semi"), frequency)
-        # Each step reads the last one's result several times; without a cut the plan would grow by that power.
-        combined = written(step.frame.select(*columns).unionByName(combined.join(ids, "indicator_id", "left_anti")))
-        summary, refused = written(step.summary), written(step.violations)
-        outcomes = summary if outcomes is None else outcomes.unionByName(summary)
-        violations = refused if violations is None else violations.unionByName(refused)
+        # One table a step, from which come the next step's series, the outcomes and the violations.
+        step = _joined_up(written(_compared(older, combined, frequency, None)), frequency)
+        combined = step.frame
+        outcomes = step.summary if outcomes is None else outcomes.unionByName(step.summary)
+        violations = step.violations if violations is None else violations.unionByName(step.violations)
     if outcomes is None or violations is None:
         nothing = combined.select("indicator_id").limit(0)
         violations = _violation(nothing, F.lit(""))
@@ -248,8 +267,7 @@ def fold_segments(segments: DataFrame, frequency: str = "annual", most: int | No
         F.min("base_year_from").alias("base_year_from"),
         F.max("base_year_to").alias("base_year_to"),
     )
-    failed = violations.select("indicator_id").distinct()
-    combined = combined.join(failed, "indicator_id", "left_anti")
+    # A series that was refused at one step isn't among the next one's.
     counted = combined.groupBy("indicator_id").agg(F.count_if("is_linked").alias("records_linked"))
     linked = F.col("avg_confidence_score").isNotNull()
     summary = counted.join(folded, "indicator_id", "left").select(
@@ -275,9 +293,8 @@ def chain_link(series: DataFrame, base_years: DataFrame, segments: DataFrame | N
     rest = series.join(own, "indicator_id", "left_anti")
     folded = fold_segments(segments, frequency)
     cut = link_at_breaks(rest, detect_breaks(rest, base_years, statistical))
-    columns = ["indicator_id", "timestamp", "value", "original_value", "scale_factor", "is_linked"]
     return Linked(
-        folded.frame.select(*columns).unionByName(cut.frame.select(*columns)),
+        folded.frame.select(*_FRAME).unionByName(cut.frame.select(*_FRAME)),
         folded.summary.unionByName(cut.summary.drop("breaks")),
         folded.violations.unionByName(cut.violations),
         cut.breaks,

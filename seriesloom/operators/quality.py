@@ -28,7 +28,8 @@ def null_percentage(series: DataFrame) -> DataFrame:
 
 def iqr_bounds(series: DataFrame, multiplier: float = K.IQR_MULTIPLIER) -> DataFrame:
     """(indicator_id, low, high): the fences around the exact quartiles of the values that aren't missing."""
-    known = series.filter(~is_missing(F.col("value"))).groupBy("indicator_id").agg(F.percentile("value", F.lit(0.25)).alias("q1"), F.percentile("value", F.lit(0.75)).alias("q3"))
+    known = series.filter(~is_missing(F.col("value"))).groupBy("indicator_id").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    known = known.select("indicator_id", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     spread = (F.col("q3") - F.col("q1")) * multiplier
     return known.select("indicator_id", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
