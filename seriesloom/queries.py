@@ -13,6 +13,7 @@ from seriesloom.operators import growth, linking, publish, quality, resampling
 from seriesloom.operators.cleaning import clean
 from seriesloom.plans import inputs, medallion, reports
 from seriesloom.plans.inputs import ANNUAL, EVENTS, EVENTS_NOW, NOW, RAW, REBASED
+from seriesloom.shared import written
 from seriesloom.sinks import tables
 from seriesloom.sources import payload, scan
 
@@ -90,7 +91,8 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload.raw_rows(payload.split_envelopes(_payloads(spark, sf_dir)).good).drop("is_object")
+    """Rows of all payloads, stored once as in a run: cleaning reads them several times."""
+    return written(payload.raw_rows(payload.split_envelopes(_payloads(spark, sf_dir)).good).drop("is_object"))
 
 
 @registered(f"""WITH {ANNUAL}, {RAW} SELECT indicator_id, page, count(*) AS n_rows, 2 AS pages, min('2000-01-' || lpad(CAST(k % 28 + 1 AS VARCHAR), 2, '0')) AS lastupdated
