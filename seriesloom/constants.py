@@ -40,5 +40,8 @@ DERIVED_UNIT = "annual %"
 DERIVED_METHOD = "year_over_year_percent_change"
 DEFAULT_DOMAIN = "unclassified"
 
+#: Years that a series should have observations in.
+COVERAGE_YEARS = 50
+
 MAX_PAGES = 100
 MAX_UNIT_CHARS = 50

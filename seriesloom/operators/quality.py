@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from seriesloom import constants as K
 from seriesloom.functions.expr import is_missing
 
+#: The sketch's ranks are off by one part in ``SKETCH_ACCURACY`` at most; brackets reach five times as far.
+SKETCH_ACCURACY = 1000
+BRACKET = 0.005
+
 
 def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
     """Required columns that the table doesn't have; known before anything runs."""
@@ -26,12 +30,42 @@ def null_percentage(series: DataFrame) -> DataFrame:
     return series.groupBy("indicator_id").agg(null_share().alias("null_percentage"))
 
 
+def quartiles(series: DataFrame) -> DataFrame:
+    """(indicator_id, q1, q3): the exact quartiles of the values that aren't missing, interpolated between neighbours.
+
+    A sketch of bounded size brackets each quartile; a second pass counts what
+    lies outside the brackets and keeps single values only inside, a hundredth
+    of a series (of a short one, all).  So no task holds all values of a long
+    series.
+    """
+    known = series.filter(~is_missing(F.col("value"))).select("indicator_id", "value")
+    ends = [q + side * BRACKET for q in (0.25, 0.75) for side in (-1, 1)]
+    sketch = known.groupBy("indicator_id").agg(F.percentile_approx("value", ends, SKETCH_ACCURACY).alias("b"), F.count(F.lit(1)).alias("n"))
+    v, b, far = F.col("value"), F.col("b"), F.lit(float("inf"))
+    # Between the brackets no rank is asked for: those values count for the end below them.
+    short = F.col("n") <= SKETCH_ACCURACY
+    snapped = F.when(short, v).when(v < b[0], -far).when(v <= b[1], v).when(v < b[2], b[1]).when(v <= b[3], v).otherwise(far)
+    counts = known.join(sketch, "indicator_id").groupBy("indicator_id", "n", snapped.alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy("indicator_id").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("stop", F.sum("c").over(upto))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("stop") - F.col("c") <= rank) & (rank < F.col("stop")), v))
+
+    places = {name: (F.col("n") - 1) * q for name, q in (("q1", 0.25), ("q3", 0.75))}
+    found = ranked.groupBy("indicator_id", "n").agg(*(c for name, p in places.items() for c in (at(F.floor(p)).alias(f"{name}_lo"), at(F.ceil(p)).alias(f"{name}_hi"))))
+
+    def between(name: str) -> Column:
+        lo, hi, p = F.col(f"{name}_lo"), F.col(f"{name}_hi"), places[name]
+        return F.when(lo == hi, lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi).alias(name)
+
+    return found.select("indicator_id", between("q1"), between("q3"))
+
+
 def iqr_bounds(series: DataFrame, multiplier: float = K.IQR_MULTIPLIER) -> DataFrame:
     """(indicator_id, low, high): the fences around the exact quartiles of the values that aren't missing."""
-    known = series.filter(~is_missing(F.col("value"))).groupBy("indicator_id").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    known = known.select("indicator_id", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     spread = (F.col("q3") - F.col("q1")) * multiplier
-    return known.select("indicator_id", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
+    return quartiles(series).select("indicator_id", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
 
 def flag_outliers(series: DataFrame, multiplier: float = K.IQR_MULTIPLIER) -> DataFrame:

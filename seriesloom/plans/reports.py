@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom import constants as K
 from seriesloom.functions.expr import is_missing, run_status
 
 
@@ -18,6 +19,19 @@ def coverage(series: DataFrame) -> DataFrame:
     return series.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n_obs"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
 
 
+def short_coverage(series: DataFrame, years: int = K.COVERAGE_YEARS) -> DataFrame:
+    """(indicator_id, n_years): series with observations in fewer years than they should have."""
+    known = F.when(~is_missing(F.col("value")), F.year("timestamp"))
+    return series.groupBy("indicator_id").agg(F.count_distinct(known).alias("n_years")).filter(F.col("n_years") < years)
+
+
+def confidence_range(gold: DataFrame) -> DataFrame:
+    """(indicator_id, n_rows, n_without, n_outside): rows without a confidence, and those whose confidence isn't from 0 to 1."""
+    c = F.col("chain_linking_confidence")
+    outside = c.isNotNull() & ~((c >= 0) & (c <= 1) & ~F.isnan(c))
+    return gold.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(c.isNull()).alias("n_without"), F.count_if(outside).alias("n_outside"))
+
+
 def interior_gaps(series: DataFrame) -> DataFrame:
     """(indicator_id, missing_years): years between a series' first and last without an observation."""
     years = series.select("indicator_id", F.year("timestamp").alias("year")).distinct()

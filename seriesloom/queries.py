@@ -13,7 +13,7 @@ from seriesloom.operators import growth, linking, publish, quality, resampling
 from seriesloom.operators.cleaning import clean
 from seriesloom.plans import inputs, medallion, reports
 from seriesloom.plans.inputs import ANNUAL, EVENTS, EVENTS_NOW, NOW, RAW, REBASED
-from seriesloom.shared import written
+from seriesloom.shared import scratch, written
 from seriesloom.sinks import tables
 from seriesloom.sources import payload, scan
 
@@ -212,11 +212,11 @@ st AS (SELECT indicator_id, min(ts) AS boundary FROM new GROUP BY 1),
 en AS (SELECT indicator_id, max(ts) AS last FROM old GROUP BY 1)"""
 
 
-def _spliced(spark: SparkSession, sf_dir: str) -> linking.Linked:
+def _spliced(spark: SparkSession, sf_dir: str, overlap: int | None = None) -> linking.Linked:
     series = inputs.annual(spark, sf_dir)
     new = series.filter("y >= 1996").withColumn("value", F.round(F.col("value") * (20 + (F.col("k") + F.col("y")) % 3), 2))
     columns = ["indicator_id", "timestamp", "value"]
-    return linking.splice(series.filter("y <= 1999").select(*columns), new.select(*columns))
+    return linking.splice(series.filter("y <= 1999").select(*columns), new.select(*columns), overlap=overlap)
 
 
 @registered(f"""WITH {ANNUAL}, {_SPLICE} SELECT indicator_id, ts AS "timestamp", round(value * scale, 2) AS value, value AS original_value, round(scale, 6) AS scale_factor, TRUE AS is_linked FROM old JOIN sh USING (indicator_id) JOIN st USING (indicator_id) WHERE ts < boundary
@@ -401,6 +401,93 @@ def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewritten.select("parent_id", "timestamp", "value").unionByName(others.select("parent_id", "timestamp", "value"))
 
 
+# --- stored layers and further paths ---------------------------------------------------
+
+
+@registered(f"""WITH {ANNUAL}, {RAW}, s AS (SELECT * FROM silver WHERE {_GOOD}), g AS (SELECT *, lag(value) OVER w AS before FROM s WINDOW w AS (PARTITION BY indicator_id ORDER BY ts))
+SELECT indicator_id, ts AS "timestamp", round(value, 2) AS value, 'USD' AS unit FROM s UNION ALL SELECT 'WB.' || indicator_id || '.YOY', ts, round(100 * (value / before - 1), 4) + 0.0, 'annual %' FROM g WHERE before <> 0""")
+def stored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold, read back after two runs: the older pages' observations first, then the newer ones'."""
+    root = scratch(spark)
+    landed = _payloads(spark, sf_dir)
+    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
+    for page in (2, 1):
+        medallion.run(spark, landed.filter(F.col("page") == page), catalog, root, NOW, f"page{page}")
+    digits = F.when(F.col("unit") == "USD", F.round("value", 2)).otherwise(F.round("value", 4) + 0.0)
+    return spark.read.parquet(f"{root}/gold_analytical").select("indicator_id", "timestamp", digits.alias("value"), "unit")
+
+
+@registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS}, {_GROWTH} SELECT indicator_id, "timestamp", value, is_chain_linked, unit FROM gg
+UNION ALL SELECT indicator_id, ts, round(original_value * factor, 2), abs(factor - 1) > 1e-12, 'USD' FROM fac""")
+def gold_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels and growth, written to gold's buckets and read back."""
+    path = f"{scratch(spark)}/gold"
+    gold = medallion.to_gold(*_silver(spark, sf_dir))
+    levels = gold.levels.withColumn("parent_id", F.col("indicator_id"))
+    growth_rows = gold.growth.withColumn("parent_id", F.get_json_object("metadata", "$.derived_from"))
+    tables.write_bucketed(tables.replace_gold(None, levels.select("indicator_id"), levels.unionByName(growth_rows)), path)
+    digits = F.when(F.col("unit") == "USD", F.round("value", 2)).otherwise(F.round("value", 4) + 0.0)
+    return spark.read.parquet(path).select("indicator_id", "timestamp", digits.alias("value"), "is_chain_linked", "unit")
+
+
+@registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS} SELECT indicator_id, ts AS "timestamp", round(original_value * factor, 2) AS value, original_value, abs(factor - 1) > 1e-12 AS is_chain_linked, CASE WHEN abs(factor - 1) > 1e-12 THEN 0.2 END AS chain_linking_confidence, 'USD' AS unit FROM fac WHERE k IN (1, 7)""")
+def gold_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two published series, each read by its id."""
+    levels = medallion.to_gold(*_silver(spark, sf_dir), include_growth=False).levels.withColumn("series_bucket", tables.bucket())
+    rows = scan.gold_series(levels, "PART.1").unionByName(scan.gold_series(levels, "PART.7"))
+    return rows.withColumn("value", F.round("value", 2))
+
+
+@registered(f"""WITH {ANNUAL}, {RAW} SELECT indicator_id, ts AS "timestamp" FROM silver WHERE {_GOOD} AND k % 10 = 0""")
+def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows whose bronze row isn't there, after the payloads of one part in ten were lost."""
+    bronze = medallion.landed(_payloads(spark, sf_dir), "lineage")
+    silver = medallion.to_silver(bronze, NOW).rows
+    kept = bronze.filter(~F.endswith("indicator_id", F.lit("0")))
+    return reports.orphans(silver, kept.select("bronze_id"), "bronze_id", "bronze_id").select("indicator_id", "timestamp")
+
+
+@registered(f"WITH {ANNUAL}, {RAW} SELECT indicator_id, 'EUR' AS unit, count(*) AS n FROM silver WHERE {_GOOD} GROUP BY 1")
+def unit_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = clean(_rows(spark, sf_dir), NOW, unit="EUR").silver
+    return silver.groupBy("indicator_id", "unit").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered(f"""WITH {ANNUAL}, {_SPLICE}, ratios AS (SELECT indicator_id, n.value / o.value AS r FROM old o JOIN new n USING (indicator_id, ts) WHERE indicator_id IN (SELECT indicator_id FROM sh) QUALIFY row_number() OVER (PARTITION BY indicator_id ORDER BY ts DESC) <= 3)
+SELECT indicator_id, round(avg(r), 6) AS scale, count(*) AS overlap_periods, round(var_pop(r) / (avg(r) * avg(r)), 12) AS ratio_variance FROM ratios GROUP BY 1""")
+def recent_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splices by the three most recent shared periods."""
+    return _spliced(spark, sf_dir, overlap=3).summary.select("indicator_id", _r("scale", 6), "overlap_periods", _r("ratio_variance", 12))
+
+
+@registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS}, {_SPLICE}, o AS (SELECT * FROM old WHERE indicator_id IN (SELECT indicator_id FROM annual WHERE k % 2 = 0)), n AS (SELECT * FROM new WHERE indicator_id IN (SELECT indicator_id FROM annual WHERE k % 2 = 0))
+SELECT indicator_id, ts AS "timestamp", round(value * scale, 2) AS value, value AS original_value, TRUE AS is_linked FROM o JOIN sh USING (indicator_id) JOIN st USING (indicator_id) WHERE ts < boundary
+UNION ALL SELECT indicator_id, ts, value, value, FALSE FROM n WHERE indicator_id IN (SELECT indicator_id FROM sh) OR indicator_id NOT IN (SELECT indicator_id FROM o)
+UNION ALL SELECT indicator_id, ts, value, value, FALSE FROM o WHERE indicator_id NOT IN (SELECT indicator_id FROM n)
+UNION ALL SELECT indicator_id, ts, round(original_value * factor, 2), original_value, abs(factor - 1) > 1e-12 FROM fac WHERE k % 2 = 1""")
+def link_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even parts come in two published segments, the others are linked at their base years."""
+    series, catalog = _series(spark, sf_dir)
+    even = inputs.annual(spark, sf_dir).filter("k % 2 = 0")
+    value = F.round(F.col("value") * (20 + (F.col("k") + F.col("y")) % 3), 2)
+    segments = even.filter("y <= 1999").withColumn("segment", F.lit(0)).unionByName(even.filter("y >= 1996").withColumns({"value": value, "segment": F.lit(1)}))
+    # A series' segments count from 0, also where it has but one.
+    first = segments.groupBy("indicator_id").agg(F.min("segment").alias("first"))
+    segments = segments.join(first, "indicator_id").select("indicator_id", "timestamp", "value", (F.col("segment") - F.col("first")).alias("segment"))
+    linked = linking.chain_link(series.select("indicator_id", "timestamp", "value"), catalog, segments=segments)
+    return linked.frame.select("indicator_id", "timestamp", _r("value", 2), "original_value", "is_linked")
+
+
+@registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS} SELECT indicator_id, count(*) AS n_rows, count(*) FILTER (abs(factor - 1) <= 1e-12) AS n_without, CAST(0 AS BIGINT) AS n_outside FROM fac GROUP BY 1""")
+def confidence_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.confidence_range(medallion.to_gold(*_silver(spark, sf_dir), include_growth=False).levels)
+
+
+@registered(f"WITH {ANNUAL} SELECT indicator_id, count(DISTINCT y) AS n_years FROM annual GROUP BY 1 HAVING count(DISTINCT y) < 7")
+def short_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.short_coverage(inputs.annual(spark, sf_dir), years=7)
+
+
 # --- optional series transformations --------------------------------------------------
 
 

@@ -22,14 +22,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[0]
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The table written to the shared folder and read back: it is computed once and outlives any executor.
-
-    The files go when the application ends.
-    """
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is there goes when the application ends."""
     path = f"{shared_dir(spark)}/series-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop_path)  # only what exists can be marked for deletion
+    files.deleteOnExit(hadoop_path)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read back: it is computed once and outlives any executor."""
+    path = scratch(df.sparkSession) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

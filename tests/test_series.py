@@ -192,6 +192,17 @@ def envelope(spark, *payloads):
 ROW = '{"indicator":{"id":"%s","value":"N (USD)"},"date":"%d","value":%s,"unit":"","obs_status":""}'
 
 
+def test_quartiles_are_exact(spark):
+    hash_, k = F.pmod(F.xxhash64("id"), F.lit(100_003)), F.col("id") % 4
+    value = F.when(k == 0, (hash_ % 7).cast("double")).when(k == 1, F.exp(hash_ / 5000.0)).when(k == 2, -hash_ / 10.0).otherwise(F.lit(2.5))
+    long = spark.range(40_000).select(F.concat(F.lit("long"), k.cast("string")).alias("indicator_id"), value.alias("value"))
+    short = spark.range(300).select(F.concat(F.lit("short"), F.floor(F.sqrt("id")).cast("string")).alias("indicator_id"), (F.col("id") % 11).cast("double").alias("value"))
+    odd = spark.createDataFrame([("odd", None), ("odd", float("nan")), ("none", None), ("odd", 4.0)], "indicator_id string, value double")
+    rows = long.unionByName(short).unionByName(odd)
+    plain = rows.filter("value IS NOT NULL AND NOT isnan(value)").groupBy("indicator_id").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    assert {r[0]: [r[1], r[2]] for r in quality.quartiles(rows).collect()} == {r[0]: r[1] for r in plain.collect()}
+
+
 def test_envelopes(spark):
     got = payload.split_envelopes(
         envelope(
