@@ -11,8 +11,13 @@ stretches with that many benchmark q-grams of any item are retained; in these,
 shared q-grams are counted per window in overlapping diagonal bands, and bands
 that reach the bound are verified by an alignment confined to them.
 
-The benchmark's index is broadcast in blocks of bounded size, each block being
-matched against all documents; a benchmark of any size is so many passes.
+A benchmark of up to ``BROADCAST_CHARS`` characters, which is counted first, is
+broadcast as one index.  Beyond that Spark keeps it as a table of windows: tasks
+cut the retained stretches out of the documents by a bit table of the
+benchmark's q-grams (16 MB whatever its size), stretches meet windows in a join,
+and each pair is counted and aligned as before.  A window cut into one piece
+more than its budget has a piece that every match holds unchanged, so the join
+is on pieces and loses nothing.  Both ways give the same rows.
 
 The length of the q-grams follows the window's length, so that the lemma still
 asks for enough of them at the full budget.  An item of under ``MIN_CHARS``
@@ -20,9 +25,9 @@ characters says too little inside a text; it is found where it is the whole
 text.
 
 Cases: a null text or one without letters and digits (document or item)
-matches nothing; repeated items are reported one by one, repeated rows too; an
-empty benchmark gives no rows, and leaves all documents; a null document id
-stays null.
+matches nothing; items with one text are reported one by one, those with one id
+as one; repeated documents one by one; an empty benchmark gives no rows, and
+leaves all documents; a null document id stays null.
 """
 
 from __future__ import annotations
@@ -31,14 +36,14 @@ import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import code_points, slices
+from seriesloom.llm.common import code_points, slices, stored
 
 LONGEST_Q = 9
 WINDOW = 100
@@ -47,8 +52,10 @@ ERRORS = 0.08
 MIN_CHARS = 16
 #: Shared q-grams that the lemma asks for at least, in windows of 48 characters or more; in shorter ones a third of their length.
 SHARED = 16
-#: Characters of benchmark text in one broadcast block (about 60 bytes of index each).
-BLOCK_CHARS = 1 << 20
+#: Characters of benchmark text that are broadcast as one index at most (about 60 bytes each).
+BROADCAST_CHARS = 1 << 20
+#: Bits of the table of q-grams of a larger benchmark, as a power of two.
+TABLE_BITS = 27
 _FILTER_BITS = 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -152,6 +159,12 @@ def _grams_of(q: int, numbers: list[int], windows: list[tuple[int, np.ndarray]])
     )
 
 
+def _cut(points: np.ndarray) -> list[np.ndarray]:
+    """An item's windows, each overlapping the next by half."""
+    stops = list(range(min(WINDOW, len(points)), len(points) + 1, WINDOW // 2))
+    return [points[max(0, stop - WINDOW) : stop] for stop in dict.fromkeys([*stops, len(points)])]
+
+
 def build_index(items: list[tuple[int, str]]) -> Index | None:
     windows: list[tuple[int, np.ndarray]] = []
     whole: dict[bytes, list[int]] = {}
@@ -161,9 +174,7 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
             whole.setdefault(points.tobytes(), []).append(k)
         if len(points) < MIN_CHARS:
             continue
-        stops = list(range(min(WINDOW, len(points)), len(points) + 1, WINDOW // 2))
-        for stop in dict.fromkeys([*stops, len(points)]):
-            windows.append((k, points[max(0, stop - WINDOW) : stop]))
+        windows += [(k, w) for w in _cut(points)]
     if not windows and not whole:
         return None
     by_q: dict[int, list[int]] = {}
@@ -231,6 +242,11 @@ def _unchanged(window: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int
 Region = tuple[int, int, int, int, int]
 
 
+def _preferred(region: Region) -> tuple[int, int]:
+    """Of the regions of an item that are the same stretch, the one with the fewest edits, then the longest window, is kept."""
+    return region[3], -region[4]
+
+
 def find_regions(text: str, index: Index) -> list[Region]:
     """(item number, start, end, edits, window characters) of every window found; offsets in the source's code points."""
     if not text:
@@ -288,19 +304,15 @@ def _search(points: np.ndarray, places: np.ndarray, index: Index, part: Grams, o
             edits, s, e = got
             e = max(e, s + 1)
             region = (item, int(places[s]), int(places[min(e, len(places)) - 1]) + 1, edits, len(letters))
-            out.setdefault((item, region[1], region[2]), region)
+            out[region[:3]] = min(out.get(region[:3], region), region, key=_preferred)
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    block, chars = [], 0
-    for item, text in benchmark.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).orderBy(id_col).toLocalIterator():
-        block.append((item, text))
-        chars += len(text or "")
-        if chars >= BLOCK_CHARS:
-            yield block
-            block, chars = [], 0
-    if block:
-        yield block
+def _small(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple[int, str]] | None:
+    """The items with a text, sorted, if they may be broadcast."""
+    some = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")).filter("text <> ''")
+    if (some.agg(F.sum(F.char_length("text"))).first()[0] or 0) > BROADCAST_CHARS:
+        return None
+    return sorted(((r[0], r[1]) for r in some.collect()), key=lambda x: (x[0] is None, x))
 
 
 _REGIONS = "array<struct<item_id:long,start:long,end:long,edits:int,window_chars:int>>"
@@ -310,45 +322,206 @@ def _matcher(shared, at: int) -> Callable[[pa.RecordBatch], list[list[dict]]]:
     def run(batch: pa.RecordBatch) -> list[list[dict]]:
         index = shared.value
         names = ("item_id", "start", "end", "edits", "window_chars")
-        return [[dict(zip(names, (index.items[r[0]], *r[1:]), strict=True)) for r in find_regions(t or "", index)] for t in batch.column(at).to_pylist()]
+        out = []
+        for text in batch.column(at).to_pylist():
+            found: dict[tuple, Region] = {}
+            for number, *rest in find_regions(text or "", index):
+                region = (index.items[number], *rest)
+                found[region[:3]] = min(found.get(region[:3], region), region, key=_preferred)
+            out.append([dict(zip(names, region, strict=True)) for region in found.values()])
+        return out
 
     return run
 
 
+# --- large benchmarks ------------------------------------------------------------------
+
+#: Diagonals of a band; stretches begin at a multiple of it, so that bands are the same in a stretch and in its text.
+_WIDTH = int(WINDOW * ERRORS)
+
+
+def _per_row(f: Callable[..., Iterator[tuple]], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Maps each row's values to any number of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [out for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) for out in f(*row)]
+            columns = zip(*found, strict=True) if found else ([] for _ in schema)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+
+    return run
+
+
+def _letters(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32)
+
+
+def _windows_of(item: int | None, text: str | None) -> Iterator[tuple[int | None, bytes]]:
+    points = _stripped(normalised(text or "")[0])
+    if len(points) >= MIN_CHARS:
+        yield from ((item, w.tobytes()) for w in _cut(points))
+    elif len(points):
+        yield item, points.tobytes()
+
+
+def _piece_length(length: int) -> int:
+    return length // (budget(length) + 1)
+
+
+def _pieces_of(number: int, data: bytes) -> Iterator[tuple[int, int]]:
+    """Hashes of the pieces of which every match holds one unchanged; a short item is its own piece."""
+    points = _letters(data)
+    size = _piece_length(len(points)) if len(points) >= MIN_CHARS else len(points)
+    for at in range(0, len(points) - size + 1, size):
+        yield number, int(grams(points[at : at + size], size).view(np.int64)[0])
+
+
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def _slots_of(data: bytes) -> Iterator[tuple[int, int]]:
+    """(byte, bit) of each q-gram in the table of bits."""
+    points = _letters(data)
+    if len(points) >= MIN_CHARS:
+        for slot in np.unique(_slots(grams(points, gram_length(len(points))))).tolist():
+            yield slot >> 3, 1 << (slot & 7)
+
+
+def _stretches(points: np.ndarray, table: np.ndarray, reaches: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
+    """(from, to) of what may hold a window, merged; with so much around that an alignment isn't cut off."""
+    spans = []
+    for q, (least, reach) in reaches.items():
+        slots = _slots(grams(points, q))
+        hits = np.flatnonzero(table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1)
+        spans += [(max(0, h - 2 * reach) // _WIDTH * _WIDTH, h + 2 * reach) for h in _retained(hits, least, reach).tolist()]
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return merged
+
+
+@lru_cache(maxsize=16)
+def _index_of(data: bytes) -> Index:
+    points = _letters(data)
+    if len(points) < MIN_CHARS:
+        return Index([0], [], np.zeros(0, np.int64), [], {data: [0]})
+    windows = [(0, points)]
+    return Index([0], windows, np.array([bound(len(points))]), [_grams_of(gram_length(len(points)), [0], windows)], {})
+
+
+def _large(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """(id, key, item_id, start, end, edits, window_chars) of every window of a large benchmark in ``rows`` (id, key, text)."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
+    cut = stored(items.mapInArrow(_per_row(_windows_of, pa.schema([("item_id", pa.int64()), ("window", pa.binary())])), "item_id long, window binary"))
+    windows = stored(cut.select("window").distinct().select(F.monotonically_increasing_id().alias("w"), "window"))
+    # As many numbers as a window has lengths.
+    lengths = sorted(r[0] // 4 for r in windows.select(F.octet_length("window")).distinct().collect())
+    reaches: dict[int, tuple[int, int]] = {}
+    for n in (n for n in lengths if n >= MIN_CHARS):
+        least, reach = reaches.get(gram_length(n), (n, 0))
+        reaches[gram_length(n)] = (min(least, bound(n)), max(reach, n + budget(n)))
+    sizes = sorted({_piece_length(n) for n in lengths if n >= MIN_CHARS})
+    short = any(n < MIN_CHARS for n in lengths)
+
+    slots = windows.select("window").mapInArrow(_per_row(_slots_of, pa.schema([("byte", pa.int64()), ("bit", pa.int64())])), "byte long, bit long")
+    known = slots.groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
+    table[known.column("byte").to_numpy()] = known.column("bits").to_numpy().astype(np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def stretches_of(number: int | None, key: bytes, text: str | None) -> Iterator[tuple]:
+        points, places = normalised(text or "")
+        if short and 0 < len(points) <= MIN_CHARS:
+            yield number, key, 0, points.tobytes(), places.astype(np.int32).tobytes(), True
+        for a, b in _stretches(points, shared.value, reaches):
+            yield number, key, a, points[a:b].tobytes(), places[a:b].astype(np.int32).tobytes(), False
+
+    kind = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("begin", pa.int64()), ("points", pa.binary()), ("places", pa.binary()), ("whole", pa.bool_())])
+    found = rows.mapInArrow(_per_row(stretches_of, kind), "id long, key binary, begin long, points binary, places binary, whole boolean")
+    stretches = stored(found.withColumn("s", F.monotonically_increasing_id()))
+
+    def hashes_of(number: int, data: bytes, whole: bool) -> Iterator[tuple[int, int]]:
+        points = _letters(data)
+        for size in [len(_stripped(points))] if whole else sizes:
+            yield from ((number, v) for v in np.unique(grams(_stripped(points) if whole else points, size).view(np.int64)).tolist())
+
+    def pair(name: str) -> tuple[pa.Schema, str]:
+        return pa.schema([(name, pa.int64()), ("hash", pa.int64())]), f"{name} long, hash long"
+
+    kind, names = pair("s")
+    left = stretches.select("s", "points", "whole").mapInArrow(_per_row(hashes_of, kind), names)
+    kind, names = pair("w")
+    right = windows.mapInArrow(_per_row(_pieces_of, kind), names)
+    candidates = left.join(right, "hash").select("s", "w").distinct()
+
+    def regions_of(number: int | None, key: bytes, stretch: int, w: int, points: bytes, places: bytes, whole: bool, window: bytes) -> Iterator[tuple]:
+        index, out = _index_of(window), {}
+        if whole != (len(index.windows) == 0):
+            return
+        letters, at = _letters(points), np.frombuffer(places, np.int32)
+        if whole:
+            own = _stripped(letters)
+            if own.tobytes() == window:
+                yield number, key, stretch, w, int(at[0]), int(at[len(own) - 1]) + 1, 0, len(own)
+            return
+        _search(letters, at, index, index.grams[0], out)
+        yield from ((number, key, stretch, w, *region[1:]) for region in out.values())
+
+    names = ["id", "key", "s", "w", "start", "end", "edits", "window_chars"]
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    both = candidates.join(stretches, "s").join(windows, "w").select("id", "key", "s", "w", "points", "places", "whole", "window")
+    matched = both.mapInArrow(_per_row(regions_of, pa.schema(list(zip(names, types, strict=True)))), "id long, key binary, s long, w long, start long, end long, edits int, window_chars int")
+    named = matched.join(cut.join(windows, "window").select("w", "item_id").distinct(), "w")
+    best = F.min(F.struct("edits", (-F.col("window_chars")).alias("shorter"))).alias("best")
+    once = named.groupBy("id", "key", "s", "item_id", "start", "end").agg(best)
+    return once.select("id", "key", "item_id", "start", "end", "best.edits", (-F.col("best.shorter")).alias("window_chars"))
+
+
+# --- whole tables ------------------------------------------------------------------------
+
+
 def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, item_id, start, end, edits, window_chars): every benchmark window found in a document."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("window_chars", pa.int32())]))
-    parts = []
-    for block in _blocks(benchmark, item_col, item_text_col):
-        if index := build_index(block):
-            match = _matcher(docs.sparkSession.sparkContext.broadcast(index), 1)
-
-            def run(batches: Iterator[pa.RecordBatch], match=match) -> Iterator[pa.RecordBatch]:
-                for batch in slices(batches):
-                    found = match(batch)
-                    some = pa.array([bool(f) for f in found], pa.bool_())
-                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["id", "regions"]).filter(some)
-
-            parts.append(rows.mapInArrow(run, f"id long, regions {_REGIONS}").select(F.col("id").alias(id_col), F.explode("regions").alias("r")).select(id_col, "r.*"))
-    if not parts:
+    items = _small(benchmark, item_col, item_text_col)
+    if items is None:
+        keyed = rows.select("id", F.lit(b"").alias("key"), "text")
+        return _large(keyed, benchmark, item_col, item_text_col).select(F.col("id").alias(id_col), "item_id", "start", "end", "edits", "window_chars")
+    index = build_index(items)
+    if index is None:
         return docs.sparkSession.createDataFrame([], f"{id_col} long, item_id long, start long, end long, edits int, window_chars int")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    match = _matcher(docs.sparkSession.sparkContext.broadcast(index), 1)
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("window_chars", pa.int32())]))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = match(batch)
+            some = pa.array([bool(f) for f in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["id", "regions"]).filter(some)
 
-def remove(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The same rows and columns without the documents that hold a window of the benchmark."""
-    at, out = docs.columns.index(text_col), docs
-    for block in _blocks(benchmark, item_col, item_text_col):
-        if index := build_index(block):
-            match = _matcher(docs.sparkSession.sparkContext.broadcast(index), at)
+    return rows.mapInArrow(run, f"id long, regions {_REGIONS}").select(F.col("id").alias(id_col), F.explode("regions").alias("r")).select(id_col, "r.*")
 
-            def run(batches: Iterator[pa.RecordBatch], match=match) -> Iterator[pa.RecordBatch]:
-                for batch in slices(batches):
-                    yield batch.filter(pa.array([not f for f in match(batch)], pa.bool_()))
 
-            out = out.mapInArrow(run, docs.schema)
-    return out
+def remove(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The same rows and columns without the documents that hold a window of the benchmark."""
+    items = _small(benchmark, item_col, item_text_col)
+    if items is None:
+        # Whether a document goes depends on its text alone.
+        digest = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+        keyed = docs.select(F.lit(None).cast("long").alias("id"), digest.alias("key"), F.col(text_col).cast("string").alias("text"))
+        gone = _large(keyed, benchmark, item_col, item_text_col).select("key").distinct()
+        return docs.join(gone, digest == gone["key"], "left_anti")
+    index = build_index(items)
+    if index is None:
+        return docs
+    match = _matcher(docs.sparkSession.sparkContext.broadcast(index), docs.columns.index(text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([not f for f in match(batch)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -584,12 +584,31 @@ def test_decontamination_of_short_items_and_no_documents(spark):
     assert decontam.find(docs.limit(0), benchmark).count() == 0 and decontam.remove(docs.limit(0), benchmark).count() == 0
 
 
-def test_decontamination_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK_CHARS", 100)
-    items = [(k, f"passage number {k} " + " ".join(f"w{k}{j}x" for j in range(20))) for k in range(4)]
-    docs = spark.createDataFrame([(k, "before " + t + " after") for k, t in items], "doc_id long, text string")
-    got = decontam.find(docs, spark.createDataFrame(items, "item_id long, text string"))
-    assert {(x["doc_id"], x["item_id"]) for x in got.collect()} == {(k, k) for k in range(4)}
+def test_decontamination_by_a_large_benchmark_gives_the_same_rows(spark, monkeypatch):
+    r = random.Random(29)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    items = [(k, " ".join(word() for _ in range(60))[: r.choice([17, 25, 40, 60, 99, 100, 180, 300])].strip() + "x") for k in range(60)]
+    items += [(70, items[5][1]), items[7], (8, items[8][1] + " and more"), (71, "Yes, it is."), (72, None), (73, ""), (None, items[6][1])]
+    docs = [(900, None), (901, ""), (902, "yes IT is"), (903, "well, yes it is so"), (904, "yes it is"), (904, "yes it is")]
+    for k in range(150):
+        copy = list(items[k % 60][1])
+        for _ in range(r.randint(0, int(len(copy) * 0.09) + 1)):
+            at = r.randrange(len(copy))
+            copy[at : at + 1] = r.choice([[], ["q"], [copy[at], "r"]])
+        around = [" ".join(word() for _ in range(r.choice([0, 5, 200]))) for _ in range(2)]
+        docs.append((k, f"{around[0]}  {''.join(copy)}; {around[1]}" + (" " + items[(k * 7) % 60][1] if k % 4 == 0 else "")))
+    docs += [docs[10], docs[10], (10, "another text with the same id")]
+    table, benchmark = documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+
+    def outcome():
+        found = sorted((tuple(x) for x in decontam.find(table, benchmark).collect()), key=str)
+        return found, sorted((tuple(x) for x in decontam.remove(table, benchmark).collect()), key=str)
+
+    small = outcome()
+    monkeypatch.setattr(decontam, "BROADCAST_CHARS", 100)
+    large = outcome()
+    assert len(small[0]) > 200 and small[0] == large[0]
+    assert small[1] == large[1]
 
 
 # --- personal data --------------------------------------------------------------------------
