@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import chat, decontam, embdedup, langid, lm, packing, pii, simhash, subdedup, toxicity
+from seriesloom.llm import chat, collocations, decontam, embdedup, langid, linededup, lm, merkle, oracles, packing, pii, simhash, subdedup, toxicity
 from seriesloom.llm.common import id_remainder
 
 
@@ -89,6 +89,27 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines of 20 code points or more that three documents hold, but in the largest id of them."""
+    docs = _read(spark, sf_dir, "documents")
+    cut = linededup.apply(docs, linededup.keep_bitmaps(docs, min_chars=20, min_docs=3))
+    return cut.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words."""
+    return collocations.collocations(_read(spark, sf_dir, "documents"), min_count=30, max_words=4, cover=0.8, top=2000)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and what the proof makes of a text whose case was changed."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    text = F.when(id_remainder("doc_id", 5) == 0, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    tampered = merkle.leaf([*(F.col(c) for c in columns[:-1]), text])
+    found = merkle.proofs(_read(spark, sf_dir, "documents"), columns=columns, tampered=tampered)
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline at the top of the repository, from documents to packed sequences."""
     import corpus_pipeline
@@ -108,10 +129,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_toxicity,
         op10_pii,
+        op11_line_dedup,
+        op12_collocations,
+        op13_merkle_manifest,
         pipeline,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op11_line_dedup": oracles.OP11_LINE_DEDUP,
+        "op12_collocations": oracles.OP12_COLLOCATIONS,
+        "op13_merkle_manifest": oracles.OP13_MERKLE_MANIFEST,
+    }
