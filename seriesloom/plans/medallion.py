@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.functions.expr import base_years_of, run_status, stable_id
+from seriesloom.functions.expr import base_years_of, domain_of, run_status, stable_id
 from seriesloom.operators.cleaning import Cleaned, clean, silver_records
 from seriesloom.operators.linking import Linked, chain_link
 from seriesloom.operators.publish import growth_records, level_records, unmatched
+from seriesloom.plans import journal
 from seriesloom.plans.reports import observed_range
 from seriesloom.shared import written
-from seriesloom.sinks import tables
-from seriesloom.sources.payload import raw_rows, row_violations, split_envelopes
+from seriesloom.sinks import dimension, tables, versioned
+from seriesloom.sources.payload import raw_rows, row_violations, split_envelopes, within_pages
 from seriesloom.sources.scan import by_id
 
 
@@ -25,6 +26,7 @@ class Silver:
     rows: DataFrame
     cleaned: Cleaned
     violations: DataFrame
+    quarantine: DataFrame
 
 
 @dataclass(frozen=True)
@@ -39,13 +41,14 @@ class Gold:
 def to_silver(payloads: DataFrame, now: datetime, source: str = "landed", frequency: str = "annual") -> Silver:
     """Silver rows of all payloads (bronze rows may be replayed at any time)."""
     envelopes = split_envelopes(payloads)
-    rows = written(raw_rows(envelopes.good))
+    pages, beyond = within_pages(envelopes.good)
+    rows = written(raw_rows(pages))
     wrong = row_violations(rows)
     cleaned = clean(rows.drop("is_object"), now)
     violations = envelopes.violations.unionByName(wrong).unionByName(cleaned.violations)
     violations = written(violations)
     good = cleaned.silver.join(violations.select("indicator_id").distinct(), "indicator_id", "left_anti")
-    return Silver(silver_records(good, source, frequency), cleaned, violations)
+    return Silver(silver_records(good, source, frequency), cleaned, violations, beyond)
 
 
 def hop_log(counters: DataFrame, source: str, target: str, kind: str) -> DataFrame:
@@ -91,8 +94,11 @@ def link_log(linked: Linked) -> DataFrame:
     return known.select(*columns, breaks)
 
 
-def to_gold(silver: DataFrame, catalog: DataFrame, include_growth: bool = True, statistical: bool = False, run_id: str = "") -> Gold:
-    """Gold rows of all silver series, linked at the catalog's base years."""
+def to_gold(silver: DataFrame, catalog: DataFrame, include_growth: bool = True, statistical: bool = False, run_id: str = "", domain: str | None = None) -> Gold:
+    """Gold rows of all silver series, linked at the catalog's base years; ``domain``, where given, goes before the catalog's."""
+    if domain is not None:
+        known = F.col("domain") if "domain" in catalog.columns else F.lit(None).cast("string")
+        catalog = catalog.withColumn("domain", domain_of(F.lit(domain), known))
     silver = written(silver)
     years = silver.select("indicator_id").distinct().join(catalog.select("indicator_id", "base_years"), "indicator_id", "left")
     years = years.select("indicator_id", base_years_of(F.lit(None).cast("array<int>"), F.col("base_years")).alias("base_years"))
@@ -110,9 +116,27 @@ def to_gold(silver: DataFrame, catalog: DataFrame, include_growth: bool = True,
     return Gold(levels, growth, linked, log, link_log(linked))
 
 
-def landed(payloads: DataFrame, run_id: str) -> DataFrame:
-    """Bronze rows of a run's payloads: an id depends on run, series, page and payload, so a run that is repeated gives the same."""
-    return payloads.withColumn("bronze_id", stable_id(F.lit(run_id), "indicator_id", "page", F.sha2("payload", 256)))
+def landed(payloads: DataFrame, run_id: str, now: datetime | None = None, source: str = "landed", source_type: str = "file") -> DataFrame:
+    """Bronze rows of a run's payloads: an id depends on run, series, page and payload, so a run that is repeated gives the same.
+
+    Where the payloads tell when, with which status and from where they came,
+    that is kept.
+    """
+
+    def given(column: str, kind: str, otherwise: Column | None = None) -> Column:
+        return F.col(column).cast(kind) if column in payloads.columns else F.lit(None).cast(kind) if otherwise is None else otherwise.cast(kind)
+
+    clock = F.lit(now).cast("timestamp_ntz")
+    return payloads.withColumns({
+        "bronze_id": stable_id(F.lit(run_id), "indicator_id", "page", F.sha2("payload", 256)),
+        "source_name": given("source_name", "string", F.lit(source)),
+        "source_type": given("source_type", "string", F.lit(source_type)),
+        "collection_timestamp": given("collection_timestamp", "timestamp_ntz", clock),
+        "http_status_code": given("http_status_code", "int"),
+        "request_url": given("request_url", "string"),
+        "metadata": given("metadata", "string", F.to_json(F.struct("page", F.octet_length("payload").alias("bytes")))),
+        "created_at": clock,
+    })
 
 
 def history(stored: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -121,50 +145,149 @@ def history(stored: DataFrame | None, new: DataFrame) -> DataFrame:
     return tables.upsert_silver(stored, new).join(ids, "indicator_id", "left_semi").drop("series_bucket")
 
 
-def replay(spark: SparkSession, root: str, ids: DataFrame, now: datetime) -> Silver:
-    """Silver rows of stored bronze rows (bronze_id), made anew without a fetch."""
-    bronze, _ = by_id(spark.read.parquet(f"{root}/bronze_raw"), ids, "bronze_id")
-    return to_silver(bronze.select("indicator_id", "page", "payload", "bronze_id"), now)
+def _bronze_columns(bronze: DataFrame) -> DataFrame:
+    return bronze.select("indicator_id", "page", "payload", "bronze_id")
+
+
+def stamped(rows: DataFrame, now: datetime) -> DataFrame:
+    """With creation and update times; an upsert keeps the creation time of a row that is known."""
+    clock = F.lit(now).cast("timestamp_ntz")
+    return rows.withColumns({"created_at": clock, "updated_at": clock})
+
+
+def _timed(log: DataFrame, began: datetime, seconds: float) -> DataFrame:
+    return log.withColumns({"started_at": F.lit(began).cast("timestamp_ntz"), "duration_seconds": F.lit(float(seconds))})
+
+
+def store_silver(stored: DataFrame | None, good: DataFrame, root: str, run_id: str, base: int | None) -> None:
+    rows = tables.upsert_silver(stored, good)
+    versioned.commit(rows, f"{root}/silver_cleaned", good.select(tables.bucket().alias("series_bucket")), run_id, base)
+
+
+def store_gold(new: DataFrame, ids: DataFrame, root: str, run_id: str) -> None:
+    """Replace the gold rows of the series ``ids`` by ``new``, even by none."""
+    spark, path = new.sparkSession, f"{root}/gold_analytical"
+    at = versioned.version(spark, path)
+    old = versioned.read(spark, path, at.number) if at else None
+    versioned.commit(tables.replace_gold(old, ids, new), path, ids.select(tables.bucket().alias("series_bucket")), run_id, at.number if at else None)
+
+
+def store_catalog(spark: SparkSession, catalog: DataFrame, silver: DataFrame, root: str, run_id: str, now: datetime) -> None:
+    """One snapshot of the catalog: discovery's rows over the known ones, then the observed ranges of the series in ``silver``; what was current before stays as history."""
+    path = f"{root}/indicator_catalog"
+    at = versioned.version(spark, path)
+    known = versioned.read(spark, path, at.number).drop("series_bucket") if at else None
+    found = catalog
+    for c in ("availability_start", "availability_end"):
+        if c not in found.columns:
+            found = found.withColumn(c, F.lit(None).cast("timestamp_ntz"))
+    history = dimension.observed(dimension.revised(known, found, now), observed_range(silver), now)
+    every = written(history.withColumn("series_bucket", tables.bucket()))
+    versioned.commit(every, path, every.select("series_bucket"), run_id, at.number if at else None, order=("indicator_id", "valid_from"))
 
 
-def run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str, now: datetime, run_id: str, dry_run: bool = False) -> DataFrame:
+def catalog_now(spark: SparkSession, root: str) -> DataFrame | None:
+    """The stored catalog's current rows."""
+    stored = versioned.read(spark, f"{root}/indicator_catalog")
+    return None if stored is None else dimension.current(stored).drop("series_bucket")
+
+
+def replay(spark: SparkSession, root: str, ids: DataFrame, now: datetime, run_id: str | None = None) -> Silver:
+    """Silver rows of stored bronze rows (bronze_id), made anew without a fetch.
+
+    With a ``run_id`` they are also written, and audited under that id; ids
+    that aren't stored are an error then, and nothing is written.
+    """
+    bronze, lost = by_id(spark.read.parquet(f"{root}/bronze_raw"), ids, "bronze_id")
+    if run_id is None:
+        return to_silver(_bronze_columns(bronze), now)
+    started, began = datetime.now(), time.monotonic()
+    missing = [r[0] for r in lost.limit(5).collect()]
+    if missing:
+        message = f"no bronze rows {missing}"
+        journal.failed_row(spark, root, run_id, started, message, time.monotonic() - began)
+        raise LookupError(message)
+    silver = to_silver(_bronze_columns(bronze), now)
+    journal.begin(spark, root, run_id, started)
+    try:
+        at = versioned.version(spark, f"{root}/silver_cleaned")
+        stored = versioned.read(spark, f"{root}/silver_cleaned", at.number) if at else None
+        good = written(stamped(silver.rows, now))
+        store_silver(stored, good, root, run_id, at.number if at else None)
+        log = hop_log(silver.cleaned.counters, "bronze", "silver", "replay").unionByName(failure_log(silver.violations, "bronze", "silver", "replay"))
+        tables.append_run(_timed(log, started, time.monotonic() - began), f"{root}/{journal.LOG}", run_id)
+    except Exception as e:
+        journal.recover(spark, root, run_id, f"{type(e).__name__}: {e}")
+        raise
+    journal.end(spark, root, run_id)
+    return silver
+
+
+def run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str, now: datetime, run_id: str, dry_run: bool = False, domain: str | None = None) -> DataFrame:
     """All layers of all series; returns one outcome per series (indicator_id, records_written, records_failed, error).
 
     Gold is built from the whole stored history of the series that the
     payloads belong to, with the new observations in it.  A series that fails
     anywhere is left out of all layers.  Everything is computed before anything
-    is written; bronze, silver and gold follow in that order and the audit rows
-    last.  Each write can be repeated, and a run id that is run again replaces
-    what it wrote, so a run that broke off is repaired by running it again.
-    ``dry_run`` only counts.
+    is written; bronze, silver, gold and the catalog follow in that order and
+    the audit rows last.  A run id that is run again replaces what it wrote.  A
+    run that fails is undone and leaves one audit row; one whose driver died is
+    undone by ``journal.recover``, or by running it again.  ``domain`` overrides
+    the catalog's; ``dry_run`` only counts.
     """
-    began = time.monotonic()
-    bronze = landed(payloads, run_id)
-    silver = to_silver(bronze, now)
-    fresh = written(silver.rows)
-    stored = tables.read_or_none(spark, f"{root}/silver_cleaned") if root else None
-    gold = to_gold(history(stored, fresh), catalog, run_id=run_id)
+    started, began = datetime.now(), time.monotonic()
+    try:
+        return _run(spark, payloads, catalog, root, now, run_id, dry_run, domain, started)
+    except Exception as e:
+        message = f"{type(e).__name__}: {e}"
+        if not dry_run and not journal.recover(spark, root, run_id, message):
+            # An earlier run of this id that ended well keeps its audit rows.
+            ended = journal.state(spark, root, run_id)[0] == "complete"
+            journal.failed_row(spark, root, f"{run_id}.again" if ended else run_id, started, message, time.monotonic() - began)
+        raise
+
+
+def _run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str, now: datetime, run_id: str, dry_run: bool, domain: str | None, started: datetime) -> DataFrame:
+    clock = time.monotonic
+    marks = [clock()]
+    bronze = landed(payloads, run_id, now)
+    silver = to_silver(_bronze_columns(bronze), now)
+    fresh = written(stamped(silver.rows, now))
+    at = versioned.version(spark, f"{root}/silver_cleaned") if root else None
+    stored = versioned.read(spark, f"{root}/silver_cleaned", at.number) if at else None
+    counters = written(silver.cleaned.counters)
+    marks.append(clock())
+    gold = to_gold(history(stored, fresh), catalog, run_id=run_id, domain=domain)
     violations = written(silver.violations.unionByName(gold.linked.violations))
     failed = violations.groupBy("indicator_id").agg(F.min("message").alias("error"))
-    counters = written(silver.cleaned.counters)
     counted = counters.select("indicator_id", "records_written", "records_failed")
     outcomes = written(payloads.select("indicator_id").distinct().join(counted, "indicator_id", "left").join(failed, "indicator_id", "left").fillna(0, ["records_written", "records_failed"]))
     if dry_run:
         return outcomes
     levels = gold.levels.withColumn("parent_id", F.col("indicator_id"))
     growth = gold.growth.withColumn("parent_id", F.get_json_object("metadata", "$.derived_from"))
-    new = written(levels.unionByName(growth).join(failed.select(F.col("indicator_id").alias("parent_id")), "parent_id", "left_anti"))
-    tables.append_run(bronze.join(failed, "indicator_id", "left_anti"), f"{root}/bronze_raw", run_id)
+    new = written(stamped(levels.unionByName(growth).join(failed.select(F.col("indicator_id").alias("parent_id")), "parent_id", "left_anti"), now))
     good = fresh.join(failed, "indicator_id", "left_anti")
-    tables.write_bucketed(tables.upsert_silver(stored, good), f"{root}/silver_cleaned")
     ids = good.select("indicator_id").distinct()
-    tables.write_bucketed(tables.replace_gold(tables.read_or_none(spark, f"{root}/gold_analytical"), ids, new), f"{root}/gold_analytical")
+    marks.append(clock())
+
+    def seconds(hop: int) -> float:
+        return marks[hop + 1] - marks[hop]
+
+    journal.begin(spark, root, run_id, started)
+    tables.append_run(bronze.join(failed, "indicator_id", "left_anti"), f"{root}/bronze_raw", run_id)
+    journal.done(spark, root, run_id, "bronze_raw")
+    store_silver(stored, good, root, run_id, at.number if at else None)
+    journal.done(spark, root, run_id, "silver_cleaned")
+    store_gold(new, ids, root, run_id)
+    journal.done(spark, root, run_id, "gold_analytical")
+    kept = versioned.read(spark, f"{root}/silver_cleaned").join(ids, "indicator_id", "left_semi")
+    store_catalog(spark, catalog, kept, root, run_id, now)
+    journal.done(spark, root, run_id, "indicator_catalog")
     tables.append_run(collection_log(bronze), f"{root}/data_collection_log", run_id)
-    log = hop_log(counters, "bronze", "silver", "clean").unionByName(failure_log(silver.violations, "bronze", "silver", "clean")).unionByName(gold.log)
-    timed = log.withColumns({"started_at": F.lit(now), "duration_seconds": F.lit(time.monotonic() - began)})
-    tables.append_run(timed, f"{root}/transformation_log", run_id)
+    tables.append_run(silver.quarantine, f"{root}/quarantine", run_id)
+    first = hop_log(counters, "bronze", "silver", "clean").unionByName(failure_log(silver.violations, "bronze", "silver", "clean"))
     tables.append_run(gold.link_log, f"{root}/chain_linking_log", run_id)
-    if {"availability_start", "availability_end"} <= set(catalog.columns):
-        seen = observed_range(spark.read.parquet(f"{root}/silver_cleaned").join(ids, "indicator_id", "left_semi"))
-        tables.update_availability(catalog, seen).write.mode("overwrite").parquet(f"{root}/indicator_catalog/run={run_id}")
+    tables.append_run(_timed(first, started, seconds(0)).unionByName(_timed(gold.log, started + timedelta(seconds=seconds(0)), seconds(1))), f"{root}/{journal.LOG}", run_id)
+    journal.end(spark, root, run_id)
     return outcomes

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from seriesloom.functions.expr import stable_id
 from seriesloom.operators import growth, linking, publish, quality, resampling
 from seriesloom.operators.cleaning import clean
-from seriesloom.plans import inputs, medallion, reports
+from seriesloom.plans import inputs, journal, medallion, reports
 from seriesloom.plans.inputs import ANNUAL, EVENTS, EVENTS_NOW, NOW, RAW, REBASED
 from seriesloom.shared import scratch, written
-from seriesloom.sinks import tables
+from seriesloom.sinks import dimension, tables, versioned
 from seriesloom.sources import payload, scan
+from seriesloom.sources.payload import split_envelopes, within_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -278,6 +279,83 @@ def _silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 _DOMAIN = "CASE WHEN k % 5 <> 0 THEN 'domain' || CAST(k % 3 AS VARCHAR) ELSE 'unclassified' END"
 
 
+@registered(f"""WITH {ANNUAL} SELECT 'before' AS reader, indicator_id, ts AS "timestamp", value FROM annual
+UNION ALL SELECT 'after', indicator_id, ts, value FROM annual WHERE k % 2 = 1 UNION ALL SELECT 'after', indicator_id, ts, value + 1 FROM annual WHERE k % 4 = 0""")
+def versioned_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table whose even buckets are replaced, every other one of them by no rows; read as it is, and by a reader that began before."""
+    path = f"{scratch(spark)}/table"
+    series = inputs.annual(spark, sf_dir).withColumn("series_bucket", (F.col("k") % 64).cast("int"))
+    rows = series.select("indicator_id", "timestamp", "value", "series_bucket")
+    versioned.commit(rows, path, rows)
+    before = versioned.read(spark, path)
+    changed = series.filter("k % 4 = 0").select("indicator_id", "timestamp", (F.col("value") + 1).alias("value"), "series_bucket")
+    versioned.commit(changed, path, series.filter("k % 2 = 0"))
+    told = [df.select(F.lit(name).alias("reader"), "indicator_id", "timestamp", "value") for name, df in (("before", before), ("after", versioned.read(spark, path)))]
+    return told[0].unionByName(told[1])
+
+
+_DISCOVERED = [datetime(2000, 1, 1), datetime(2000, 2, 1), datetime(2000, 3, 1)]
+
+
+@registered(f"""WITH {ANNUAL}, p AS (SELECT indicator_id, k, min(ts) AS first_seen, max(ts) AS last_seen FROM annual GROUP BY 1, 2)
+SELECT indicator_id, CASE WHEN k % 2 = 0 THEN 'Part ' || k ELSE 'New part ' || k END AS name, CASE WHEN k % 2 = 0 THEN TIMESTAMP '2000-01-01' ELSE TIMESTAMP '2000-02-01' END AS valid_from,
+  CASE WHEN k % 2 = 0 AND k % 3 <> 0 THEN TIMESTAMP '2000-02-01' END AS valid_to, CASE WHEN k % 2 = 0 THEN first_seen END AS availability_start FROM p WHERE k % 2 = 0 OR k % 3 <> 0
+UNION ALL SELECT indicator_id, 'New part ' || k, TIMESTAMP '2000-02-01', NULL, first_seen FROM p WHERE k % 2 = 0 AND k % 3 <> 0""")
+def catalog_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three discoveries, the last of them like the second: half the parts, with their ranges, then two thirds under new names; current rows and former ones."""
+    path = f"{scratch(spark)}/catalog"
+    series = inputs.annual(spark, sf_dir)
+    catalog, key = inputs.catalog(series), F.regexp_extract("indicator_id", r"(\d+)$", 1).cast("int")
+    renamed = catalog.filter(key % 3 != 0).withColumn("name", F.concat(F.lit("New part "), key.cast("string")))
+    for at, found in zip(_DISCOVERED, (catalog.filter(key % 2 == 0), renamed, renamed), strict=True):
+        known = versioned.read(spark, path)
+        history = dimension.revised(known.drop("series_bucket") if known is not None else None, found, at)
+        if known is None:
+            history = dimension.observed(history, reports.observed_range(series), at)
+        rows = written(history.withColumn("series_bucket", tables.bucket()))
+        versioned.commit(rows, path, rows, order=("indicator_id", "valid_from"))
+    return versioned.read(spark, path).select("indicator_id", "name", "valid_from", "valid_to", "availability_start")
+
+
+@registered(f"""WITH {ANNUAL}, {RAW}, s AS (SELECT * FROM silver WHERE {_GOOD})
+SELECT p.indicator_id, 'Part ' || any_value(p.k) AS name, min(s.ts) AS availability_start, max(s.ts) AS availability_end, count(DISTINCT p.indicator_id) AS n_rows FROM annual p LEFT JOIN s ON s.indicator_id = p.indicator_id GROUP BY p.indicator_id""")
+def catalog_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored catalog's current rows after three runs, the last one a repetition: one a series, with the range of all its observations."""
+    root, landed = scratch(spark), _payloads(spark, sf_dir)
+    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
+    for page in (2, 1, 1):
+        medallion.run(spark, landed.filter(F.col("page") == page), catalog, root, NOW, f"page{page}")
+    now = medallion.catalog_now(spark, root)
+    return now.groupBy("indicator_id", "name", "availability_start", "availability_end").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@registered(f"""WITH {ANNUAL}, {RAW} SELECT indicator_id, ts AS "timestamp", round(value, 2) AS value FROM silver WHERE {_GOOD} AND y < 1998""")
+def run_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver, read back after a run over the older pages, one over the newer pages that broke off once silver was written, and its recovery."""
+    root, landed = scratch(spark), _payloads(spark, sf_dir)
+    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
+    medallion.run(spark, landed.filter("page = 2"), catalog, root, NOW, "whole")
+    journal.begin(spark, root, "broken", NOW)
+    newer = written(medallion.stamped(medallion.to_silver(medallion.landed(landed.filter("page = 1"), "broken", NOW), NOW).rows, NOW))
+    at = versioned.version(spark, f"{root}/silver_cleaned")
+    medallion.store_silver(versioned.read(spark, f"{root}/silver_cleaned"), newer, root, "broken", at.number)
+    for run_id in journal.open_runs(spark, root):
+        journal.recover(spark, root, run_id)
+    return versioned.read(spark, f"{root}/silver_cleaned").select("indicator_id", "timestamp", F.round("value", 2).alias("value"))
+
+
+@registered(f"""WITH {ANNUAL}, s AS (SELECT DISTINCT indicator_id, k, CASE WHEN y >= 1998 THEN 1 ELSE 2 END AS page FROM annual WHERE k % 29 <> 0 AND k % 31 <> 0),
+three AS (SELECT indicator_id, k, 3 AS page FROM s WHERE page = 1 AND k % 10 = 0 UNION ALL SELECT indicator_id, k, page FROM s)
+SELECT indicator_id, page, page <= 2 AS counts FROM three""")
+def page_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload pages that count, and third pages of series that have two."""
+    landed = _payloads(spark, sf_dir)
+    number = F.regexp_extract("indicator_id", r"(\d+)$", 1).cast("int")
+    third = landed.filter((F.col("page") == 1) & (number % 10 == 0)).withColumn("page", F.lit(3))
+    pages, beyond = within_pages(split_envelopes(landed.unionByName(third)).good)
+    return pages.select("indicator_id", "page", F.lit(True).alias("counts")).unionByName(beyond.select("indicator_id", "page", F.lit(False).alias("counts")))
+
+
 @registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS} SELECT indicator_id, ts AS "timestamp", round(original_value * factor, 2) AS value, original_value, abs(factor - 1) > 1e-12 AS is_chain_linked, CASE WHEN abs(factor - 1) > 1e-12 THEN 0.2 END AS chain_linking_confidence, 'USD' AS unit, {_DOMAIN} AS domain FROM fac""")
 def gold_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, catalog = _silver(spark, sf_dir)
@@ -414,7 +492,7 @@ def stored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for page in (2, 1):
         medallion.run(spark, landed.filter(F.col("page") == page), catalog, root, NOW, f"page{page}")
     digits = F.when(F.col("unit") == "USD", F.round("value", 2)).otherwise(F.round("value", 4) + 0.0)
-    return spark.read.parquet(f"{root}/gold_analytical").select("indicator_id", "timestamp", digits.alias("value"), "unit")
+    return versioned.read(spark, f"{root}/gold_analytical").select("indicator_id", "timestamp", digits.alias("value"), "unit")
 
 
 @registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS}, {_GROWTH} SELECT indicator_id, "timestamp", value, is_chain_linked, unit FROM gg
@@ -425,9 +503,10 @@ def gold_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = medallion.to_gold(*_silver(spark, sf_dir))
     levels = gold.levels.withColumn("parent_id", F.col("indicator_id"))
     growth_rows = gold.growth.withColumn("parent_id", F.get_json_object("metadata", "$.derived_from"))
-    tables.write_bucketed(tables.replace_gold(None, levels.select("indicator_id"), levels.unionByName(growth_rows)), path)
+    rows = tables.replace_gold(None, levels.select("indicator_id"), levels.unionByName(growth_rows))
+    versioned.commit(rows, path, rows.select("series_bucket"))
     digits = F.when(F.col("unit") == "USD", F.round("value", 2)).otherwise(F.round("value", 4) + 0.0)
-    return spark.read.parquet(path).select("indicator_id", "timestamp", digits.alias("value"), "is_chain_linked", "unit")
+    return versioned.read(spark, path).select("indicator_id", "timestamp", digits.alias("value"), "is_chain_linked", "unit")
 
 
 @registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS} SELECT indicator_id, ts AS "timestamp", round(original_value * factor, 2) AS value, original_value, abs(factor - 1) > 1e-12 AS is_chain_linked, CASE WHEN abs(factor - 1) > 1e-12 THEN 0.2 END AS chain_linking_confidence, 'USD' AS unit FROM fac WHERE k IN (1, 7)""")

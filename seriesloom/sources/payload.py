@@ -56,14 +56,28 @@ def split_envelopes(payloads: DataFrame) -> Envelopes:
     return Envelopes(good, bad)
 
 
+def within_pages(good: DataFrame, max_pages: int = K.MAX_PAGES) -> tuple[DataFrame, DataFrame]:
+    """The pages that count, and why the others don't (indicator_id, page, error_type, message).
+
+    A series has as many pages as the meta of its first page says (one where
+    it says nothing), and no more than the guard.
+    """
+    told = F.coalesce(F.try_variant_get("meta", "$.pages", "int"), F.lit(1))
+    first = good.groupBy("indicator_id").agg(F.min_by(told, "page").alias("pages"))
+    every = good.join(first, "indicator_id")
+    most = F.least("pages", F.lit(max_pages))
+    beyond = every.filter(F.col("page") > most)
+    why = F.format_string("page %d of %d", "page", most)
+    return every.filter(F.col("page") <= most).drop("pages"), beyond.select("indicator_id", "page", F.lit("page").alias("error_type"), why.alias("message"))
+
+
 def concatenated(good: DataFrame, max_pages: int = K.MAX_PAGES) -> DataFrame:
     """(indicator_id, meta, rows): all pages' rows in page order and the first page's meta; pages past meta.pages or the guard are left out."""
-    told = F.coalesce(F.try_variant_get("meta", "$.pages", "int"), F.lit(1))
-    first = good.groupBy("indicator_id").agg(F.min_by("meta", "page").alias("first_meta"), F.min_by(told, "page").alias("pages"))
-    pages = good.join(first.drop("first_meta"), "indicator_id").filter(F.col("page") <= F.least("pages", F.lit(max_pages)))
+    first = good.groupBy("indicator_id").agg(F.min_by("meta", "page").alias("meta"))
+    pages, _ = within_pages(good, max_pages)
     parts = pages.groupBy("indicator_id").agg(F.array_sort(F.collect_list(F.struct("page", F.to_json("rows").alias("rows")))).alias("parts"))
     joined = F.flatten(F.transform("parts", lambda p: F.from_json(p["rows"], "array<string>")))
-    return parts.join(first, "indicator_id").select("indicator_id", F.col("first_meta").alias("meta"), joined.alias("rows"))
+    return parts.join(first, "indicator_id").select("indicator_id", "meta", joined.alias("rows"))
 
 
 def raw_rows(good: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:

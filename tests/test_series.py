@@ -10,7 +10,7 @@ from seriesloom.functions import expr
 from seriesloom.operators import growth, linking, publish, quality
 from seriesloom.operators.cleaning import clean
 from seriesloom.plans import medallion, reports
-from seriesloom.sinks import tables
+from seriesloom.sinks import tables, versioned
 from seriesloom.sources import payload
 from seriesloom.streaming.ingest import ingest
 
@@ -230,7 +230,7 @@ def test_runs_are_idempotent_and_failures_contained(spark, tmp_path):
         outcomes = medallion.run(spark, landed, catalog, root, NOW, run_id)
         summary = reports.run_summary(outcomes).first()
         assert (summary["succeeded"], summary["failed"], summary["ok"]) == (1, 1, False)
-    silver, gold = spark.read.parquet(f"{root}/silver_cleaned"), spark.read.parquet(f"{root}/gold_analytical")
+    silver, gold = versioned.read(spark, f"{root}/silver_cleaned"), versioned.read(spark, f"{root}/gold_analytical")
     assert silver.count() == 5 and gold.count() == 9
     assert spark.read.parquet(f"{root}/bronze_raw").filter("run_id = 'two'").count() == 1
     log = spark.read.parquet(f"{root}/transformation_log").filter("run_id = 'two'")
@@ -240,12 +240,12 @@ def test_runs_are_idempotent_and_failures_contained(spark, tmp_path):
 
 def told(spark, years, factor=1.0, code="A"):
     body = ",".join(ROW % (code, y, factor * 100 * 1.05 ** (y - 2000)) for y in years)
-    return envelope(spark, (code, 1, f'[{{"pages":1}},[{body}]]'))
+    return envelope(spark, (code, 1, f'[{{"pages":2}},[{body}]]'))
 
 
 def gold_rows(spark, root):
     columns = ["indicator_id", "timestamp", F.round("value", 6).alias("value"), F.round("original_value", 6).alias("original_value"), "is_chain_linked"]
-    return sorted((tuple(r) for r in spark.read.parquet(f"{root}/gold_analytical").select(*columns).collect()), key=str)
+    return sorted((tuple(r) for r in versioned.read(spark, f"{root}/gold_analytical").select(*columns).collect()), key=str)
 
 
 def test_gold_is_built_from_the_whole_stored_history(spark, tmp_path):
@@ -267,7 +267,7 @@ def test_gold_is_built_from_the_whole_stored_history(spark, tmp_path):
     assert spark.read.parquet(f"{roots['parts']}/bronze_raw").count() == 2
     log = spark.read.parquet(f"{roots['parts']}/transformation_log")
     assert log.count() == 4 and log.filter("duration_seconds >= 0 AND records_written > 0 AND started_at IS NOT NULL").count() == 4
-    silver, bronze = (spark.read.parquet(f"{roots['parts']}/{t}") for t in ("silver_cleaned", "bronze_raw"))
+    silver, bronze = versioned.read(spark, f"{roots['parts']}/silver_cleaned"), spark.read.parquet(f"{roots['parts']}/bronze_raw")
     assert reports.orphans(silver.select("bronze_id"), bronze, "bronze_id", "bronze_id").count() == 0 and silver.filter("bronze_id IS NULL").count() == 0
     again = medallion.replay(spark, roots["parts"], bronze.filter("run_id = 'late'").select("bronze_id"), NOW).rows
     assert {(r["timestamp"].year, round(r["value"], 4)) for r in again.collect()} == {(y, round(200 * 1.05 ** (y - 2000), 4)) for y in range(2006, 2009)}
@@ -279,7 +279,7 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     envelope(spark, ("A", 1, f'[{{"pages":1}},[{body}]]')).write.parquet(landing)
     catalog = years(spark).withColumn("domain", F.lit("gdp"))
     ingest(spark, landing, catalog, root, str(tmp_path / "ck"), lambda: NOW).awaitTermination(120)
-    assert spark.read.parquet(f"{root}/silver_cleaned").count() == 3
+    assert versioned.read(spark, f"{root}/silver_cleaned").count() == 3
 
 
 def test_upserts(spark):
