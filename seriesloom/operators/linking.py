@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from seriesloom import constants as K
 from seriesloom.functions.expr import base_year_pairs, confidence, is_finite, min_overlap, months_per_period, safe_ratio
+from seriesloom.operators.asof import asof_join
 from seriesloom.operators.growth import change, in_time, normalised, previous, scale_changed
+from seriesloom.operators.quality import exact_quantiles
 from seriesloom.shared import written
 
 LINK_ERROR = "chain_linking"
@@ -61,14 +63,9 @@ def breaks_from_base_years(series: DataFrame, base_years: DataFrame) -> DataFram
     """
     seen = normalised(series).select("indicator_id", "timestamp", "value", previous("value").alias("before"), F.row_number().over(in_time()).alias("n"))
     pairs = base_years.select("indicator_id", F.explode(base_year_pairs(F.col("base_years"))).alias("pair")).select("indicator_id", "pair.*")
-    # A series has a handful of base years: this joins each observation with those few, on the series' key.
-    first = (
-        seen.join(pairs, "indicator_id")
-        .filter(F.year("timestamp") >= F.col("base_to"))
-        .groupBy("indicator_id", "base_from", "base_to")
-        .agg(F.min_by(F.struct("timestamp", "value", "before", "n"), "timestamp").alias("at"))
-        .filter("at.n > 1")
-    )
+    # A new base begins with its year; the first observation from there on is the nearest following one.
+    begins = pairs.withColumn("timestamp", F.make_timestamp_ntz("base_to", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast(series.schema["timestamp"].dataType))
+    first = asof_join(begins, seen, on="timestamp", direction="forward").select("indicator_id", "base_from", "base_to", F.col("matched").alias("at")).filter("at.n > 1")
     return first.groupBy("indicator_id", F.col("at.timestamp").alias("timestamp")).agg(
         F.min("base_from").alias("base_year_from"),
         F.max("base_to").alias("base_year_to"),
@@ -83,7 +80,10 @@ def breaks_from_level_shifts(series: DataFrame, threshold: float = K.SHIFT_THRES
     # A change from zero is infinite, one from zero to zero undefined.
     size = F.when(before == 0, F.when(F.col("value") != 0, F.lit(float("inf")))).otherwise(F.abs(change("value")))
     moves = normalised(series).select("indicator_id", "timestamp", "value", before.alias("before"), previous("timestamp").alias("earlier"), size.alias("size"))
-    typical = moves.groupBy("indicator_id").agg(F.median("size").alias("typical"), F.count(F.lit(1)).alias("rows")).filter((F.col("rows") >= K.MIN_ROWS_FOR_SHIFTS) & is_finite(F.col("typical")))
+    moves = written(moves)
+    middle = exact_quantiles(moves.select("indicator_id", F.col("size").alias("value")), {"typical": 0.5}).select("indicator_id", "typical")
+    rows = moves.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("rows"))
+    typical = middle.join(rows, "indicator_id").filter((F.col("rows") >= K.MIN_ROWS_FOR_SHIFTS) & is_finite(F.col("typical")))
     jump = is_finite(F.col("size")) & (F.col("size") >= threshold) & ((F.col("typical") <= 0) | (F.col("size") >= multiple * F.col("typical")))
     return moves.join(typical, "indicator_id").filter(jump).select(
         "indicator_id",

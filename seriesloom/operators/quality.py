@@ -30,36 +30,52 @@ def null_percentage(series: DataFrame) -> DataFrame:
     return series.groupBy("indicator_id").agg(null_share().alias("null_percentage"))
 
 
-def quartiles(series: DataFrame) -> DataFrame:
-    """(indicator_id, q1, q3): the exact quartiles of the values that aren't missing, interpolated between neighbours.
+def exact_quantiles(values: DataFrame, probabilities: dict[str, float], key: str = "indicator_id", column: str = "value") -> DataFrame:
+    """(key, one column per name): exact quantiles of a group's values that aren't missing, interpolated between neighbours; infinities are values.
 
-    A sketch of bounded size brackets each quartile; a second pass counts what
+    A sketch of bounded size brackets each quantile; a second pass counts what
     lies outside the brackets and keeps single values only inside, a hundredth
-    of a series (of a short one, all).  So no task holds all values of a long
-    series.
+    of a large group for each (of a small one, all).  So no task holds all
+    values of a group.
     """
-    known = series.filter(~is_missing(F.col("value"))).select("indicator_id", "value")
-    ends = [q + side * BRACKET for q in (0.25, 0.75) for side in (-1, 1)]
-    sketch = known.groupBy("indicator_id").agg(F.percentile_approx("value", ends, SKETCH_ACCURACY).alias("b"), F.count(F.lit(1)).alias("n"))
+    if not probabilities or not all(0 <= p <= 1 for p in probabilities.values()):
+        raise ValueError("probabilities must lie from 0 to 1")
+    known = values.filter(~is_missing(F.col(column))).select(key, F.col(column).alias("value"))
+    spans: list[list[float]] = []
+    for p in sorted(set(probabilities.values())):
+        low, high = max(0.0, p - BRACKET), min(1.0, p + BRACKET)
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = high
+        else:
+            spans.append([low, high])
+    ends = [x for span in spans for x in span]
+    sketch = known.groupBy(key).agg(F.percentile_approx("value", ends, SKETCH_ACCURACY).alias("b"), F.count(F.lit(1)).alias("n"))
     v, b, far = F.col("value"), F.col("b"), F.lit(float("inf"))
     # Between the brackets no rank is asked for: those values count for the end below them.
-    short = F.col("n") <= SKETCH_ACCURACY
-    snapped = F.when(short, v).when(v < b[0], -far).when(v <= b[1], v).when(v < b[2], b[1]).when(v <= b[3], v).otherwise(far)
-    counts = known.join(sketch, "indicator_id").groupBy("indicator_id", "n", snapped.alias("value")).agg(F.count(F.lit(1)).alias("c"))
-    upto = Window.partitionBy("indicator_id").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    snapped = F.when(F.col("n") <= SKETCH_ACCURACY, v).when(v < b[0], -far)
+    for k in range(len(spans)):
+        snapped = snapped.when(v <= b[2 * k + 1], v)
+        snapped = snapped.when(v < b[2 * k + 2], b[2 * k + 1]) if k + 1 < len(spans) else snapped.otherwise(far)
+    counts = known.join(sketch, key).groupBy(key, "n", snapped.alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy(key).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counts.withColumn("stop", F.sum("c").over(upto))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("stop") - F.col("c") <= rank) & (rank < F.col("stop")), v))
 
-    places = {name: (F.col("n") - 1) * q for name, q in (("q1", 0.25), ("q3", 0.75))}
-    found = ranked.groupBy("indicator_id", "n").agg(*(c for name, p in places.items() for c in (at(F.floor(p)).alias(f"{name}_lo"), at(F.ceil(p)).alias(f"{name}_hi"))))
+    places = {name: (F.col("n") - 1) * p for name, p in probabilities.items()}
+    found = ranked.groupBy(key, "n").agg(*(c for name, p in places.items() for c in (at(F.floor(p)).alias(f"{name}_lo"), at(F.ceil(p)).alias(f"{name}_hi"))))
 
     def between(name: str) -> Column:
         lo, hi, p = F.col(f"{name}_lo"), F.col(f"{name}_hi"), places[name]
         return F.when(lo == hi, lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi).alias(name)
 
-    return found.select("indicator_id", between("q1"), between("q3"))
+    return found.select(key, *map(between, probabilities))
+
+
+def quartiles(series: DataFrame) -> DataFrame:
+    """(indicator_id, q1, q3) of the values that aren't missing."""
+    return exact_quantiles(series, {"q1": 0.25, "q3": 0.75})
 
 
 def iqr_bounds(series: DataFrame, multiplier: float = K.IQR_MULTIPLIER) -> DataFrame:

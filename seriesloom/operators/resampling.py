@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.expr import is_finite
@@ -29,6 +29,51 @@ def moving_average(series: DataFrame, periods: int) -> DataFrame:
     return normalised(series).select("indicator_id", "timestamp", F.avg("value").over(frame).alias("moving_average"))
 
 
+def calendar_average(series: DataFrame, days: int) -> DataFrame:
+    """The mean of each observation and those of the ``days`` days that end with its own, however many there are."""
+    day = F.datediff(F.to_date("timestamp"), F.lit("1970-01-01").cast("date"))
+    known = normalised(series).select("indicator_id", "timestamp", "value", day.alias("day"))
+    frame = Window.partitionBy("indicator_id").orderBy("day").rangeBetween(1 - days, 0)
+    return known.select("indicator_id", "timestamp", F.avg("value").over(frame).alias("moving_average"), F.count("value").over(frame).alias("observations"))
+
+
+def _period_number(frequency: str) -> Column:
+    """The calendar period of a timestamp, counted from year 0."""
+    year, month = F.year("timestamp"), F.month("timestamp")
+    numbers = {
+        "daily": F.datediff(F.to_date("timestamp"), F.lit("1970-01-01").cast("date")),
+        "monthly": year * 12 + month - 1,
+        "quarterly": year * 4 + F.quarter("timestamp") - 1,
+        "annual": year,
+    }
+    if frequency not in numbers:
+        raise ValueError(f"frequency must be one of {sorted(numbers)}")
+    return numbers[frequency].cast("int")
+
+
+#: Periods back for each view of a frequency's series.
+VIEWS = {"daily": {"dod": 1}, "monthly": {"mom": 1, "qoq": 3, "yoy": 12}, "quarterly": {"qoq": 1, "yoy": 4}, "annual": {"yoy": 1}}
+
+
+def period_change(series: DataFrame, frequency: str, view: str) -> DataFrame:
+    """(indicator_id, timestamp, value, change): percent change against the same calendar period so far back, null over a gap.
+
+    Of several observations in one period the last one counts; ``view``: see
+    ``VIEWS``.  A change from zero or one that isn't finite is null.
+    """
+    back = VIEWS[frequency][view]
+    closing = normalised(series).groupBy("indicator_id", _period_number(frequency).alias("period")).agg(F.max_by(F.struct("timestamp", "value"), "timestamp").alias("last"))
+    exactly = Window.partitionBy("indicator_id").orderBy("period").rangeBetween(-back, -back)
+    rows = closing.select("indicator_id", F.col("last.timestamp").alias("timestamp"), F.col("last.value").alias("value"), F.first("last.value").over(exactly).alias("before"))
+    rate = 100 * (F.try_divide("value", "before") - 1)
+    return rows.select("indicator_id", "timestamp", "value", F.when(is_finite(rate), rate).alias("change"))
+
+
+def daily_returns(series: DataFrame) -> DataFrame:
+    """(indicator_id, timestamp, value, change): each day's closing value against the day before, null where that day has none."""
+    return period_change(series, "daily", "dod")
+
+
 def correlations(series: DataFrame) -> DataFrame:
     """(a, b, correlation, periods): growth of each pair of series over the periods they share.
 

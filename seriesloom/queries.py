@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.expr import stable_id
-from seriesloom.operators import growth, linking, publish, quality, resampling
+from seriesloom.operators import asof, growth, linking, publish, quality, resampling
 from seriesloom.operators.cleaning import clean
 from seriesloom.plans import inputs, journal, medallion, reports
 from seriesloom.plans.inputs import ANNUAL, EVENTS, EVENTS_NOW, NOW, RAW, REBASED
@@ -604,6 +604,69 @@ def growth_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.correlations(_daily(spark, sf_dir)).withColumn("correlation", F.round("correlation", 6))
 
 
+@registered(f"""WITH {_DAILY} SELECT d.indicator_id, CAST(d.day AS TIMESTAMP) AS "timestamp", round(100 * (d.v / nullif(e.v, 0) - 1), 4) + 0.0 AS change FROM daily d LEFT JOIN daily e ON e.indicator_id = d.indicator_id AND e.day = d.day - 1""")
+def daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    returns = resampling.daily_returns(_daily(spark, sf_dir))
+    return returns.select("indicator_id", "timestamp", (F.round("change", 4) + 0.0).alias("change"))
+
+
+@registered(f"""WITH {_DAILY} SELECT indicator_id, CAST(day AS TIMESTAMP) AS "timestamp", round(avg(v) OVER w + 1e-9, 6) AS moving_average, count(*) OVER w AS observations FROM daily
+WINDOW w AS (PARTITION BY indicator_id ORDER BY day RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)""")
+def calendar_average_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small number keeps means off the half of the last digit."""
+    return resampling.calendar_average(_daily(spark, sf_dir), 30).withColumn("moving_average", F.round(F.col("moving_average") + 1e-9, 6))
+
+
+_MONTHLY = """o AS (SELECT o_orderpriority || '.' || CAST(o_custkey % 50 AS VARCHAR) AS indicator_id, date_trunc('month', o_orderdate)::TIMESTAMP AS ts, floor(sum(o_totalprice) + 0.001) AS v FROM orders WHERE (o_custkey + month(o_orderdate)) % 11 <> 0 GROUP BY 1, 2)"""
+
+
+def _period_sql() -> str:
+    views = {"mom": 1, "qoq": 3, "yoy": 12}
+    one = "SELECT '{}' AS view, x.indicator_id, x.ts AS \"timestamp\", round(100 * (x.v / nullif(y.v, 0) - 1), 4) + 0.0 AS change FROM o x LEFT JOIN o y ON y.indicator_id = x.indicator_id AND y.ts = x.ts - INTERVAL {} MONTH"
+    return f"WITH {_MONTHLY} " + " UNION ALL ".join(one.format(name, months) for name, months in views.items())
+
+
+@registered(_period_sql())
+def period_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly order values by priority and customer group, with gaps, against a month, a quarter and a year before."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").filter((F.col("o_custkey") + F.month("o_orderdate")) % 11 != 0)
+    ids = F.concat("o_orderpriority", F.lit("."), (F.col("o_custkey") % 50).cast("string")).alias("indicator_id")
+    monthly = orders.groupBy(ids, F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("timestamp")).agg(F.floor(F.sum("o_totalprice") + 0.001).cast("double").alias("value"))
+    views = [resampling.period_change(monthly, "monthly", v).select(F.lit(v).alias("view"), "indicator_id", "timestamp", (F.round("change", 4) + 0.0).alias("change")) for v in resampling.VIEWS["monthly"]]
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
+@registered(f"""WITH {EVENTS}, known AS (SELECT indicator_id, ts, event_id, value FROM ev WHERE value IS NOT NULL AND event_id % 3 = 0), asked AS (SELECT indicator_id, event_id, ts FROM ev WHERE event_id % 3 <> 0)
+SELECT a.event_id, 'backward' AS direction, round(k.value, 6) AS value FROM asked a ASOF LEFT JOIN known k ON a.indicator_id = k.indicator_id AND a.ts >= k.ts
+UNION ALL SELECT a.event_id, 'forward', round(k.value, 6) FROM asked a ASOF LEFT JOIN known k ON a.indicator_id = k.indicator_id AND a.ts <= k.ts""")
+def asof_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For two thirds of the events the nearest known value before and after them in their series, out of the others."""
+    events = inputs.events(spark, sf_dir)
+    known = events.filter("event_id % 3 = 0 AND value IS NOT NULL AND NOT isnan(value)").select("indicator_id", "timestamp", "value")
+    asked = events.filter("event_id % 3 <> 0").select("indicator_id", "event_id", "timestamp")
+    found = [asof.asof_join(asked, known, on="timestamp", direction=d).select("event_id", F.lit(d).alias("direction"), F.round("matched.value", 6).alias("value")) for d in ("backward", "forward")]
+    return found[0].unionByName(found[1])
+
+
+@registered(f"""WITH {ANNUAL}, {REBASED}, {_YEARS}, {_GROWTH}, rows AS (SELECT indicator_id, "timestamp", value, unit, indicator_id LIKE 'WB.%' AS derived FROM gg
+UNION ALL SELECT indicator_id, ts, round(original_value * factor, 2), 'USD', FALSE FROM fac)
+SELECT indicator_id, "timestamp", value, unit FROM rows WHERE CAST(regexp_extract(indicator_id, '([0-9]+)', 1) AS INTEGER) % 10 = 3 AND year("timestamp") BETWEEN 1996 AND 1999""")
+def export_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the series with their growth from 1996 to 1999, out of stored gold, exported as CSV and read back."""
+    root = scratch(spark)
+    gold = medallion.to_gold(*_silver(spark, sf_dir))
+    levels = gold.levels.withColumn("parent_id", F.col("indicator_id"))
+    derived = gold.growth.withColumn("parent_id", F.get_json_object("metadata", "$.derived_from"))
+    new = levels.unionByName(derived)
+    medallion.store_gold(new, levels.select("indicator_id").distinct(), root, "export")
+    wanted = inputs.annual(spark, sf_dir).filter("k % 10 = 3").select("indicator_id")
+    chosen = scan.series_set(versioned.read(spark, f"{root}/gold_analytical"), wanted, datetime(1996, 1, 1), datetime(1999, 12, 31), parent_col="parent_id")
+    scan.export_csv(chosen, f"{root}/csv", ["indicator_id", "timestamp", "value", "unit"])
+    back = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").schema("indicator_id string, timestamp timestamp_ntz, value double, unit string").csv(f"{root}/csv")
+    digits = F.when(F.col("unit") == "USD", F.round("value", 2)).otherwise(F.round("value", 4) + 0.0)
+    return back.select("indicator_id", "timestamp", digits.alias("value"), "unit")
+
+
 @registered(f"""WITH {ANNUAL} SELECT indicator_id, 'Part ' || CAST(k AS VARCHAR) AS name FROM (SELECT DISTINCT indicator_id, k FROM annual) WHERE contains(lower('Part ' || CAST(k AS VARCHAR)), 'part 1')""")
 def catalog_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.search_catalog(inputs.catalog(inputs.annual(spark, sf_dir)), "PART 1").select("indicator_id", "name")
