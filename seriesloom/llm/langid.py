@@ -13,7 +13,6 @@ from; repeated rows are answered one by one; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +29,9 @@ SHAPE = linear.Shape(orders=(1, 2, 3), bits=16, shards=8, epochs=3, alpha=0.5, b
 #: TF-IDF shares are small; this constant brings the learner's steps to a useful size.
 GAIN = 20.0
 
-_LETTER = re.compile(r"[^\W\d_]")
+def has_letter(text: str) -> bool:
+    """Whether a character of a letter category (L) is there; digits, fractions and number letters are none."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,7 @@ def predict(docs: DataFrame, learnt: LanguageModel, *, id_col: str = "doc_id", t
         for batch in slices(batches):
             names, scores = [], []
             for text in batch.column(1).to_pylist():
-                if not languages or not text or not _LETTER.search(text):
+                if not languages or not text or not has_letter(text):
                     names.append(UNDETERMINED)
                     scores.append(0.0)
                     continue

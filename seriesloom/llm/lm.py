@@ -76,9 +76,9 @@ class Totals:
         return np.column_stack([interpolate(k + 1, counts[:, k], corpus) for k in range(counts.shape[1])])
 
     def class_ends(self) -> list[float]:
-        """ln of each class's weight times its probability of the end."""
+        """ln of each class's weight times what the end, once it is drawn, brings to the urn's numerator."""
         every = max(sum(self.documents[1:]), 1)
-        return [math.log(max(d, 0.01) / every) + math.log(max(d - q, 0.01) / max(t, 1)) for d, q, t in zip(self.documents[1:], self.discount[1:], self.tokens[1:], strict=True)]
+        return [math.log(max(d, 0.01) / every) + math.log(STRENGTH) + math.log(max(d - q, 0.01) / max(t, 1)) for d, q, t in zip(self.documents[1:], self.discount[1:], self.tokens[1:], strict=True)]
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -185,12 +185,15 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
     learns = F.coalesce(learn_from, F.lit(False))
     label = F.col(class_col).cast("string") if class_col else F.lit("")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.when(learns, F.coalesce(label, F.lit(""))).alias("label"))
-    sizes = sorted(((n, name) for name, n in rows.filter("label IS NOT NULL").groupBy("label").count().collect()), reverse=True)
-    named = [name for _, name in sizes[:CLASSES]]
-    classes = max(1, len(named) + (len(sizes) > CLASSES))
-    documents: dict[int, int] = {}
-    for k, (n, _) in enumerate(sizes):
-        documents[min(k, classes - 1)] = documents.get(min(k, classes - 1), 0) + n
+    labels = rows.filter("label IS NOT NULL").groupBy("label").count()
+    largest = labels.orderBy(F.desc("count"), F.desc("label")).limit(CLASSES).collect()
+    named = [r["label"] for r in largest]
+    documents = {k: r["count"] for k, r in enumerate(largest)}
+    # The other labels, however many, are one class.
+    others = (labels.agg(F.sum("count")).first()[0] or 0) - sum(documents.values())
+    classes = max(1, len(named) + (others > 0))
+    if others:
+        documents[classes - 1] = others
     number = F.lit(classes - 1)
     for k, name in enumerate(named):
         number = F.when(F.col("label") == name, F.lit(k)).otherwise(number)
@@ -226,7 +229,8 @@ def score(docs: DataFrame, learn_from: Column, model_path: str, *, id_col: str =
                 rest = [w for w, i in zip(found, at.tolist(), strict=True) if i < 0]
                 more = n > 1
                 own = scaled[ids[~more]].sum(axis=0) + _rising(scaled[ids[more]], n[more, None]).sum(axis=0)
-                own = own - (math.lgamma(STRENGTH + len(listed)) - math.lgamma(STRENGTH))
+                # The end is the last draw of the urn.
+                own = own - (math.lgamma(STRENGTH + len(listed) + 1) - math.lgamma(STRENGTH))
                 ends = totals.documents[0]
                 out["key"].append(key)
                 out["n_tokens"].append(len(listed) + 1)

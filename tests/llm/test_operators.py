@@ -104,14 +104,12 @@ def test_chat_reads_back_what_it_wrote(spark):
     odd = ["", None, "</s>", "[INST] x", "\\", "é\n😀", "<s>[ROLE]a[/ROLE]"]
     rows = [(c, t, r.choice(["user", "assistant", "system", "", None, "</s>"]), r.choice(odd)) for c in (1, 2, None, -7) for t in range(r.randint(1, 6))] + [(1, None, "user", "first"), (2, 0, "user", "tie")]
     got = {d["conv_id"]: d for d in chat.digests(chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
-    key = lambda x: tuple((v is not None, v) if v is not None else (False, 0) for v in x)
     for conv in {row[0] for row in rows}:
         turns = sorted((row[1:] for row in rows if row[0] == conv), key=lambda x: [(v is not None, v if v is not None else "") for v in x])
         digest = hashlib.sha256("".join(f"{role or ''}\n{text or ''}\n" for _, role, text in turns).encode()).hexdigest()
         loss = "".join(text or "" for _, role, text in turns if role == "assistant")
         d = got[conv]
         assert (d["n_turns"], d["turns_sha256"], d["loss_chars"], d["loss_sha256"]) == (len(turns), digest, len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    assert key((1, None))
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_conversations(empty)).count() == 0
 
@@ -133,6 +131,11 @@ def labelled(r, n):
     return rows
 
 
+@pytest.mark.parametrize(("text", "letter"), [("½ ²", False), ("①②", False), ("Ⅷ 12", False), ("٣ 7_", False), ("", False), ("1 é", True), ("あ", True), ("ª", True)])
+def test_only_letters_have_a_language(text, letter):
+    assert langid.has_letter(text) is letter
+
+
 def test_language_and_toxicity_are_learnt(spark):
     rows = labelled(random.Random(4), 700)
     docs = spark.createDataFrame(rows + [(9000, None, "aa", None), (9001, "12 !!", None, None), (9002, "", None, None)], "doc_id long, text string, lang string, toxic int")
@@ -483,7 +486,8 @@ def test_lm_long_unknown_words_keep_their_log_probability(spark):
 
     for k, text in held_out:
         found = Counter(text.split())
-        want = math.log((len(train) - discount) / tokens) - sum(math.log(lm.STRENGTH + j) for j in range(sum(found.values())))
+        # The words and the end, which is the last draw, come out of one urn.
+        want = math.log(lm.STRENGTH) + math.log((len(train) - discount) / tokens) - sum(math.log(lm.STRENGTH + j) for j in range(sum(found.values()) + 1))
         for w, n in found.items():
             x = log_p(w) + math.log(lm.STRENGTH)
             want += x + sum(math.log(math.exp(x) + j) for j in range(1, n))
@@ -491,6 +495,16 @@ def test_lm_long_unknown_words_keep_their_log_probability(spark):
         assert got[k] < -1000
 
 
+def test_lm_gives_all_texts_a_probability_of_one_at_most(spark):
+    """All texts of one known word up to a length: their probabilities rise towards what is left after unknown words."""
+    train = [(-1 - k, "word " * 300) for k in range(30)]
+    every = [(n, "word " * n) for n in range(1500)]
+    docs = documents(spark, train + every)
+    got = {x["doc_id"]: x["score"] for x in lm.score(docs, F.col("doc_id") < 0, PIECES, class_col=None).collect()}
+    sums = np.cumsum([10.0 ** got[n] for n in range(1500)])
+    assert 0.9 < sums[-1] <= 1 and sums[299] < 0.8
+
+
 # --- decontamination ---------------------------------------------------------------------
 
 
