@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache, lru_cache
 
@@ -57,6 +57,10 @@ BROADCAST_CHARS = 1 << 20
 #: Bits of the table of q-grams of a larger benchmark, as a power of two.
 TABLE_BITS = 27
 _FILTER_BITS = 20
+#: q-grams of which a match must share so many that windows with no more than a common phrase fall short.
+SHORT_Q = 3
+#: Half bands of diagonals that are counted at once, entries that are expanded at once, and pairs that are aligned at once.
+CHUNK_BANDS, CHUNK_ENTRIES, ALIGNED = 32, 1 << 22, 1 << 10
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,6 +128,10 @@ class Grams:
     present: np.ndarray
     least: int
     longest: int
+    #: The known short q-grams, sorted, and each window's by number (one row per window of ``numbers``; past its end the number after the last).
+    known: np.ndarray
+    short: np.ndarray
+    row_of: dict[int, int]
 
 
 @dataclass(frozen=True)
@@ -148,6 +156,11 @@ def _grams_of(q: int, numbers: list[int], windows: list[tuple[int, np.ndarray]])
     present = np.zeros(1 << _FILTER_BITS, bool)
     present[hashes >> np.uint64(64 - _FILTER_BITS)] = True
     lengths = [len(windows[k][1]) for k in numbers]
+    shorts = [grams(windows[k][1], SHORT_Q) for k in numbers]
+    known = np.unique(np.concatenate(shorts))
+    short = np.full((len(numbers), max(map(len, shorts))), len(known), np.int32)
+    for row, found in zip(short, shorts, strict=True):
+        row[: len(found)] = np.searchsorted(known, found)
     return Grams(
         q,
         hashes[order],
@@ -156,6 +169,9 @@ def _grams_of(q: int, numbers: list[int], windows: list[tuple[int, np.ndarray]])
         present,
         min(map(bound, lengths)),
         max(n + budget(n) for n in lengths),
+        known,
+        short,
+        {k: row for row, k in enumerate(numbers)},
     )
 
 
@@ -194,49 +210,54 @@ def _retained(hits: np.ndarray, least: int, reach: int) -> np.ndarray:
     return hits[np.cumsum(keep[:-1]) > 0]
 
 
-def banded_distance(window: np.ndarray, text: np.ndarray, diagonal: int, width: int, most: int) -> tuple[int, int, int] | None:
-    """The best match of the whole window in ``text`` along diagonals within ``width`` of ``diagonal``.
+def banded_distances(windows: np.ndarray, text: np.ndarray, diagonals: np.ndarray, width: int, most: int) -> list[tuple[int, int, int] | None]:
+    """The best match of each whole window (rows of one length) in ``text`` along diagonals within ``width`` of its own.
 
-    Returns (edits, start, end), or None beyond ``most`` edits.  The start in
+    Each is (edits, start, end), or None beyond ``most`` edits.  The start in
     the text is free: each alignment cell carries the start it came from.
     """
-    span = 2 * width + 1
-    far = most + 1
-    cost, begin = np.full(span, far), np.zeros(span, np.int64)
-    at = diagonal - width + np.arange(span)  # text place of each cell in row 0
+    span, far = 2 * width + 1, most + 1
+    cells = np.arange(span)
+    pair = np.arange(len(windows))
+    at = diagonals[:, None] - width + cells  # text place of each cell in row 0
     inside = (at >= 0) & (at <= len(text))
-    cost[inside], begin[inside] = 0, at[inside]
-    for i, letter in enumerate(window):
+    cost, begin = np.where(inside, 0, far), np.where(inside, at, 0)
+    padded = np.append(text, 0)
+    length = windows.shape[1]
+    for i in range(length):
         place = at + i  # a cell's text characters used so far, before this row's step on the diagonal
         usable = (place >= 0) & (place < len(text))
-        same = np.zeros(span, bool)
-        same[usable] = text[place[usable]] == letter
-        step, step_begin = np.where(usable, cost + ~same, far), begin.copy()
+        same = padded[np.clip(place, 0, len(text))] == windows[:, i, None]
+        step, step_begin = np.where(usable, cost + ~same, far), begin
         # The window's letter without one in the text: comes from the next diagonal.
-        over = np.append(cost[1:] + 1, far)
+        over = np.full_like(cost, far)
+        over[:, :-1] = cost[:, 1:] + 1
         better = over < step
-        step[better], step_begin[better] = over[better], np.append(begin[1:], 0)[better]
+        step = np.where(better, over, step)
+        step_begin = np.where(better, np.append(begin[:, 1:], np.zeros((len(begin), 1), begin.dtype), axis=1), step_begin)
         # A text character without one in the window: along the row, cheapest run of insertions.
-        shifted = step - np.arange(span)
-        lowest = np.minimum.accumulate(shifted)
-        came = np.maximum.accumulate(np.where(shifted == lowest, np.arange(span), 0))
+        shifted = step - cells
+        lowest = np.minimum.accumulate(shifted, axis=1)
+        came = np.maximum.accumulate(np.where(shifted == lowest, cells, 0), axis=1)
         usable_end = (place + 1 >= 0) & (place + 1 <= len(text))
-        cost = np.where(usable_end, np.minimum(lowest + np.arange(span), far), far)
-        begin = step_begin[came]
-        if cost.min() > most:
-            return None
-    k = int(cost.argmin())
-    if cost[k] > most:
-        return None
-    return int(cost[k]), int(begin[k]), int(at[k] + len(window))
+        cost = np.where(usable_end, np.minimum(lowest + cells, far), far)
+        begin = np.take_along_axis(step_begin, came, axis=1)
+        alive = cost.min(axis=1) <= most
+        if not alive.all():
+            pair, at, cost, begin, windows = (x[alive] for x in (pair, at, cost, begin, windows))
+            if not len(pair):
+                break
+    out: list[tuple[int, int, int] | None] = [None] * len(diagonals)
+    if len(pair):
+        k = cost.argmin(axis=1)
+        for n, row, best in zip(pair.tolist(), range(len(pair)), k.tolist(), strict=True):
+            out[n] = (int(cost[row, best]), int(begin[row, best]), int(at[row, best] + length))
+    return out
 
 
-def _unchanged(window: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
-    """The match without edits on this diagonal: no alignment is cheaper."""
-    stop = diagonal + len(window)
-    if diagonal >= 0 and stop <= len(text) and np.array_equal(text[diagonal:stop], window):
-        return 0, diagonal, stop
-    return None
+def banded_distance(window: np.ndarray, text: np.ndarray, diagonal: int, width: int, most: int) -> tuple[int, int, int] | None:
+    """``banded_distances`` of one window."""
+    return banded_distances(window[None, :], text, np.array([diagonal]), width, most)[0]
 
 
 Region = tuple[int, int, int, int, int]
@@ -277,34 +298,107 @@ def _search(points: np.ndarray, places: np.ndarray, index: Index, part: Grams, o
     hits, low, n = hits[stay], low[stay], (high - low)[stay]
     if not len(hits):
         return
-    where = np.repeat(hits, n)
-    entry = np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-    window, diagonal = part.window_of[entry], where - part.place_of[entry]
-    tried: set[tuple[int, int]] = set()
+    # Each chunk of diagonals is counted by itself: what is held at once doesn't grow with the text.
     width = int(WINDOW * ERRORS)
-    # Bands of twice the width, each overlapping the next by half: any width of neighbouring diagonals lies in one.
-    band = np.concatenate([(diagonal // width), (diagonal // width) - 1])
-    key = np.concatenate([window, window]).astype(np.int64) * (1 << 34) + band + (1 << 33)
-    order = np.argsort(key, kind="stable")
-    key, both = key[order], np.concatenate([diagonal, diagonal])[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    last = np.append(first[1:], len(key))
-    reached = last - first >= index.bounds[key[first] >> 34]
-    for a, b in zip(first[reached], last[reached], strict=True):
-        k = int(key[a] >> 34)
-        item, letters = index.windows[k]
-        most = budget(len(letters))
-        diagonals, shared = np.unique(both[a:b], return_counts=True)
-        middle = int(diagonals[shared.argmax()])
-        if (k, middle) in tried:  # the neighbouring band holds the same q-grams
-            continue
-        tried.add((k, middle))
-        got = _unchanged(letters, points, middle) or banded_distance(letters, points, middle, 2 * width, most)
-        if got:
-            edits, s, e = got
-            e = max(e, s + 1)
-            region = (item, int(places[s]), int(places[min(e, len(places)) - 1]) + 1, edits, len(letters))
-            out[region[:3]] = min(out.get(region[:3], region), region, key=_preferred)
+    stretch = CHUNK_BANDS * width
+    longest = part.longest + 2 * width
+    first, last = (int(hits[0]) - WINDOW) // stretch, int(hits[-1]) // stretch
+    for chunk in range(first, last + 1):
+        a, b = np.searchsorted(hits, [chunk * stretch, (chunk + 1) * stretch + longest])
+        if b - a >= part.least:
+            for k, middle in _reached(hits[a:b], low[a:b], n[a:b], index, part, chunk, width):
+                _align(points, places, index, part, k, middle, width, out)
+
+
+def _reached(hits: np.ndarray, low: np.ndarray, n: np.ndarray, index: Index, part: Grams, chunk: int, width: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(windows, diagonal) for every band of the chunk with enough shared q-grams; the diagonal is the one most of them lie on.
+
+    A band is two neighbouring half bands of ``width`` diagonals, so bands
+    overlap by half, and any ``width`` neighbouring diagonals lie in one.
+    """
+    zero, halves = chunk * CHUNK_BANDS * width, CHUNK_BANDS + 1
+    ends = np.cumsum(n)
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(CHUNK_ENTRIES, ends[-1], CHUNK_ENTRIES)), len(hits)))
+
+    def entries() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, diagonal from the chunk's first) of the shared q-grams, so many at a time."""
+        begin = 0
+        for cut in cuts.tolist():
+            if cut > begin:
+                h, lo, m = hits[begin:cut], low[begin:cut], n[begin:cut]
+                entry = np.repeat(lo - np.append(0, np.cumsum(m)[:-1]), m) + np.arange(m.sum())
+                diagonal = np.repeat((h - zero).astype(np.int32), m) - part.place_of[entry]
+                own = (diagonal >= 0) & (diagonal < halves * width)
+                yield part.window_of[entry][own], diagonal[own]
+            begin = cut
+
+    again: Callable[[], Iterable[tuple[np.ndarray, np.ndarray]]] = entries
+    if len(cuts) <= 2:
+        once = list(entries())
+        again = lambda: once
+    seen = np.zeros(len(index.windows), bool)
+    for w, _ in again():
+        seen[w] = True
+    present = np.flatnonzero(seen)
+    if not len(present):
+        return
+    row_of = np.cumsum(seen, dtype=np.int32) - np.int32(1)
+    counts = np.zeros(len(present) * halves, np.int64)
+    for w, d in again():
+        counts += np.bincount(row_of[w] * np.int32(halves) + d // np.int32(width), minlength=len(counts))
+    counts = counts.reshape(-1, halves)
+    full = counts[:, :-1] + counts[:, 1:] >= index.bounds[present][:, None]
+    rows, bands = np.nonzero(full)
+    if not len(rows):
+        return
+    some = np.unique(rows)
+    chosen, place = present[some], np.full(len(present), -1, np.int32)
+    place[some] = np.arange(len(some), dtype=np.int32)
+    each = np.zeros(len(some) * halves * width, np.int32)
+    for w, d in again():
+        row = place[row_of[w]]
+        kept = row >= 0
+        each += np.bincount(row[kept].astype(np.int64) * (halves * width) + d[kept], minlength=len(each)).astype(np.int32)
+    each = each.reshape(len(some), -1)
+    rows = place[rows]
+    middle = bands * width + each[rows[:, None], bands[:, None] * width + np.arange(2 * width)].argmax(axis=1)
+    pairs = np.unique(np.stack([middle, rows]), axis=1)
+    for m in np.unique(pairs[0]).tolist():
+        yield chosen[pairs[1][pairs[0] == m]], m + zero
+
+
+def _align(points: np.ndarray, places: np.ndarray, index: Index, part: Grams, windows: np.ndarray, middle: int, width: int, out: dict[tuple[int, int, int], Region]) -> None:
+    """Adds those of ``windows`` that match along diagonals around ``middle``."""
+    reach = 2 * width
+    around = points[max(0, middle - reach) : max(0, middle + WINDOW + reach)]
+    has = np.zeros(len(part.known) + 1, bool)
+    short = grams(around, SHORT_Q)
+    at = np.minimum(np.searchsorted(part.known, short), len(part.known) - 1)
+    has[at[part.known[at] == short]] = True
+    lengths = np.array([len(index.windows[k][1]) for k in windows.tolist()])
+    shared = has[part.short[[part.row_of[k] for k in windows.tolist()]]].sum(axis=1)
+    # The q-gram lemma once more: what shares only a common phrase with the text mostly ends here.
+    enough = shared >= np.array([n - SHORT_Q + 1 - SHORT_Q * budget(n) for n in lengths.tolist()])
+    windows, lengths = windows[enough], lengths[enough]
+    for length in np.unique(lengths).tolist():
+        same = windows[lengths == length]
+        for begin in range(0, len(same), ALIGNED):
+            own = same[begin : begin + ALIGNED].tolist()
+            letters = np.stack([index.windows[k][1] for k in own])
+            stop = middle + length
+            equal = (letters == points[middle:stop]).all(axis=1) if middle >= 0 and stop <= len(points) else np.zeros(len(own), bool)
+            # A match without edits on this diagonal: no alignment is cheaper.
+            found: list[tuple[int, int, int] | None] = [(0, middle, stop) if e else None for e in equal.tolist()]
+            rest = np.flatnonzero(~equal)
+            if len(rest):
+                for k, got in zip(rest.tolist(), banded_distances(letters[rest], points, np.full(len(rest), middle), reach, budget(length)), strict=True):
+                    found[k] = got
+            for k, got in zip(own, found, strict=True):
+                if got:
+                    edits, s, e = got
+                    e = max(e, s + 1)
+                    region = (index.windows[k][0], int(places[s]), int(places[min(e, len(places)) - 1]) + 1, edits, length)
+                    out[region[:3]] = min(out.get(region[:3], region), region, key=_preferred)
 
 
 def _small(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple[int, str]] | None:
