@@ -11,11 +11,12 @@ compared with that one (by word numbers, which come from comparing bytes).
 A shuffle brings the rows of a fingerprint together; those of fingerprints
 below ``min_count`` go.  The pointers of the others are resolved against their
 documents, so phrases are materialised only there, and counts are added up by
-language and text: two phrases of one fingerprint stay apart.  Phrases of
-three words and more are hashed in a second pass, where a bit table of the
-first pass's fingerprints (16 MB, whatever the data) rules out most n-grams
-that hold a pair of words below ``min_count``; a bit that is set for another
-pair costs a row in the shuffle and never a phrase.
+language and text: two phrases of one fingerprint stay apart.
+
+Phrases of three words and more are hashed in a second pass, where a bit table
+of the first pass's fingerprints (8 MB, whatever the data) rules out most
+n-grams that hold a pair of words below ``min_count``; a bit that is set for
+another pair costs a row in the shuffle and never a phrase.
 
 Cases: null and empty texts have no word; a null language is ``und``; rows
 with the same id or text are occurrences of their own; a text without blanks
@@ -42,9 +43,9 @@ BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 MERSENNE = (1 << 31) - 1
 BASES = (1_103_515_245, 362_437_069)
 #: Bytes of text whose n-grams a task combines before it hands rows on, and words whose prefixes are held at once.
-BUFFER_BYTES, WINDOW_WORDS = 4 << 20, 1 << 18
-#: The bit table of the second pass.
-TABLE_BITS, TABLE_BLOCKS = 27, 64
+BUFFER_BYTES, WINDOW_WORDS = 8 << 20, 1 << 18
+#: Bits of the second pass's table, as a power of two, and the blocks that it is put together in.
+TABLE_BITS, TABLE_BLOCKS = 26, 64
 #: Bits of a span in a pointer; the rest is the byte it starts at.
 SPAN_BITS = 31
 
@@ -112,14 +113,15 @@ def words_of(texts: list[np.ndarray]) -> Words:
     kind = _KIND[data]
     inside = kind == 0
     edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    start, end = (np.flatnonzero(edge == k).astype(np.int64 if len(data) >> 31 else np.int32) for k in (1, -1))
     data = np.where(inside, _LOWER[data], np.uint8(32))
     inside[end] = True
     length = end - start
-    at = np.zeros(len(start), np.int64)
+    at = np.zeros_like(start)
     np.cumsum(length[:-1] + 1, out=at[1:])
-    text = np.searchsorted(begins, start, "right") - 1
-    piece = np.cumsum(kind == 2, dtype=np.int64)[start]
+    text = (np.searchsorted(begins, start, "right") - 1).astype(np.int32)
+    piece = np.cumsum(kind == 2, dtype=start.dtype)[start]
+    begins = begins.astype(start.dtype)
     return Words(data[inside], at, length, start - begins[text], end - begins[text], piece, text)
 
 
@@ -128,15 +130,15 @@ def _slots(fps: np.ndarray) -> np.ndarray:
     return fps * _U(0x9E3779B97F4A7C15) >> _U(64 - TABLE_BITS)
 
 
-def ngrams(words: Words, seeds: np.ndarray, orders: tuple[int, ...], hasher: Fingerprints, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The fingerprint of every word; and of every n-gram its order, first word and fingerprint.
+def ngrams(words: Words, seeds: np.ndarray, orders: tuple[int, ...], hasher: Fingerprints, table: np.ndarray | None = None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per order the n-grams' first words and fingerprints; single words are always there.
 
     ``seeds``: a number per word that tells languages apart.  With ``table``,
     only n-grams all of whose pairs of words are set there.
     """
     count, reach = len(words.at), max(orders)
     single = np.zeros(count, _U)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {n: [] for n in orders if n > 1}
     for a in range(0, count, WINDOW_WORDS):
         # The window's own words, and as many more as its last n-grams reach.
         own, size = min(WINDOW_WORDS, count - a), min(WINDOW_WORDS + reach - 1, count - a)
@@ -149,89 +151,111 @@ def ngrams(words: Words, seeds: np.ndarray, orders: tuple[int, ...], hasher: Fin
             here = np.flatnonzero(piece[:-1] == piece[1:])
             slot = _slots(hasher.of(prefixes, start[here], end[here + 1]) ^ seed[here])
             paired[here] = table[slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8) & 1
-        for n in orders:
+        for n, parts in found.items():
             fits = piece[: max(0, size - n + 1)] == piece[n - 1 :]
             for k in range(n - 1):
                 fits = fits & paired[k : k + len(fits)]
             here = np.flatnonzero(fits[:own])
-            fps = single[a + here] if n == 1 else hasher.of(prefixes, start[here], end[here + n - 1]) ^ seed[here]
-            found.append((np.full(len(here), n, np.int8), a + here, fps))
-    return single, *(np.concatenate(x) for x in zip(*found, strict=True))
+            parts.append(((a + here).astype(np.int32), hasher.of(prefixes, start[here], end[here + n - 1]) ^ seed[here]))
+    return {1: (np.arange(count, dtype=np.int32), single), **{n: tuple(np.concatenate(x) for x in zip(*parts, strict=True)) for n, parts in found.items()}}
+
+
+Groups = tuple[np.ndarray, np.ndarray]
 
 
-def _numbers(words: Words, lang: np.ndarray, single: np.ndarray) -> np.ndarray:
-    """A number per word, equal for equal words of one language only: words of one fingerprint are compared with their first."""
-    _, first, inverse = np.unique(single, return_index=True, return_inverse=True)
-    first = first[inverse]
-    same = np.array_equal(lang[first], lang) and np.array_equal(words.length[first], words.length)
+def _same_words(words: Words, lang: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, Groups]:
+    """A number per word, equal for equal words of one language only, and each one's first word and count: words of one fingerprint are compared with their first."""
+    _, first, inverse, count = np.unique(single, return_index=True, return_inverse=True, return_counts=True)
+    rep = first[inverse]
+    same = np.array_equal(lang[rep], lang) and np.array_equal(words.length[rep], words.length)
     if same:
-        ahead = np.repeat(words.at[first] - words.at, words.length + 1)
-        ahead += np.arange(len(words.flat))
+        ahead = np.repeat(words.at[rep] - words.at, words.length + 1)
+        ahead += np.arange(len(words.flat), dtype=ahead.dtype)
         same = np.array_equal(words.flat[ahead], words.flat)
     if same:
-        return first
+        return inverse.astype(np.int32), (first, count)
     known: dict[tuple[int, bytes], int] = {}
     texts = (words.flat[a : a + n].tobytes() for a, n in zip(words.at.tolist(), words.length.tolist(), strict=True))
-    return np.array([known.setdefault(k, len(known)) for k in zip(lang.tolist(), texts, strict=True)], np.int64)
+    numbers = np.array([known.setdefault(k, len(known)) for k in zip(lang.tolist(), texts, strict=True)], np.int32)
+    return numbers, np.unique(numbers, return_index=True, return_counts=True)[1:]
 
 
-def combined(words: Words, lang: np.ndarray, seeds: np.ndarray, orders: tuple[int, ...], hasher: Fingerprints, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(fingerprint, count, first word, order) of every distinct n-gram."""
-    single, order, head, fps = ngrams(words, seeds, orders, hasher, table)
-    numbers = _numbers(words, lang, single)
+def _same_phrases(numbers: np.ndarray, order: int, head: np.ndarray, fps: np.ndarray) -> Groups:
+    """The first and the count of each distinct n-gram: those of one fingerprint are compared with their first, word by word."""
     _, first, inverse, count = np.unique(fps, return_index=True, return_inverse=True, return_counts=True)
-    rep = first[inverse]
-    same = np.array_equal(order[rep], order)
-    for k in range(max(orders)):
-        has = order > k
-        same = same and np.array_equal(numbers[head[rep[has]] + k], numbers[head[has] + k])
-    if not same:
-        own = [np.where(order > k, numbers[np.minimum(head + k, len(numbers) - 1)], -1) for k in range(max(orders))]
-        _, first, count = np.unique(np.stack(own), axis=1, return_index=True, return_counts=True)
-    return fps[first], count, head[first], order[first]
+    rep = head[first][inverse]
+    if all(np.array_equal(numbers[rep + k], numbers[head + k]) for k in range(order)):
+        return first, count
+    return np.unique(np.stack([numbers[head + k] for k in range(order)]), axis=1, return_index=True, return_counts=True)[1:]
+
+
+def combined(words: Words, lang: np.ndarray, seeds: np.ndarray, orders: tuple[int, ...], hasher: Fingerprints, table: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(fingerprint, count, first word, order) of every distinct n-gram, order by order."""
+    found = ngrams(words, seeds, orders, hasher, table)
+    numbers, groups = _same_words(words, lang, found[1][1])
+    for n in orders:
+        head, fps = found.pop(n)
+        if len(head):
+            first, count = groups if n == 1 else _same_phrases(numbers, n, head, fps)
+            yield fps[first], count, head[first], n
+
+
+class Buffer(NamedTuple):
+    """Some documents' words, each word's language by its number, each language's seed, and each text's row."""
+
+    words: Words
+    lang: np.ndarray
+    seed: np.ndarray
+    rows: np.ndarray
+
+
+def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[Buffer]:
+    """Documents (row, lang, text) in buffers of ``BUFFER_BYTES`` or one long text."""
+    rows: list[int] = []
+    langs: list[str] = []
+    texts: list[np.ndarray] = []
+    held = 0
+
+    def made() -> Iterator[Buffer]:
+        words = words_of(texts)
+        if len(words.at):
+            names, number = np.unique(np.array(langs, object), return_inverse=True)
+            seed = np.array([xxhash.xxh64_intdigest(x.encode()) for x in names.tolist()], _U)
+            yield Buffer(words, number.astype(np.int32)[words.text], seed, np.array(rows, np.int64))
+
+    for batch in slices(batches):
+        text = batch.column("text").cast(pa.large_binary())
+        data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+        ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1].tolist()
+        for k, (row, lang) in enumerate(zip(batch.column("row").to_pylist(), batch.column("lang").to_pylist(), strict=True)):
+            rows.append(row)
+            langs.append(lang)
+            texts.append(data[ends[k] : ends[k + 1]].copy())
+            held += len(texts[-1])
+            if held >= BUFFER_BYTES:
+                yield from made()
+                rows, langs, texts, held = [], [], [], 0
+    if rows:
+        yield from made()
 
 
 def _hashed(orders: tuple[int, ...], modulus: int, table: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (fp, count, row, span) of documents (row, lang, text); with single words, also the number of words of a language, as the count of the empty span."""
+    """Rows (fp, count, row, span); with single words, also the number of words of a language, as the count of the empty span."""
+
+    def told(fp: np.ndarray, count: np.ndarray, row: np.ndarray, span: np.ndarray) -> Iterator[pa.RecordBatch]:
+        made = [pa.array(x) for x in (fp.view(np.int64), count.astype(np.int64), row, span)]
+        for at in range(0, len(fp), 1 << 16):
+            yield pa.RecordBatch.from_arrays([x.slice(at, 1 << 16) for x in made], ["fp", "count", "row", "span"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits = Fingerprints(modulus), None if table is None else np.frombuffer(table.value, np.uint8)
-
-        def flush(rows: list[int], langs: list[str], texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            words = words_of(texts)
-            if not len(words.at):
-                return
-            names, number = np.unique(np.array(langs, object), return_inverse=True)
-            seed = np.array([xxhash.xxh64_intdigest(x.encode()) for x in names.tolist()], _U)
-            lang, row_of = number[words.text], np.array(rows, np.int64)[words.text]
-            fp, count, head, order = combined(words, lang, seed[lang], orders, hasher, bits)
-            row, span = row_of[head], words.start[head] << SPAN_BITS | words.end[head + order - 1] - words.start[head]
+        for words, lang, seed, rows in _buffers(batches):
             if 1 in orders:
                 present, one, total = np.unique(lang, return_index=True, return_counts=True)
-                fp, count = np.append(fp, seed[present]), np.append(count, total)
-                row, span = np.append(row, row_of[one]), np.append(span, np.zeros(len(one), np.int64))
-            made = [pa.array(x) for x in (fp.view(np.int64), count.astype(np.int64), row, span)]
-            for at in range(0, len(fp), 1 << 16):
-                yield pa.RecordBatch.from_arrays([x.slice(at, 1 << 16) for x in made], ["fp", "count", "row", "span"])
-
-        rows: list[int] = []
-        langs: list[str] = []
-        texts: list[np.ndarray] = []
-        held = 0
-        for batch in slices(batches):
-            text = batch.column("text").cast(pa.large_binary())
-            data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
-            ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1].tolist()
-            for k, (row, lang) in enumerate(zip(batch.column("row").to_pylist(), batch.column("lang").to_pylist(), strict=True)):
-                rows.append(row)
-                langs.append(lang)
-                texts.append(data[ends[k] : ends[k + 1]].copy())
-                held += len(texts[-1])
-                if held >= BUFFER_BYTES:
-                    yield from flush(rows, langs, texts)
-                    rows, langs, texts, held = [], [], [], 0
-        if rows:
-            yield from flush(rows, langs, texts)
+                yield from told(seed[present], total, rows[words.text[one]], np.zeros(len(one), np.int64))
+            for fp, count, head, n in combined(words, lang, seed[lang], orders, hasher, bits):
+                start = words.start[head].astype(np.int64)
+                yield from told(fp, count, rows[words.text[head]], start << SPAN_BITS | words.end[head + n - 1] - start)
 
     return run
 
@@ -260,7 +284,7 @@ def _frequent(min_count: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def _bit_table(fps: DataFrame) -> bytes:
-    """A bit table of the fingerprints, put together block by block in tasks; its size doesn't depend on the data."""
+    """A bit table of the fingerprints, put together block by block in tasks."""
     block_bits = (1 << TABLE_BITS) // TABLE_BLOCKS
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,31 +297,35 @@ def _bit_table(fps: DataFrame) -> bytes:
         for batch in batches:
             block, bit = batch.column("block").to_numpy(), batch.column("bit").to_numpy()
             for k in np.unique(block).tolist():
-                own = bit[block == k]
-                np.bitwise_or.at(made.setdefault(k, np.zeros(block_bits // 8, np.uint8)), own >> 3, np.uint8(1) << (own & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array([b.tobytes() for b in made.values()], pa.binary())], ["block", "bits"])
+                made.setdefault(k, np.zeros(block_bits, bool))[bit[block == k]] = True
+        bits = [np.packbits(b, bitorder="little").tobytes() for b in made.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array(bits, pa.binary())], ["block", "bits"])
 
     table = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
     dealt = fps.select("fp").mapInArrow(slots, "block long, bit long").distinct().repartition(TABLE_BLOCKS, "block")
-    for block, bits in dealt.mapInArrow(blocks, "block long, bits binary").collect():
-        table[block * (block_bits // 8) : (block + 1) * (block_bits // 8)] = np.frombuffer(bytes(bits), np.uint8)
+    for k, bits in dealt.mapInArrow(blocks, "block long, bits binary").collect():
+        table[k * (block_bits // 8) : (k + 1) * (block_bits // 8)] = np.frombuffer(bytes(bits), np.uint8)
     return table.tobytes()
 
 
 def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, count) of the pointers (count, span) into documents (lang, text)."""
-    low = (1 << SPAN_BITS) - 1
-    lower = bytes(_LOWER)
+    low, lower = (1 << SPAN_BITS) - 1, bytes(_LOWER)
     for batch in slices(batches):
-        for k in range(batch.num_rows):
-            found: dict[bytes, int] = {}
-            data = batch.column("text")[k].as_py().encode()
-            for at in batch.column("found")[k].values.to_pylist():
-                start = at["span"] >> SPAN_BITS
-                phrase = b" ".join(data[start : start + (at["span"] & low)].translate(lower).split())
-                found[phrase] = found.get(phrase, 0) + at["count"]
-            lang = pa.array([batch.column("lang")[k].as_py()] * len(found), pa.string())
-            yield pa.RecordBatch.from_arrays([lang, pa.array([p.decode() for p in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "phrase", "count"])
+        langs: list[str] = []
+        phrases: list[bytes] = []
+        counts: list[int] = []
+        for k, lang in enumerate(batch.column("lang").to_pylist()):
+            data = batch.column("text")[k].as_py().encode().translate(lower)
+            count, span = batch.column("found")[k].values.flatten()
+            start = span.to_numpy() >> SPAN_BITS
+            for a, b in zip(start.tolist(), (start + (span.to_numpy() & low)).tolist(), strict=True):
+                phrase = data[a:b]
+                phrases.append(b" ".join(phrase.split()) if b"\t" in phrase or b"  " in phrase else phrase)
+            langs += [lang] * len(start)
+            counts += count.to_pylist()
+        arrays = [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "count"])
 
 
 def frequent_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", min_count: int = 30, max_words: int = 4, modulus: int = MERSENNE) -> DataFrame:
@@ -313,6 +341,7 @@ def frequent_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str =
     # Written once, so that a row's number points to the same text in every later step.
     rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), lang.alias("lang"), text.alias("text")).filter("text <> ''"))
 
+
     def counted(orders: tuple[int, ...], table: bytes | None) -> DataFrame:
         shared = None if table is None else spark.sparkContext.broadcast(table)
         hashed = rows.mapInArrow(_hashed(orders, modulus, shared), "fp long, count long, row long, span long")
