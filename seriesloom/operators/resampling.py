@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.expr import is_finite
 from seriesloom.operators.growth import change, normalised
+from seriesloom.shared import written
 
 
 def downsample(series: DataFrame, period: str = "month") -> DataFrame:
@@ -74,12 +79,73 @@ def daily_returns(series: DataFrame) -> DataFrame:
     return period_change(series, "daily", "dod")
 
 
+#: Series and periods of a block of the correlation matrix.
+BLOCK_SERIES, BLOCK_PERIODS = 64, 512
+_SUMS = ("n", "x", "y", "xx", "yy", "xy")
+
+
+def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over the shared periods of every pair of series of two blocks (rows, columns: lists of series with their places and values)."""
+
+    def matrix(cells: pa.ListScalar, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        flat = cells.values
+        ids, at, values = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("id", "at", "value"))
+        names, row = np.unique(ids, return_inverse=True)
+        known, x = np.zeros((len(names), width)), np.zeros((len(names), width))
+        known[row, at], x[row, at] = 1.0, values
+        return names, known, x
+
+    for batch in batches:
+        for k in range(batch.num_rows):
+            a, ka, x = matrix(batch.column("rows")[k], BLOCK_PERIODS)
+            b, kb, y = matrix(batch.column("columns")[k], BLOCK_PERIODS)
+            sums = [ka @ kb.T, x @ kb.T, ka @ y.T, (x * x) @ kb.T, ka @ (y * y).T, x @ y.T]
+            pair = (a[:, None] < b[None, :]) & (sums[0] > 0)
+            left, right = np.nonzero(pair)
+            yield pa.RecordBatch.from_arrays([pa.array(a[left]), pa.array(b[right]), *(pa.array(s[pair]) for s in sums)], ["a", "b", *_SUMS])
+
+
 def correlations(series: DataFrame) -> DataFrame:
     """(a, b, correlation, periods): growth of each pair of series over the periods they share.
 
-    Pairs grow with the square of the number of series: meant for a chosen set.
+    Series and periods are numbered and cut into blocks.  A task takes two
+    blocks of series over one block of periods as matrices, whose products
+    hold the sums of every pair; these add up over the blocks of periods.  So
+    a value is sent once for each block of series, and not once for each
+    series.  Values are taken from their series' mean first, which the
+    correlation doesn't see and which keeps the sums exact.  Pairs still grow
+    with the square of the number of series.
     """
     rates = normalised(series).select("indicator_id", "timestamp", change("value").alias("rate")).filter(is_finite(F.col("rate")))
-    a = rates.select("timestamp", F.col("indicator_id").alias("a"), F.col("rate").alias("x"))
-    b = rates.select("timestamp", F.col("indicator_id").alias("b"), F.col("rate").alias("y"))
-    return a.join(b, "timestamp").filter("a < b").groupBy("a", "b").agg(F.corr("x", "y").alias("correlation"), F.count(F.lit(1)).alias("periods"))
+    means = rates.groupBy("indicator_id").agg(F.avg("rate").alias("mean"))
+    known = written(rates.join(means, "indicator_id").select("indicator_id", "timestamp", (F.col("rate") - F.col("mean")).alias("value")))
+    # Series and periods have one row each here; their numbers come in the order of names and of time.
+    ids = written(numbered(known.select("indicator_id").distinct(), "indicator_id", "number"))
+    times = numbered(known.select("timestamp").distinct(), "timestamp", "place")
+    cells = known.join(ids, "indicator_id").join(times, "timestamp")
+    cell = F.struct(F.col("number").alias("id"), (F.col("place") % BLOCK_PERIODS).cast("int").alias("at"), "value")
+    blocks = written(
+        cells.groupBy(F.floor(F.col("number") / BLOCK_SERIES).alias("block"), F.floor(F.col("place") / BLOCK_PERIODS).alias("span")).agg(F.collect_list(cell).alias("cells"))
+    )
+    a = blocks.select("span", F.col("block").alias("i"), F.col("cells").alias("rows"))
+    b = blocks.select("span", F.col("block").alias("j"), F.col("cells").alias("columns"))
+    pairs = a.join(b, "span").filter("i <= j").select("rows", "columns")
+    sums = pairs.mapInArrow(_gram, "a long, b long, " + ", ".join(f"{s} double" for s in _SUMS)).groupBy("a", "b").agg(*(F.sum(s).alias(s) for s in _SUMS))
+    n = F.col("n")
+    up = n * F.col("xy") - F.col("x") * F.col("y")
+    down = F.sqrt(n * F.col("xx") - F.col("x") * F.col("x")) * F.sqrt(n * F.col("yy") - F.col("y") * F.col("y"))
+    told = sums.select("a", "b", F.when(n > 1, F.try_divide(up, down)).alias("correlation"), n.cast("long").alias("periods"))
+    for end in ("a", "b"):
+        told = told.join(ids.select(F.col("number").alias(end), F.col("indicator_id").alias(f"{end}_id")), end)
+    return told.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "correlation", "periods")
+
+
+def numbered(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """``rows`` with their place in an order, from 0: sorted in ranges, with what the tasks before hold added."""
+    lined = written(rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_line", F.monotonically_increasing_id()))
+    task, low = F.shiftright("_line", 33), F.lit((1 << 33) - 1)
+    # One row per task.
+    counts = lined.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_own"))
+    before = counts.select("_task", F.coalesce(F.sum("_own").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    placed = lined.withColumn("_task", task).join(F.broadcast(before), "_task")
+    return placed.withColumn(name, F.col("_base") + F.col("_line").bitwiseAND(low)).drop("_task", "_line", "_base")

@@ -15,7 +15,7 @@ from seriesloom.operators.linking import Linked, chain_link
 from seriesloom.operators.publish import growth_records, level_records, unmatched
 from seriesloom.plans import journal
 from seriesloom.plans.reports import observed_range
-from seriesloom.shared import written
+from seriesloom.shared import Scope, scope, written
 from seriesloom.sinks import dimension, tables, versioned
 from seriesloom.sources.payload import raw_rows, row_violations, split_envelopes, within_pages
 from seriesloom.sources.scan import by_id
@@ -237,7 +237,8 @@ def run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str,
     """
     started, began = datetime.now(), time.monotonic()
     try:
-        return _run(spark, payloads, catalog, root, now, run_id, dry_run, domain, started)
+        with scope(spark) as tables_made:
+            return _run(spark, payloads, catalog, root, now, run_id, dry_run, domain, started, tables_made)
     except Exception as e:
         message = f"{type(e).__name__}: {e}"
         if not dry_run and not journal.recover(spark, root, run_id, message):
@@ -247,7 +248,7 @@ def run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str,
         raise
 
 
-def _run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str, now: datetime, run_id: str, dry_run: bool, domain: str | None, started: datetime) -> DataFrame:
+def _run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str, now: datetime, run_id: str, dry_run: bool, domain: str | None, started: datetime, made: Scope) -> DataFrame:
     clock = time.monotonic
     marks = [clock()]
     bronze = landed(payloads, run_id, now)
@@ -261,7 +262,7 @@ def _run(spark: SparkSession, payloads: DataFrame, catalog: DataFrame, root: str
     violations = written(silver.violations.unionByName(gold.linked.violations))
     failed = violations.groupBy("indicator_id").agg(F.min("message").alias("error"))
     counted = counters.select("indicator_id", "records_written", "records_failed")
-    outcomes = written(payloads.select("indicator_id").distinct().join(counted, "indicator_id", "left").join(failed, "indicator_id", "left").fillna(0, ["records_written", "records_failed"]))
+    outcomes = made.keep(written(payloads.select("indicator_id").distinct().join(counted, "indicator_id", "left").join(failed, "indicator_id", "left").fillna(0, ["records_written", "records_failed"])))
     if dry_run:
         return outcomes
     levels = gold.levels.withColumn("parent_id", F.col("indicator_id"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesloom.plans.medallion import run
+from seriesloom.shared import scope
 
 SCHEMA = "indicator_id string, page int, payload string"
 
@@ -22,7 +23,8 @@ def ingest(spark: SparkSession, landing: str, catalog: DataFrame, root: str, che
 
     def each(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            run(spark, batch, catalog, root, now(), run_id=f"stream-{number}")
+            with scope(spark):
+                run(spark, batch, catalog, root, now(), run_id=f"stream-{number}")
 
     stream = spark.readStream.schema(SCHEMA).parquet(landing)
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

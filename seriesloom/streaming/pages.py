@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from seriesloom import constants as K
 from seriesloom.plans.medallion import run
+from seriesloom.shared import scope
 from seriesloom.sinks import tables
 from seriesloom.streaming.ingest import SCHEMA
 
@@ -92,7 +93,8 @@ def ingest_pages(spark: SparkSession, landing: str, catalog: DataFrame, root: st
         try:
             ready = batch.filter(F.col("status") == COMPLETE).drop("status")
             if not ready.isEmpty():
-                run(spark, ready, catalog, root, now(), run_id=f"pages-{number}")
+                with scope(spark):
+                    run(spark, ready, catalog, root, now(), run_id=f"pages-{number}")
             rest = batch.filter(F.col("status") != COMPLETE)
             told = F.when(F.col("status") == BEYOND, "a page past the count").otherwise("pages are missing")
             tables.append_run(rest.select("indicator_id", "page", F.col("status").alias("error_type"), told.alias("message")), f"{root}/quarantine", f"rest-{number}")

@@ -179,3 +179,16 @@ def test_pages_past_the_count_stay_out_of_a_run(spark, tmp_path):
     pages, beyond = payload.within_pages(payload.split_envelopes(landing(spark, [2000], 1, 500).unionByName(landing(spark, [2001], 101, 500))).good)
     assert pages.count() == 1 and beyond.first()["message"] == "page 101 of 100"
     assert json.loads(medallion.landed(landed, "r", NOW).first()["metadata"])["page"] == 1
+
+
+def test_a_run_frees_its_scratch_tables(spark, tmp_path):
+    from seriesloom import shared
+
+    made = []
+    with shared.scope(spark) as outer:
+        outcomes = medallion.run(spark, landing(spark, range(2000, 2003)), catalog_of(spark), str(tmp_path), NOW, "one")
+        assert outcomes.count() == 1 and len(outer.paths) == 1
+        with shared.scope(spark) as inner:
+            kept, gone = inner.keep(shared.written(outcomes)), shared.written(outcomes)
+            made = list(inner.paths)
+        assert kept.count() == 1 and [files.exists(spark, p) for p in made] == [True, False] and gone is not None
