@@ -70,13 +70,28 @@ def hop_log(counters: DataFrame, source: str, target: str, kind: str) -> DataFra
 
 
 def collection_log(payloads: DataFrame, source: str = "landed") -> DataFrame:
-    """A row per series: how many observation rows its payloads hold, or why there are none."""
+    """A row per series: how many observation rows its payloads hold, or why there are none; when they came, as which bronze rows, and what they say of themselves."""
     envelopes = split_envelopes(payloads)
-    good = envelopes.good.groupBy("indicator_id").agg(F.sum(F.size("rows")).alias("records_collected"), F.to_json(F.struct(F.count(F.lit(1)).alias("pages"), F.max(F.try_variant_get("meta", "$.lastupdated", "string")).alias("last_updated"))).alias("metadata"))
+    dates = F.transform("rows", lambda r: F.try_variant_get(r, "$.date", "string"))
+    told = F.struct(
+        F.count(F.lit(1)).alias("pages"),
+        F.max(F.try_variant_get("meta", "$.lastupdated", "string")).alias("last_updated"),
+        F.max(F.try_variant_get("meta", "$.sourceid", "string")).alias("source_id"),
+        F.max(F.try_variant_get(F.get("rows", 0), "$.country.value", "string")).alias("country"),
+        F.min(F.array_min(dates)).alias("first_date"),
+        F.max(F.array_max(dates)).alias("last_date"),
+    )
+    good = envelopes.good.groupBy("indicator_id").agg(F.sum(F.size("rows")).alias("records_collected"), F.to_json(told).alias("metadata"))
     failed = envelopes.violations.groupBy("indicator_id").agg(F.min("message").alias("error_message"))
     both = good.join(failed, "indicator_id", "full_outer")
+    # A series has no more bronze rows in a run than pages.
+    stored = [F.sort_array(F.collect_set("bronze_id")).alias("bronze_ids")] if "bronze_id" in payloads.columns else []
+    stored += [F.max("collection_timestamp").alias("collection_timestamp")] if "collection_timestamp" in payloads.columns else []
+    if stored:
+        both = both.join(payloads.groupBy("indicator_id").agg(*stored), "indicator_id", "left")
     status = F.when(F.col("error_message").isNull(), "success").when(F.coalesce("records_collected", F.lit(0)) > 0, "partial").otherwise("failed")
-    return both.select("indicator_id", F.lit(source).alias("source_name"), F.coalesce("records_collected", F.lit(0)).alias("records_collected"), status.alias("status"), "error_message", "metadata")
+    more = [c for c in ("bronze_ids", "collection_timestamp") if c in both.columns]
+    return both.select("indicator_id", F.lit(source).alias("source_name"), F.coalesce("records_collected", F.lit(0)).alias("records_collected"), status.alias("status"), "error_message", "metadata", *more)
 
 
 def failure_log(violations: DataFrame, source: str, target: str, kind: str) -> DataFrame:

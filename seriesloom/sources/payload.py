@@ -109,15 +109,22 @@ def row_violations(rows: DataFrame) -> DataFrame:
     return bad.select("indicator_id", F.lit("parse").alias("error_type"), F.lit("a row isn't an object").alias("message"))
 
 
-def catalog_rows(payloads: DataFrame, domains: dict[str, str], frequency: str = "annual") -> DataFrame:
-    """Catalog rows of metadata payloads; dates and base years aren't known there."""
-    each = split_envelopes(payloads).good.select(F.explode("rows").alias("row"))
-    code = _get("row", "$.id")
-    domain = F.lit(K.DEFAULT_DOMAIN)
-    for name, value in domains.items():
-        domain = F.when(code == name, value).otherwise(domain)
+def catalog_rows(payloads: DataFrame, domains: dict[str, str] | DataFrame, frequency: str = "annual") -> DataFrame:
+    """Catalog rows of metadata payloads; dates and base years aren't known there.
+
+    ``domains``: a table (indicator_id, domain), or the same as a dictionary.
+    Of several domains of an id the first in order counts; a blank one is none.
+    """
+    spark = payloads.sparkSession
+    if isinstance(domains, dict):
+        # What a program spells out is small.
+        known = F.broadcast(spark.createDataFrame(list(domains.items()), "code string, named string"))
+    else:
+        known = domains.groupBy(F.col("indicator_id").alias("code")).agg(F.min(F.nullif(F.trim("domain"), F.lit(""))).alias("named"))
+    each = split_envelopes(payloads).good.select(F.explode("rows").alias("row")).withColumn("code", _get("row", "$.id")).join(known, "code", "left")
+    domain = F.coalesce("named", F.lit(K.DEFAULT_DOMAIN))
     return each.select(
-        code.alias("indicator_id"),
+        F.col("code").alias("indicator_id"),
         _get("row", "$.name").alias("name"),
         F.nullif(_get("row", "$.sourceNote"), F.lit("")).alias("description"),
         F.nullif(_get("row", "$.unit"), F.lit("")).alias("unit"),
@@ -126,3 +133,13 @@ def catalog_rows(payloads: DataFrame, domains: dict[str, str], frequency: str =
         _get("row", "$.source.value").alias("source_name"),
         F.lit(None).cast("array<int>").alias("base_years"),
     ).filter("indicator_id IS NOT NULL")
+
+
+def discovered(payloads: DataFrame, domains: dict[str, str] | DataFrame, frequency: str = "annual") -> tuple[DataFrame, DataFrame]:
+    """``catalog_rows``, one per id, and the payloads that are no envelopes; a discovery that finds no series at all is an error."""
+    rows = catalog_rows(payloads, domains, frequency).dropDuplicates(["indicator_id"])
+    wrong = split_envelopes(payloads).violations
+    if rows.isEmpty():
+        first = wrong.agg(F.min("message")).first()[0]
+        raise LookupError("discovery found no series" + (f": {first}" if first else ""))
+    return rows, wrong
