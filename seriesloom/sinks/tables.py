@@ -1,4 +1,4 @@
-"""Table writers on plain Parquet: appends, and upserts and replacements that rewrite the touched buckets only.
+"""Appends, and the rows that upserts and replacements leave in the touched buckets of a table; ``versioned`` writes them.
 
 Series are dealt to a fixed number of buckets, so a series and what is derived
 from it share a directory and readers of one series prune the others.
@@ -32,12 +32,6 @@ def append_run(df: DataFrame, path: str, run_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
-def write_bucketed(df: DataFrame, path: str, key: str = "series_bucket") -> None:
-    """Replace the buckets that ``df`` has rows of; within one, rows are sorted so that row groups cover few series and periods."""
-    ordered = df.repartition(key).sortWithinPartitions(key, "indicator_id", "timestamp")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
-
-
 def merged(old: DataFrame, new: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     """Old and new rows, one per key: the new one where there is one, with the old one's ``keep`` columns."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
