@@ -396,14 +396,31 @@ def test_embeddings(spark):
     assert embdedup.group(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
-def test_embedding_blocks_lose_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("buckets", [0, 1 << 17])
+def test_embedding_blocks_lose_nothing(spark, monkeypatch, buckets):
+    """With bucket sizes broadcast, and looked up."""
     monkeypatch.setattr(embdedup, "BLOCK", 7)
+    monkeypatch.setattr(embdedup, "BROADCAST_BUCKETS", buckets)
     r = np.random.default_rng(10)
     v = r.standard_normal(8) + 0.02 * r.standard_normal((60, 8))
     got = embdedup.group(spark.createDataFrame([(k, [float(x) for x in row]) for k, row in enumerate(v)], "vec_id long, embedding array<double>")).collect()
     assert {x["n_links"] for x in got} == {59} and {x["component_id"] for x in got} == {0}
 
 
+def test_classifiers_answer_every_row_alike(spark):
+    """Repeated rows, clashing column names and a very long text."""
+    rows = labelled(random.Random(14), 300)
+    long = rows[0][1] + " " + " ".join(rows[k % 300][1] for k in range(3000))
+    docs = spark.createDataFrame([*rows, rows[1], rows[1], (7000, long, rows[0][2], 0)], "doc_id long, text string, lang string, toxic int").withColumns({c: F.lit(c) for c in ("id", "label", "score", "hash", "n")})
+    named = langid.identify(docs, F.col("doc_id") < 7000).collect()
+    model = toxicity.train(docs, docs.select("doc_id", "toxic").distinct())
+    scored = toxicity.score(docs, model).collect()
+    for got, answer in ((named, "lang_pred"), (scored, "score")):
+        assert Counter(x["doc_id"] for x in got) == Counter([*(k for k, *_ in rows), 1, 1, 7000])
+        assert len({x[answer] for x in got if x["doc_id"] == 1}) == 1
+    assert all(0 <= x["score"] <= 1 for x in scored)
+
+
 # --- language model --------------------------------------------------------------------
 
 
