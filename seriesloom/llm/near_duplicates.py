@@ -17,7 +17,9 @@ next round.  A bucket is finished once every member that isn't in the anchor's
 component has led, i.e. when no pair across components is left uncompared.
 The outcome is that of comparing all pairs of every bucket.  A large bucket is
 dealt to tasks in chunks, each with all leaders of the round; rows are as many
-as members, plus the leaders once per chunk, and pairs are never listed.
+as members, plus the leaders once per chunk, and pairs are never listed.  In a
+bucket of mutually unlike texts all members lead in the end, so that its rows
+grow with the square of its size over ``CHUNK``, and a task holds them all.
 
 Cases: null, empty and blank texts have no shingle and are one group; texts of
 fewer words than a shingle have one shingle of them all; texts equal after
