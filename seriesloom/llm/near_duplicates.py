@@ -15,11 +15,14 @@ some of the members outside the anchor's component lead: they are compared
 with all members of other components, and what is linked is merged before the
 next round.  A bucket is finished once every member that isn't in the anchor's
 component has led, i.e. when no pair across components is left uncompared.
-The outcome is that of comparing all pairs of every bucket.  A large bucket is
-dealt to tasks in chunks, each with all leaders of the round; rows are as many
-as members, plus the leaders once per chunk, and pairs are never listed.  In a
-bucket of mutually unlike texts all members lead in the end, so that its rows
-grow with the square of its size over ``CHUNK``, and a task holds them all.
+The outcome is that of comparing all pairs of every bucket.  Members and
+leaders of a large bucket are both dealt out, and every lot of leaders meets
+every lot of members in a task of its own: it holds some ``CHUNK`` leaders,
+whatever the bucket, and streams as many members.  Pairs are never listed.
+While a round has no more leaders than one lot, rows are as many as members,
+plus the leaders once per lot of members.  In a bucket of mutually unlike texts
+all members lead in the end, so that its rows, though not what a task holds,
+grow with the square of its size over ``CHUNK``.
 
 Cases: null, empty and blank texts have no shingle and are one group; texts of
 fewer words than a shingle have one shingle of them all; texts equal after
@@ -37,7 +40,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +52,7 @@ from seriesloom.llm.heavy import lookup
 BANDS, ROWS = 24, 7
 #: Expected leaders of a bucket in the first round; each later round takes eight times as many.
 LEADERS = 2
-#: Members of a bucket that one task compares with the leaders.
+#: Expected members and leaders of a bucket that meet in one task.
 CHUNK = 1024
 #: Tables of up to so many rows, each of a few numbers, are broadcast.
 BROADCAST_ROWS = 1 << 20
@@ -115,7 +118,7 @@ def _sets(shingle_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 class _Leaders:
-    """The leaders of one bucket, with their shingles in one sorted list."""
+    """A lot of leaders of one bucket, with their shingles in one sorted list."""
 
     def __init__(self, comps: list[int], sets: list[np.ndarray], similarity: float):
         self.comps, self.similarity = np.array(comps, np.int64), similarity
@@ -135,48 +138,49 @@ class _Leaders:
 
 
 def _compared(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(comp_a, comp_b) linked by rows (key, chunk, lead, own, comp, shingles) that come by bucket and chunk, leaders first."""
+    """(comp_a, comp_b) linked by rows (key, lot, chunk, lead, comp, shingles) that come by bucket, lot and chunk, leaders first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, index = None, None
+        met, index = None, None
         comps: list[int] = []
         sets: list[np.ndarray] = []
-        own: list[bool] = []
-        links: set[tuple[int, int]] = set()
-
-        def close() -> None:
-            """All leaders are there; those dealt to this chunk are compared with each other."""
-            nonlocal index
-            if index is None and comps:
-                index = _Leaders(comps, sets, similarity)
-                for comp, shingles, mine in zip(comps, sets, own, strict=True):
-                    if mine:
-                        links.update((comp, other) for other in index.linked(comp, shingles))
-
         for batch in slices(batches):
-            given = [batch.column(c).to_pylist() for c in ("key", "chunk", "lead", "own", "comp")]
-            for key, chunk, lead, mine, comp, shingles in zip(*given, batch.column("shingles"), strict=True):
-                if (key, chunk) != bucket:
-                    close()
-                    bucket, index, comps, sets, own = (key, chunk), None, [], [], []
+            links: set[tuple[int, int]] = set()
+            given = [batch.column(c).to_pylist() for c in ("key", "lot", "chunk", "lead", "comp")]
+            for key, lot, chunk, lead, comp, shingles in zip(*given, batch.column("shingles"), strict=True):
+                if (key, lot, chunk) != met:
+                    met, index, comps, sets = (key, lot, chunk), None, [], []
                 values = shingles.values.to_numpy()
                 if lead:
                     comps.append(comp)
                     sets.append(values)
-                    own.append(mine)
-                    continue
-                close()
-                if index is not None:
+                elif comps:
+                    index = index or _Leaders(comps, sets, similarity)
                     links.update((comp, other) for other in index.linked(comp, values))
-            out = [(min(x), max(x)) for x in links]
-            links.clear()
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["comp_a", "comp_b"])
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], ["comp_a", "comp_b"])
+            yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], ["comp_a", "comp_b"])
 
     return run
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """(key, cls, comp, lot, chunk, lead): where the members of a round meet its leaders.
+
+    ``rows``: (key, cls, comp, lead, n, leading), with the bucket's members and
+    expected leaders.  A leader goes with its lot to every chunk of members,
+    and each member, leaders too, with its chunk to every lot.
+    """
+    lots, chunks = (F.greatest(F.ceil(F.col(c) / CHUNK), F.lit(1)).cast("int") for c in ("leading", "n"))
+    lot, chunk = F.pmod(F.xxhash64("cls", F.lit("lot")), lots).cast("int"), F.pmod(F.xxhash64("cls"), chunks).cast("int")
+
+    def cell(lot: Column, chunk: Column, lead: bool) -> Column:
+        return F.struct(lot.alias("lot"), chunk.alias("chunk"), F.lit(lead).alias("lead"))
+
+    leads = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: cell(F.col("own_lot"), c, True))
+    follows = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda k: cell(k, F.col("own_chunk"), False))
+    placed = rows.select("key", "cls", "comp", F.col("lead").alias("leads"), lots.alias("lots"), chunks.alias("chunks"), lot.alias("own_lot"), chunk.alias("own_chunk"))
+    return placed.select("key", "cls", "comp", F.inline(F.when(F.col("leads"), F.concat(leads, follows)).otherwise(follows)))
+
+
 def _small(table: DataFrame) -> DataFrame:
     """``table``, to be broadcast if its rows are few enough; else Spark joins by a shuffle."""
     return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
@@ -208,16 +212,13 @@ def similar_groups(bands: DataFrame, labels: DataFrame, sets_of: Callable[[DataF
         now = stored(lookup(members.join(labels, "cls"), anchored, ["key"], "n", total=total).withColumn("waits", (F.col("comp") != F.col("home")) & (share >= F.col("low"))))
         waiting = now.filter("waits").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
         high = F.when(F.col("m") <= leaders, 1.0).otherwise(F.col("low") + (1 - F.col("low")) * leaders / F.col("m"))
-        sizes = stored(anchored.join(waiting, "key").select("key", "n", "anchor", "m", high.alias("high")))
+        leading = F.least(F.col("m"), F.lit(leaders))
+        sizes = stored(anchored.join(waiting, "key").select("key", "n", "anchor", "m", leading.alias("leading"), high.alias("high")))
         if sizes.isEmpty():
             return labels
-        rows = lookup(now.select("key", "cls", "comp", "waits"), sizes.select("key", "n", "high"), ["key"], "n", total=total).withColumn("lead", F.col("waits") & (share < F.col("high")))
-        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-        home = F.pmod(F.xxhash64("cls"), chunks).cast("int")
-        rows = rows.select("key", "cls", "comp", "lead", home.alias("home"), F.explode(F.when(F.col("lead"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(home))).alias("chunk"))
-        rows = rows.withColumn("own", F.col("chunk") == F.col("home")).drop("home").join(sets, "cls")
-        rows = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", F.col("lead").desc())
-        links = rows.select("key", "chunk", "lead", "own", "comp", "shingles").mapInArrow(_compared(similarity), "comp_a long, comp_b long").distinct()
+        rows = lookup(now.select("key", "cls", "comp", "waits"), sizes.select("key", "n", "leading", "high"), ["key"], "n", total=total).withColumn("lead", F.col("waits") & (share < F.col("high")))
+        rows = dealt(rows).join(sets, "cls").repartition("key", "lot", "chunk").sortWithinPartitions("key", "lot", "chunk", F.col("lead").desc())
+        links = rows.select("key", "lot", "chunk", "lead", "comp", "shingles").mapInArrow(_compared(similarity), "comp_a long, comp_b long").distinct()
         labels = _joined(labels, links)
         keys = stored(sizes.filter(F.col("m") > leaders).select("key", "n", "anchor", F.col("high").alias("low")))
         if keys.isEmpty():

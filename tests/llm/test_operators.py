@@ -295,6 +295,31 @@ def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, leaders, chu
     assert near_duplicates.deduplicate(documents(spark, [])).count() == 0
 
 
+def test_a_bucket_of_unlike_texts_is_dealt_in_bounded_lots(spark, monkeypatch):
+    """5,000 texts share one bucket; only ten pairs are alike."""
+    n, seen = 5000, []
+    real = near_duplicates.dealt
+
+    def watched(rows):
+        out = real(rows).cache()
+        seen.append(out.groupBy("key", "lot", "chunk").agg(F.count_if("lead").alias("leaders"), F.count_if(~F.col("lead")).alias("members")).collect())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "dealt", watched)
+    r = random.Random(29)
+    own = [sorted(r.sample(range(1 << 30), 20)) for _ in range(n)]
+    for k in range(10):
+        own[4000 + k] = sorted({*own[k][:19], 7 + k})  # 19 of 21
+    sets = spark.createDataFrame(list(enumerate(own)), "cls long, shingles array<int>").cache()
+    labels = sets.select("cls", F.col("cls").alias("comp"))
+    bands = sets.select("cls", F.array(F.lit(5).cast("long")).alias("bands"))
+    got = {x["cls"]: x["comp"] for x in near_duplicates.similar_groups(bands, labels, lambda needed: sets.join(needed, "cls"), 0.8).collect()}
+    assert got == {k: k - 4000 if 4000 <= k < 4010 else k for k in range(n)}
+    assert len(seen[-1]) == 20  # those who haven't led in the rounds before, in four lots, meet five chunks of members
+    assert max(x["leaders"] for tasks in seen for x in tasks) < 1.25 * near_duplicates.CHUNK
+    assert max(x["members"] for tasks in seen for x in tasks) < 1.25 * near_duplicates.CHUNK
+
+
 def test_bands_find_what_is_similar():
     """The share of pairs at the least similarity that meet in a bucket."""
     r, met, n = random.Random(5), 0, 0
