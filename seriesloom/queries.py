@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.expr import stable_id
-from seriesloom.operators import asof, growth, linking, publish, quality, resampling
+from seriesloom.operators import asof, chunks, growth, linking, publish, quality, resampling
 from seriesloom.operators.cleaning import clean
 from seriesloom.plans import inputs, journal, medallion, reports
 from seriesloom.plans.inputs import ANNUAL, EVENTS, EVENTS_NOW, NOW, RAW, REBASED
@@ -611,6 +611,21 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DAILY = f"""{EVENTS}, daily AS (SELECT indicator_id, CAST(date_trunc('day', ts) AS DATE) AS day, sum(value) AS v FROM ev WHERE value IS NOT NULL GROUP BY 1, 2)"""
 
 
+@registered("""WITH s AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'ALL' ELSE 'SUPP.' || CAST(l_suppkey AS VARCHAR) END AS indicator_id, l_shipdate::TIMESTAMP AS "timestamp", l_orderkey AS order_id, sum(l_quantity) AS value FROM lineitem GROUP BY ALL)
+SELECT *, lag(value) OVER w AS previous, round(avg(value) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_average, sum(value) OVER (w ROWS UNBOUNDED PRECEDING) AS total, max(value) OVER (w ROWS UNBOUNDED PRECEDING) AS peak
+FROM s WINDOW w AS (PARTITION BY indicator_id ORDER BY "timestamp", order_id)""")
+def split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over the suppliers' quantities and a series with a third of all orders, cut into chunks of time."""
+    name = F.when(F.col("l_orderkey") % 3 == 0, "ALL").otherwise(F.concat(F.lit("SUPP."), F.col("l_suppkey").cast("string"))).alias("indicator_id")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    series = lines.groupBy(name, F.col("l_shipdate").cast("timestamp_ntz").alias("timestamp"), F.col("l_orderkey").alias("order_id")).agg(F.sum("l_quantity").alias("value"))
+    order = ("timestamp", "order_id")
+    chunked = chunks.split(series, order)
+    running = chunks.with_totals_before(chunked, {"total": ("sum", "value"), "peak": ("max", "value")}, order)
+    seen = {"previous": lambda w: F.lag("value").over(w), "moving_average": lambda w: F.round(F.avg("value").over(w.rowsBetween(-6, 0)), 6)}
+    return chunks.with_rows_before(running, 6, seen, order).drop("chunk")
+
+
 @registered(f"""WITH {_DAILY}, s AS (SELECT indicator_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM daily GROUP BY 1)
 SELECT indicator_id, CAST(day AS TIMESTAMP) AS "timestamp", round(last_value(v IGNORE NULLS) OVER (PARTITION BY indicator_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value FROM s LEFT JOIN daily USING (indicator_id, day)""")
 def upsample_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
