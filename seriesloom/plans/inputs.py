@@ -59,10 +59,10 @@ def raw(series: DataFrame) -> DataFrame:
     """Raw rows: a missing value in one of 17, later duplicates, rows of another series, and rows without a code."""
     value = F.when((F.col("k") + F.col("y")) % 17 != 0, F.col("value"))
     code = F.when(F.col("k") % 7 != 0, F.col("indicator_id"))
-    rows = series.select("indicator_id", "k", "y", code.alias("code"), value.alias("value"), F.lit(0).alias("copy"))
-    later = rows.filter("k % 11 = 0 AND y = 1997").withColumns({"value": F.col("value") + 1, "copy": F.lit(1)})
-    others = rows.filter("k % 13 = 0 AND y = 1996").withColumns({"code": F.lit("OTHER"), "copy": F.lit(2)})
-    return rows.unionByName(later).unionByName(others)
+    copies = F.array_compact(F.array(F.lit(0), F.when((F.col("k") % 11 == 0) & (F.col("y") == 1997), 1), F.when((F.col("k") % 13 == 0) & (F.col("y") == 1996), 2)))
+    # The copies come out of one reading of the series.
+    each = series.select("indicator_id", "k", "y", code.alias("code"), value.alias("value"), F.explode(copies).alias("copy"))
+    return each.withColumns({"code": F.when(F.col("copy") == 2, "OTHER").otherwise(F.col("code")), "value": F.when(F.col("copy") == 1, F.col("value") + 1).otherwise(F.col("value"))})
 
 
 RAW = """raw0 AS (SELECT indicator_id, k, y, ts, CASE WHEN k % 7 <> 0 THEN indicator_id END AS code, CASE WHEN (k + y) % 17 <> 0 THEN value END AS value, 0 AS copy FROM annual),
@@ -84,9 +84,11 @@ def payloads(series: DataFrame) -> DataFrame:
         F.lit("").alias("unit"),
         F.when(F.col("copy") == 1, "R").otherwise("").alias("obs_status"),
     )
-    pages = raw(series).groupBy("indicator_id", "k", page.alias("page")).agg(F.sort_array(F.collect_list(F.struct((-F.col("y")).alias("o"), F.col("copy").alias("c"), row.alias("row")))).alias("rows"))
+    # Rows become text before they meet, and meet in one shuffle of rows, not of lists.
+    texts = raw(series).select("indicator_id", "k", page.alias("page"), (-F.col("y")).alias("o"), F.col("copy").alias("c"), F.to_json(row).alias("row")).repartition("k")
+    pages = texts.groupBy("indicator_id", "k", "page").agg(F.sort_array(F.collect_list(F.struct("o", "c", "row"))).alias("rows"))
     meta = F.to_json(F.struct(F.col("page"), F.lit(2).alias("pages"), F.concat(F.lit("2000-01-"), F.lpad((F.col("k") % 28 + 1).cast("string"), 2, "0")).alias("lastupdated")))
-    body = F.concat(F.lit("["), meta, F.lit(","), F.to_json(F.transform("rows", lambda r: r["row"])), F.lit("]"))
+    body = F.concat(F.lit("["), meta, F.lit(",["), F.array_join(F.col("rows.row"), ","), F.lit("]]"))
     error = F.lit('[{"message":[{"id":"120","key":"Invalid value","value":"The parameter is not valid"}]}]')
     return pages.select("indicator_id", "page", F.when(F.col("k") % 29 == 0, error).when(F.col("k") % 31 == 0, "42").otherwise(body).alias("payload"))
 

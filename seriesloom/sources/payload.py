@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesloom import constants as K
@@ -40,15 +40,20 @@ def error_message(v: str = "v") -> Column:
     return F.coalesce(*out)
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns, worked out once a row: a filter above isn't pushed below the generator, so it doesn't repeat them."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def split_envelopes(payloads: DataFrame) -> Envelopes:
     """Meta and rows of each payload; a list of one has no rows, rows that are no list count as none, meta that is no object as empty."""
-    v = payloads.withColumn("v", F.try_parse_json("payload"))
-    kind = F.coalesce(F.schema_of_variant("v"), F.lit("NONE"))
-    v = v.withColumns({"kind": kind, "message": error_message()})
-    is_list, is_object = F.col("kind").startswith("ARRAY"), F.col("kind").startswith("OBJECT")
-    meta = F.when(is_list, _get("v", "$[0]", "variant")).otherwise(_get("v", "$.meta", "variant"))
-    rows = F.when(is_list, _get("v", "$[1]", "array<variant>")).otherwise(_get("v", "$.rows", "array<variant>"))
-    wrong = F.when(F.col("message").isNotNull(), F.col("message")).when(~(is_list | is_object), F.lit("payload is neither a list nor an object"))
+    v = _once(payloads, v=F.try_parse_json("payload"))
+    # Only what stands at the top is looked at: a schema of the whole payload would be read off all its rows.
+    v = _once(v, items=_get("v", "$", "array<variant>"), is_object=_get("v", "$", "map<string,variant>").isNotNull(), message=error_message())
+    is_list = F.col("items").isNotNull()
+    meta = F.when(is_list, F.get("items", F.lit(0))).otherwise(_get("v", "$.meta", "variant"))
+    rows = F.when(is_list, F.try_variant_get(F.get("items", F.lit(1)), "$", "array<variant>")).otherwise(_get("v", "$.rows", "array<variant>"))
+    wrong = F.when(F.col("message").isNotNull(), F.col("message")).when(~(is_list | F.col("is_object")), F.lit("payload is neither a list nor an object"))
     v = v.withColumn("problem", wrong)
     told = [c for c in ("bronze_id",) if c in payloads.columns]
     good = v.filter("problem IS NULL").select("indicator_id", "page", *told, F.when(F.schema_of_variant(meta).startswith("OBJECT"), meta).alias("meta"), F.coalesce(rows, F.array().cast("array<variant>")).alias("rows"))
@@ -63,8 +68,9 @@ def within_pages(good: DataFrame, max_pages: int = K.MAX_PAGES) -> tuple[DataFra
     it says nothing), and no more than the guard.
     """
     told = F.coalesce(F.try_variant_get("meta", "$.pages", "int"), F.lit(1))
-    first = good.groupBy("indicator_id").agg(F.min_by(told, "page").alias("pages"))
-    every = good.join(first, "indicator_id")
+    in_order = Window.partitionBy("indicator_id").orderBy(F.asc_nulls_last("page")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A window, so that pages aren't read twice to be joined with themselves.
+    every = good.withColumn("_told", told).withColumn("pages", F.first("_told").over(in_order)).drop("_told")
     most = F.least("pages", F.lit(max_pages))
     beyond = every.filter(F.col("page") > most)
     why = F.format_string("page %d of %d", "page", most)
