@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seriesloom import constants as K
 from seriesloom.functions.expr import blank_to_null, is_bad_number, is_missing, number, period_end, run_status, stable_id, unit_of
 from seriesloom.operators.quality import flag_outliers, keep_last, quality_report
+from seriesloom.shared import written
 
 PARSE_ERROR = "parse"
 
@@ -48,16 +49,17 @@ def clean(rows: DataFrame, now: datetime, unit: str | None = None) -> Cleaned:
 
     The report is made before missing values go, so that it describes the
     source.  A row that can't be parsed puts its whole series among the
-    violations.
+    violations.  The few broken series, the observations kept and those flagged
+    are written, so what several results share is worked out once.
     """
     own = parsed(relevant(rows))
-    broken = own.filter("problem IS NOT NULL").groupBy("indicator_id").agg(F.min("problem").alias("message"))
+    broken = written(own.filter("problem IS NOT NULL").groupBy("indicator_id").agg(F.min("problem").alias("message")))
     violations = broken.select("indicator_id", F.lit(PARSE_ERROR).alias("error_type"), "message")
     good = own.join(broken, "indicator_id", "left_anti").drop("problem", "message")
     past = F.col("timestamp") <= F.lit(now).cast("timestamp_ntz")
     known = ~is_missing(F.col("value"))
-    kept = keep_last(good.filter(past & known))
-    flagged = flag_outliers(kept)
+    kept = written(keep_last(good.filter(past & known)))
+    flagged = written(flag_outliers(kept))
     silver = flagged.withColumns({
         "unit": F.coalesce(F.lit(unit).cast("string"), F.col("unit")),
         "validation_status": F.when(F.col("is_outlier"), K.STATUS_FLAGGED).otherwise(K.STATUS_VALID),

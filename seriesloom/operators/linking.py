@@ -7,6 +7,7 @@ series is left out of the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -115,26 +116,49 @@ def growth_violations(frame: DataFrame, tolerance: float = K.GROWTH_TOLERANCE) -
     return bad.select("indicator_id", F.lit(LINK_ERROR).alias("error_type"), F.format_string("linking altered growth rates by %.6f", "worst").alias("message"), "worst")
 
 
-def _guarded(frame: DataFrame, tolerance: float = K.GROWTH_TOLERANCE) -> tuple[DataFrame, DataFrame]:
-    """The series that pass the growth guard, and violations for the others.  A window, so that the frame isn't made twice to be joined with itself."""
+def _measured(frame: DataFrame) -> DataFrame:
+    """With ``_worst``, the growth guard's measure of a series.  A window, so that the frame isn't made twice to be joined with itself."""
     deviation = F.abs(change("value") - change("original_value"))
     moved = frame.withColumn("_moved", F.when(~scale_changed() & is_finite(deviation), deviation))
-    worst = moved.withColumn("_worst", F.coalesce(F.max("_moved").over(_whole()), F.lit(0.0))).drop("_moved")
+    return moved.withColumn("_worst", F.coalesce(F.max("_moved").over(_whole()), F.lit(0.0))).drop("_moved")
+
+
+def _guarded(frame: DataFrame, tolerance: float = K.GROWTH_TOLERANCE) -> tuple[DataFrame, DataFrame]:
+    """The series that pass the growth guard, and violations for the others."""
+    return _passing(_measured(frame), tolerance)
+
+
+def _passing(worst: DataFrame, tolerance: float = K.GROWTH_TOLERANCE) -> tuple[DataFrame, DataFrame]:
     broken = worst.filter(F.col("_worst") > tolerance).groupBy("indicator_id").agg(F.max("_worst").alias("_worst"))
     return worst.filter(F.col("_worst") <= tolerance).drop("_worst"), _violation(broken, F.format_string("linking altered growth rates by %.6f", "_worst"))
 
 
-def link_at_breaks(series: DataFrame, breaks: DataFrame) -> Linked:
+def link_columns() -> dict[str, Column]:
+    """What the breaks of a series tell of its link."""
+    linked = F.col("breaks").isNotNull()
+    return {
+        "linking_method": F.when(linked, F.lit(K.METHOD_LEVEL_SHIFT)),
+        "avg_confidence_score": F.when(linked, confidence(F.lit(0.0), F.lit(None).cast("double"))),
+        "base_year_from": F.get("breaks", F.lit(0))["base_year_from"],
+        "base_year_to": F.element_at("breaks", -1)["base_year_to"],
+    }
+
+
+def link_at_breaks(series: DataFrame, breaks: DataFrame, once: Callable[[DataFrame], DataFrame] | None = None) -> Linked:
     """Each older segment times the product of the junction ratios after it.
 
     Series without breaks pass through unlinked and without confidence.  A
-    series' few breaks travel with its rows as one array, by one join.
+    series' few breaks travel with its rows as one array, by one join.  Who
+    takes more than the frame gives ``once``: it stores the rows, with whatever
+    columns it adds, so that frame, summary and violations are read from there.
     """
     entry = F.struct("timestamp", "base_year_from", "base_year_to", "detected_by", "level_ratio")
     known = breaks.groupBy("indicator_id").agg(
         F.array_sort(F.collect_list(entry)).alias("breaks"),
         F.min(F.when(F.col("level_ratio").isNull(), F.col("timestamp"))).alias("undefined_at"),
     )
+    if once is not None:
+        known = written(known)
     undefined = known.filter("undefined_at IS NOT NULL")
     no_ratio = _violation(undefined, F.concat(F.lit("cannot chain-link across the break at "), F.date_format("undefined_at", "yyyy-MM-dd"), F.lit(": junction ratio is undefined")))
     rows = prepared(series).join(known, "indicator_id", "left").filter("undefined_at IS NULL").drop("undefined_at")
@@ -142,21 +166,22 @@ def link_at_breaks(series: DataFrame, breaks: DataFrame) -> Linked:
     ahead = F.filter(F.reverse("breaks"), lambda b: b["timestamp"] > F.col("timestamp"))
     rows = rows.withColumn("_factor", F.coalesce(F.aggregate(ahead, F.lit(1.0), lambda product, b: product * b["level_ratio"]), F.lit(1.0)))
     rows = rows.withColumns({"value": F.col("value") * F.col("_factor"), "scale_factor": F.col("scale_factor") * F.col("_factor"), "is_linked": F.abs(F.col("_factor") - 1) > K.SCALE_EPSILON}).drop("_factor")
-    rows, broken = _guarded(rows)
-    linked = F.col("breaks").isNotNull()
+    rows = _measured(rows)
+    rows, broken = _passing(once(rows) if once is not None else rows)
+    linked, told = F.col("breaks").isNotNull(), link_columns()
     summary = (
         rows.groupBy("indicator_id")
         .agg(F.count_if("is_linked").alias("records_linked"), F.first("breaks").alias("breaks"))
         .select(
             "indicator_id",
             linked.alias("is_chain_linked"),
-            F.when(linked, F.lit(K.METHOD_LEVEL_SHIFT)).alias("linking_method"),
+            told["linking_method"].alias("linking_method"),
             F.when(linked, F.col("records_linked")).otherwise(0).cast("long").alias("records_linked"),
-            F.when(linked, confidence(F.lit(0.0), F.lit(None).cast("double"))).alias("avg_confidence_score"),
+            told["avg_confidence_score"].alias("avg_confidence_score"),
             F.when(linked, F.lit(0)).cast("int").alias("overlap_period_months"),
             F.lit(None).cast("double").alias("growth_rate_variance"),
-            F.get("breaks", F.lit(0))["base_year_from"].alias("base_year_from"),
-            F.element_at("breaks", -1)["base_year_to"].alias("base_year_to"),
+            told["base_year_from"].alias("base_year_from"),
+            told["base_year_to"].alias("base_year_to"),
             "breaks",
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom import constants as K
@@ -21,7 +21,19 @@ def _joined(linked: Linked, silver: DataFrame, domains: DataFrame | None) -> Dat
         out = out.join(domains.select("indicator_id", F.col("domain").alias("_domain")), "indicator_id", "left")
     else:
         out = out.withColumn("_domain", F.lit(None).cast("string"))
-    return out.withColumn("domain", F.coalesce(F.nullif(F.trim("_domain"), F.lit("")), F.lit(K.DEFAULT_DOMAIN))).drop("_domain")
+    return _with_domain(out)
+
+
+def _with_domain(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("domain", F.coalesce(F.nullif(F.trim("_domain"), F.lit("")), F.lit(K.DEFAULT_DOMAIN))).drop("_domain")
+
+
+def described(silver: DataFrame, domains: DataFrame) -> DataFrame:
+    """Silver observations with what their published rows need: their ids, their series' first unit and frequency, its domain."""
+    whole = Window.partitionBy("indicator_id").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = silver.select("indicator_id", "timestamp", "value", F.col("id").alias("silver_id"), "unit", "frequency")
+    out = _with_domain(own.join(domains.select("indicator_id", F.col("domain").alias("_domain")), "indicator_id", "left"))
+    return out.withColumns({c: F.first(c).over(whole) for c in ("unit", "frequency")})
 
 
 def _confidence(is_linked: Column) -> Column:
@@ -33,7 +45,12 @@ _COLUMNS = ["id", "indicator_id", "timestamp", "value", "original_value", "is_ch
 
 def level_records(linked: Linked, silver: DataFrame, domains: DataFrame | None = None, run_id: str = "") -> DataFrame:
     """Gold rows of the levels; observations without a silver row are left out."""
-    rows = _joined(linked, silver, domains).filter("silver_id IS NOT NULL")
+    return levels_of(_joined(linked, silver, domains), run_id)
+
+
+def levels_of(rows: DataFrame, run_id: str = "") -> DataFrame:
+    """Gold rows of the levels of observations that carry their silver row, link and domain."""
+    rows = rows.filter("silver_id IS NOT NULL")
     how = F.to_json(F.struct("linking_method", "scale_factor", "base_year_from", "base_year_to"))
     return rows.withColumns({
         "id": stable_id(F.lit(run_id), "indicator_id", "timestamp"),
@@ -49,13 +66,27 @@ def growth_records(linked: Linked, silver: DataFrame, domains: DataFrame | None
     ``original_value`` is the growth of the unlinked values, null where the
     two periods lie on different bases or it isn't finite.
     """
-    rows = _joined(linked, silver, domains).withColumns({
+    return growth_of(with_rates(_joined(linked, silver, domains)), run_id)
+
+
+def with_rates(rows: DataFrame) -> DataFrame:
+    """Linked observations with their change against the one before."""
+    return rows.withColumns({
         "rate": 100 * change("value"),
         "raw_rate": 100 * change("original_value"),
         "crossed": scale_changed(),
         "from_period": previous("timestamp"),
         "either": F.col("is_linked") | F.coalesce(previous("is_linked"), F.lit(False)),
     })
+
+
+def is_grown() -> Column:
+    """Whether an observation has a growth row."""
+    return F.coalesce(is_finite(F.col("rate")), F.lit(False)) & F.col("silver_id").isNotNull()
+
+
+def growth_of(rows: DataFrame, run_id: str = "") -> DataFrame:
+    """Gold rows of the growth of observations ``with_rates``."""
     rows = rows.filter(is_finite(F.col("rate")) & F.col("silver_id").isNotNull())
     how = F.struct(
         F.col("indicator_id").alias("derived_from"),

@@ -93,6 +93,12 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.payloads(inputs.annual(spark, sf_dir))
 
 
+def _landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Payloads and a catalog without base years, out of one reading of the lines: a run takes each several times."""
+    series = written(inputs.annual(spark, sf_dir))
+    return inputs.payloads(series), written(inputs.catalog(series).withColumn("base_years", F.array().cast("array<int>")))
+
+
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of all payloads, stored once as in a run: cleaning reads them several times."""
     return written(payload.raw_rows(payload.split_envelopes(_payloads(spark, sf_dir)).good).drop("is_object"))
@@ -342,8 +348,7 @@ def catalog_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p.indicator_id, 'Part ' || any_value(p.k) AS name, min(s.ts) AS availability_start, max(s.ts) AS availability_end, count(DISTINCT p.indicator_id) AS n_rows FROM annual p LEFT JOIN s ON s.indicator_id = p.indicator_id GROUP BY p.indicator_id""")
 def catalog_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored catalog's current rows after two runs: one a series, with the range of all its observations."""
-    root, landed = scratch(spark), _payloads(spark, sf_dir)
-    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
+    root, (landed, catalog) = scratch(spark), _landing(spark, sf_dir)
     for page in (2, 1):
         medallion.run(spark, landed.filter(F.col("page") == page), catalog, root, NOW, f"page{page}")
     now = medallion.catalog_now(spark, root)
@@ -353,8 +358,7 @@ def catalog_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""WITH {ANNUAL}, {RAW} SELECT indicator_id, ts AS "timestamp", round(value, 2) AS value FROM silver WHERE {_GOOD} AND y < 1998""")
 def run_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver, read back after a run over the older pages, one over the newer pages that broke off once silver was written, and its recovery."""
-    root, landed = scratch(spark), _payloads(spark, sf_dir)
-    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
+    root, (landed, catalog) = scratch(spark), _landing(spark, sf_dir)
     medallion.run(spark, landed.filter("page = 2"), catalog, root, NOW, "whole")
     journal.begin(spark, root, "broken", NOW)
     newer = written(medallion.stamped(medallion.to_silver(medallion.landed(landed.filter("page = 1"), "broken", NOW), NOW).rows, NOW))
@@ -455,8 +459,8 @@ SELECT count(*) AS indicators, count(*) FILTER (NOT bad) AS succeeded, count(*)
     CASE WHEN count(*) FILTER (bad) = 0 THEN 'success' WHEN count(*) FILTER (NOT bad) > 0 THEN 'partial' ELSE 'failed' END AS status, printf('%d of %d indicators succeeded, %d rows written', count(*) FILTER (NOT bad), count(*), CAST(sum(w) AS BIGINT)) AS report FROM o""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dry run over all landed payloads."""
-    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
-    outcomes = medallion.run(spark, _payloads(spark, sf_dir), catalog, "", NOW, "dry", dry_run=True)
+    landed, catalog = _landing(spark, sf_dir)
+    outcomes = medallion.run(spark, landed, catalog, "", NOW, "dry", dry_run=True)
     return reports.run_summary(outcomes)
 
 
@@ -507,9 +511,7 @@ def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT indicator_id, ts AS "timestamp", round(value, 2) AS value, 'USD' AS unit FROM s UNION ALL SELECT 'WB.' || indicator_id || '.YOY', ts, round(100 * (value / before - 1), 4) + 0.0, 'annual %' FROM g WHERE before <> 0""")
 def stored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold, read back after two runs: the older pages' observations first, then the newer ones'."""
-    root = scratch(spark)
-    landed = _payloads(spark, sf_dir)
-    catalog = inputs.catalog(inputs.annual(spark, sf_dir)).withColumn("base_years", F.array().cast("array<int>"))
+    root, (landed, catalog) = scratch(spark), _landing(spark, sf_dir)
     for page in (2, 1):
         medallion.run(spark, landed.filter(F.col("page") == page), catalog, root, NOW, f"page{page}")
     digits = F.when(F.col("unit") == "USD", F.round("value", 2)).otherwise(F.round("value", 4) + 0.0)
@@ -541,7 +543,7 @@ def gold_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""WITH {ANNUAL}, {RAW} SELECT indicator_id, ts AS "timestamp" FROM silver WHERE {_GOOD} AND k % 10 = 0""")
 def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows whose bronze row isn't there, after the payloads of one part in ten were lost."""
-    bronze = medallion.landed(_payloads(spark, sf_dir), "lineage")
+    bronze = written(medallion.landed(_payloads(spark, sf_dir), "lineage"))
     silver = medallion.to_silver(bronze, NOW).rows
     kept = bronze.filter(~F.endswith("indicator_id", F.lit("0")))
     return reports.orphans(silver, kept.select("bronze_id"), "bronze_id", "bronze_id").select("indicator_id", "timestamp")

@@ -35,9 +35,10 @@ def append_run(df: DataFrame, path: str, run_id: str) -> None:
 def merged(old: DataFrame, new: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     """Old and new rows, one per key: the new one where there is one, with the old one's ``keep`` columns."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    newest = Window.partitionBy(*keys).orderBy(F.col("_new").desc())
-    oldest = Window.partitionBy(*keys).orderBy("_new").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = both.withColumns({f"_{c}": F.first(c).over(oldest) for c in keep}).withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
+    # One sort for both: the oldest row is the first so far, the newest has none after it.
+    by_age = Window.partitionBy(*keys).orderBy("_new")
+    so_far = by_age.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = both.withColumns({**{f"_{c}": F.first(c).over(so_far) for c in keep}, "_next": F.lead("_new").over(by_age)}).filter("_next IS NULL")
     return out.withColumns({c: F.col(f"_{c}") for c in keep}).select(*old.columns)
 
 

@@ -82,7 +82,7 @@ def commit(rows: DataFrame, path: str, touched: DataFrame, run_id: str = "", bas
     emptied = {r[0]: None for r in touched.select(BUCKET).distinct().collect()}
     folder = f"write={number:012d}-{uuid.uuid4().hex[:12]}"
     keys = [BUCKET, *order]
-    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.option("compression", "zstd").partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
     present = [int(n.partition("=")[2]) for n in files.names(spark, f"{path}/data/{folder}") if n.startswith(f"{BUCKET}=")]
     if not set(present) <= set(emptied):
         raise ValueError("rows outside the touched buckets")
