@@ -45,7 +45,9 @@ def _assembler(max_pages: int, wait_ms: int) -> Callable[[tuple, Iterator[pd.Dat
             return
         for batch in batches:
             # Of two payloads of one page the later one counts, in the order of arrival and then of the payload.
-            for page, payload, pages_told in batch.sort_values(["page", "payload"])[["page", "payload", "told"]].itertuples(index=False):
+            # Plain lists: a group has few rows, and sorting frames would cost more than all else.
+            rows = zip(batch["page"].tolist(), batch["payload"].tolist(), batch["told"].tolist(), strict=True)
+            for page, payload, pages_told in sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or "")):
                 held[int(page)] = payload
                 if page == 1:
                     told = 1 if pd.isna(pages_told) else int(pages_told)
