@@ -619,13 +619,12 @@ FROM s WINDOW w AS (PARTITION BY indicator_id ORDER BY "timestamp", order_id)"""
 def split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows over the suppliers' quantities and a series with a third of all orders, cut into chunks of time."""
     name = F.when(F.col("l_orderkey") % 3 == 0, "ALL").otherwise(F.concat(F.lit("SUPP."), F.col("l_suppkey").cast("string"))).alias("indicator_id")
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    series = lines.groupBy(name, F.col("l_shipdate").cast("timestamp_ntz").alias("timestamp"), F.col("l_orderkey").alias("order_id")).agg(F.sum("l_quantity").alias("value"))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(name, F.col("l_shipdate").cast("timestamp_ntz").alias("timestamp"), F.col("l_orderkey").alias("order_id"), "l_quantity")
     order = ("timestamp", "order_id")
-    chunked = chunks.split(series, order)
-    running = chunks.with_totals_before(chunked, {"total": ("sum", "value"), "peak": ("max", "value")}, order)
+    chunked = chunks.split(lines, order, within=lambda dealt: dealt.groupBy(chunks.KEY, *order).agg(F.sum("l_quantity").alias("value")))
     seen = {"previous": lambda w: F.lag("value").over(w), "moving_average": lambda w: F.round(F.avg("value").over(w.rowsBetween(-6, 0)), 6)}
-    return chunks.with_rows_before(running, 6, seen, order).drop("chunk")
+    backward = chunks.with_rows_before(chunked, 6, seen, order)
+    return chunks.with_totals_before(chunked, {"total": ("sum", "value"), "peak": ("max", "value")}, order, onto=backward).drop("chunk")
 
 
 @registered(f"""WITH {_DAILY}, s AS (SELECT indicator_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM daily GROUP BY 1)

@@ -55,6 +55,41 @@ def test_a_hot_series_is_shared_out(spark):
     assert chunked.filter("indicator_id = 'hot'").select("chunk").distinct().count() >= 4
 
 
+def test_a_task_sorts_one_range(spark):
+    """Hashed to tasks, or joined because they are small, ranges would meet in one."""
+    chunked = chunks.split(table(spark, 3000), ranges=12)
+    kinds = {"total": ("sum", "value")}
+
+    def apart(got):
+        met = got.select(F.spark_partition_id().alias("task"), "chunk").distinct().collect()
+        return len(met) == len({x["task"] for x in met}) == 12
+
+    backward = chunks.with_rows_before(chunked, 2, {"before": lambda w: F.lag("value", 2).over(w)})
+    assert apart(backward)
+    assert apart(chunks.with_totals_before(chunked, kinds))
+    assert apart(chunks.with_totals_before(chunked, kinds, onto=backward))
+
+
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "MOST", 100, raising=False)
+    monkeypatch.setattr(chunks, "LEAST", 10, raising=False)
+    sizes = [x["count"] for x in chunks.split(table(spark, 3000)).groupBy("chunk").count().collect()]
+    assert max(sizes) <= 200
+    assert [chunks.ranges_of(table(spark, n)) for n in (0, 15, 300, 3000)] == [1, 2, 4, 30]
+
+
+def test_rows_made_within_their_range(spark):
+    """An aggregate of the dealt rows, then totals onto the rows that look back: all as by plain windows."""
+    rows = table(spark, 600).unionByName(table(spark, 600, seed=5))
+    added = lambda df: df.groupBy("indicator_id", "timestamp").agg(F.sum("value").alias("value"))
+    chunked = chunks.split(rows, ranges=20, within=added)
+    backward = chunks.with_rows_before(chunked, 3, {"before": lambda w: F.lag("value", 3).over(w)})
+    got = chunks.with_totals_before(chunked, {"total": ("sum", "value")}, onto=backward)
+    assert got.columns == [*chunked.columns, "before", "total"]
+    w = growth.in_time()
+    assert same(got, added(rows).withColumns({"before": F.lag("value", 3).over(w), "total": F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))}))
+
+
 def test_what_chunks_refuse(spark):
     series = table(spark, 5)
     with pytest.raises(ValueError):
