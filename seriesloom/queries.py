@@ -126,16 +126,17 @@ def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""WITH {ANNUAL}, {RAW}, p AS (SELECT indicator_id, count(*) AS n_rows, count(DISTINCT y >= 1998) AS pages FROM raw WHERE {_GOOD} GROUP BY 1) SELECT indicator_id, n_rows FROM p WHERE pages = 2""")
 def streamed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series whose pages came in three micro-batches, second pages of half the series first, put together in the stream's state."""
-    root, landed = scratch(spark), _payloads(spark, sf_dir)
+    root, landed = scratch(spark), written(_payloads(spark, sf_dir))
     odd = F.regexp_extract("indicator_id", r"(\d+)$", 1).cast("int") % 2 == 1
-    for part in (odd & (F.col("page") == 2), (F.col("page") == 1) & ~odd, odd == (F.col("page") == 1)):
-        landed.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/landed")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
 
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
-    pages.started(pages.assembled(stream).writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True), spark).awaitTermination()
+    # A batch takes all files that landed since the one before it, however many tasks wrote them; the state goes on from the checkpoint.
+    for part in (odd & (F.col("page") == 2), (F.col("page") == 1) & ~odd, odd == (F.col("page") == 1)):
+        landed.filter(part).write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/landed")
+        pages.started(pages.assembled(stream).writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True), spark).awaitTermination()
     ready = spark.read.parquet(f"{root}/out").filter(F.col("status") == pages.COMPLETE).drop("status", "batch")
     whole = payload.concatenated(payload.split_envelopes(ready).good)
     # An error payload has no second page, so it is complete by itself.

@@ -79,11 +79,11 @@ def within_pages(good: DataFrame, max_pages: int = K.MAX_PAGES) -> tuple[DataFra
 
 def concatenated(good: DataFrame, max_pages: int = K.MAX_PAGES) -> DataFrame:
     """(indicator_id, meta, rows): all pages' rows in page order and the first page's meta; pages past meta.pages or the guard are left out."""
-    first = good.groupBy("indicator_id").agg(F.min_by("meta", "page").alias("meta"))
     pages, _ = within_pages(good, max_pages)
-    parts = pages.groupBy("indicator_id").agg(F.array_sort(F.collect_list(F.struct("page", F.to_json("rows").alias("rows")))).alias("parts"))
+    # Where any page counts, the first one does.  Pages without a series are no series.
+    parts = pages.filter("indicator_id IS NOT NULL").groupBy("indicator_id").agg(F.array_sort(F.collect_list(F.struct("page", F.to_json("rows").alias("rows")))).alias("parts"), F.min_by("meta", "page").alias("meta"))
     joined = F.flatten(F.transform("parts", lambda p: F.from_json(p["rows"], "array<string>")))
-    return parts.join(first, "indicator_id").select("indicator_id", "meta", joined.alias("rows"))
+    return parts.select("indicator_id", "meta", joined.alias("rows"))
 
 
 def raw_rows(good: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:

@@ -4,8 +4,10 @@ Each series' pages wait in the state of a stream until its first page has come
 and with it all pages that its meta asks for.  They then leave together.  A page
 past that count, or past the guard, leaves as one that doesn't count; pages of
 a series for which nothing came for too long leave as incomplete, with the next
-batch that brings any page.  State is one row per series that waits, of no more
-pages than the guard.
+batch that brings any page.  State is one row per lot of series by hash, with
+the pages of those of its series that wait, each of no more pages than the
+guard: a call and a state update per series would cost more than all else.  A
+batch rewrites the lots that it has pages of.
 """
 
 from __future__ import annotations
@@ -27,53 +29,60 @@ from seriesloom.sinks import tables
 from seriesloom.streaming.ingest import SCHEMA
 
 COMPLETE, BEYOND, INCOMPLETE = "complete", "page", "incomplete"
+#: Lots of series by hash.  A stream goes on from its checkpoint only with the number that it began with.
+LOTS = 1 << 12
 _OUTPUT = "indicator_id string, page int, payload string, status string"
-_STATE = "pages array<int>, payloads array<string>, told int"
+_STATE = "ids array<string>, pages array<int>, payloads array<string>, told array<int>, until array<bigint>"
 
 
 def _assembler(max_pages: int, wait_ms: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    def out(indicator: str, held: dict[int, str], status: str) -> pd.DataFrame:
-        return pd.DataFrame({"indicator_id": [indicator] * len(held), "page": list(held), "payload": list(held.values()), "status": [status] * len(held)})
-
     def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        indicator = key[0]
-        pages, payloads, told = state.get if state.exists else ([], [], None)
-        held: dict[int, str] = dict(zip(map(int, pages), payloads, strict=True))
-        if state.hasTimedOut:
-            state.remove()
-            yield out(indicator, dict(sorted(held.items())), INCOMPLETE)
-            return
+        now, out = state.getCurrentProcessingTimeMs(), []
+        # By series: its pages so far, how many it has if known, and when it has waited too long.
+        waiting: dict[str, tuple[dict[int, str], int | None, int]] = {}
+        if state.exists:
+            for indicator, page, payload, told, until in zip(*state.get, strict=True):
+                waiting.setdefault(indicator, ({}, told, until))[0][page] = payload
+        # Of two payloads of one page that of the later batch counts, and of one batch the greater.
+        came: dict[str, dict[int, tuple[tuple[bool, str], Any]]] = {}
         for batch in batches:
-            # Of two payloads of one page the later one counts, in the order of arrival and then of the payload.
-            # Plain lists: a group has few rows, and sorting frames would cost more than all else.
-            rows = zip(batch["page"].tolist(), batch["payload"].tolist(), batch["told"].tolist(), strict=True)
-            for page, payload, pages_told in sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or "")):
-                held[int(page)] = payload
+            for indicator, page, payload, told in zip(*(batch[c].tolist() for c in ("indicator_id", "page", "payload", "told")), strict=True):
+                own, page, rank = came.setdefault(indicator, {}), int(page), (payload is None, payload or "")
+                if page not in own or rank > own[page][0]:
+                    own[page] = rank, told
+        for indicator, own in came.items():
+            held, told, _ = waiting.pop(indicator, ({}, None, 0))
+            for page, ((missing, payload), pages_told) in own.items():
+                held[page] = None if missing else payload
                 if page == 1:
                     told = 1 if pd.isna(pages_told) else int(pages_told)
-        most = max_pages if told is None else min(told, max_pages)
-        beyond = {p: held.pop(p) for p in sorted(held) if p > most}
-        if beyond:
-            yield out(indicator, beyond, BEYOND)
-        if told is not None and all(p in held for p in range(1, most + 1)):
-            if state.exists:
-                state.remove()
-            yield out(indicator, dict(sorted(held.items())), COMPLETE)
-        elif held:
-            state.update((list(held), list(held.values()), told))
-            state.setTimeoutDuration(wait_ms)
+            most = max_pages if told is None else min(told, max_pages)
+            out += ((indicator, p, held.pop(p), BEYOND) for p in sorted(held) if p > most)
+            if told is not None and all(p in held for p in range(1, most + 1)):
+                out += ((indicator, p, held[p], COMPLETE) for p in sorted(held))
+            elif held:
+                waiting[indicator] = held, told, now + wait_ms
+        for indicator in [i for i, (_, _, until) in waiting.items() if until < now and i not in came]:
+            held = waiting.pop(indicator)[0]
+            out += ((indicator, p, held[p], INCOMPLETE) for p in sorted(held))
+        if waiting:
+            rows = [(i, p, payload, told, until) for i, (held, told, until) in waiting.items() for p, payload in held.items()]
+            state.update(tuple(map(list, zip(*rows, strict=True))))
+            state.setTimeoutDuration(max(1, min(until for _, _, until in waiting.values()) - now))
         elif state.exists:
             state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["indicator_id", "page", "payload", "status"])
 
     return step
 
 
-def assembled(pages: DataFrame, wait_ms: int = 3_600_000, max_pages: int = K.MAX_PAGES) -> DataFrame:
+def assembled(pages: DataFrame, wait_ms: int = 3_600_000, max_pages: int = K.MAX_PAGES, lots: int = LOTS) -> DataFrame:
     """(indicator_id, page, payload, status) of a stream of payloads (indicator_id, page, payload); see the module."""
     v = F.try_parse_json("payload")
     told = F.coalesce(F.try_variant_get(v, "$[0].pages", "int"), F.try_variant_get(v, "$.meta.pages", "int"))
-    keyed = pages.select("indicator_id", "page", "payload", told.alias("told"))
-    return keyed.groupBy("indicator_id").applyInPandasWithState(_assembler(max_pages, wait_ms), _OUTPUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    keyed = pages.select(F.pmod(F.xxhash64("indicator_id"), F.lit(lots)).alias("lot"), "indicator_id", "page", "payload", told.alias("told"))
+    return keyed.groupBy("lot").applyInPandasWithState(_assembler(max_pages, wait_ms), _OUTPUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def started(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:

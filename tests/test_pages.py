@@ -1,9 +1,15 @@
 """Pages that come out of order in a stream."""
 
+import itertools
+import os
+import random
 from datetime import datetime
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from seriesloom import queries
 from seriesloom.plans import medallion
 from seriesloom.sinks import versioned
 from seriesloom.streaming import pages
@@ -77,3 +83,93 @@ def test_a_run_follows_when_the_pages_are_there(spark, tmp_path):
     rows = [sorted((r["timestamp"], r["value"]) for r in versioned.read(spark, f"{r}/gold_analytical").filter(F.col("indicator_id") == "A").collect()) for r in (root, both)]
     assert rows[0] == rows[1] and len(rows[0]) == 6
     assert [(r["page"], r["error_type"]) for r in spark.read.parquet(f"{root}/quarantine").collect()] == [(9, "page")]
+
+
+class Clocked:
+    """The state of a lot, with a clock that the test sets."""
+
+    def __init__(self):
+        self.now, self.held, self.timeout = 0, None, None
+
+    exists = property(lambda self: self.held is not None)
+    get = property(lambda self: self.held)
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def setTimeoutDuration(self, ms):
+        assert ms > 0
+        self.timeout = self.now + ms
+
+    def update(self, held):
+        self.held = held
+
+    def remove(self):
+        self.held = self.timeout = None
+
+
+def stepped(step, state, now, rows):
+    """What the lot puts out at a time, rows being (indicator, page, payload, told)."""
+    state.now = now
+    frames = [pd.DataFrame(rows, columns=["indicator_id", "page", "payload", "told"])] if rows else []
+    return sorted(tuple(r) for frame in step((0,), iter(frames), state) for r in frame.itertuples(index=False))
+
+
+def test_series_of_a_lot_wait_each_for_itself():
+    state, step = Clocked(), pages._assembler(100, 10)
+    assert stepped(step, state, 0, [("A", 2, "a2", None), ("B", 3, "b3", None)]) == []
+    assert stepped(step, state, 5, [("C", 2, "c2", None), ("B", 2, "b2", None)]) == []
+    # A has waited too long; B came again since, and C later; D comes whole.
+    assert state.timeout == 10
+    assert stepped(step, state, 11, [("D", 1, "d1", None)]) == [("A", 2, "a2", "incomplete"), ("D", 1, "d1", "complete")]
+    # C is overdue as well, but its page is there; nothing came for B.
+    assert stepped(step, state, 16, [("C", 1, "c1", 2)]) == [("B", 2, "b2", "incomplete"), ("B", 3, "b3", "incomplete"), ("C", 1, "c1", "complete"), ("C", 2, "c2", "complete")]
+    assert not state.exists
+
+
+def test_of_two_payloads_the_greater_of_the_later_batch_counts():
+    state, step = Clocked(), pages._assembler(100, 10)
+    assert stepped(step, state, 0, [("A", 2, "z", None)]) == []
+    came = [("A", 2, "x", None), ("A", 2, "y", None), ("A", 1, "a", 9), ("A", 1, "b", 2)]
+    for rows in itertools.permutations(came):
+        again = Clocked()
+        again.held = state.held
+        assert stepped(step, again, 1, list(rows)) == [("A", 1, "b", "complete"), ("A", 2, "y", "complete")]
+
+
+@pytest.mark.parametrize("lots", [3, pages.LOTS])
+def test_lots_of_series_in_the_state(spark, tmp_path, lots):
+    schema, landed = "indicator_id string, page int, payload string", str(tmp_path / "in")
+    counts = {f"S{i}": i % 4 + 1 for i in range(200)}
+    every = [(s, p, '[{"pages":%d},["%s %d"]]' % (n, s, p)) for s, n in counts.items() for p in range(1, n + 1)]
+    random.Random(4).shuffle(every)
+    batches = [every[:250], every[250:400], every[400:]]
+    seen: dict[int, list] = {}
+    held = []
+    for batch in batches:
+        # Each batch in a run of its own, from the checkpoint of the one before.
+        spark.createDataFrame(batch, schema).repartition(3).write.mode("append").parquet(landed)
+        writer = pages.assembled(spark.readStream.schema(schema).parquet(landed), lots=lots).writeStream.foreachBatch(lambda df, n: seen.setdefault(n, []).extend(map(tuple, df.collect())))
+        query = pages.started(writer.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True), spark)
+        query.awaitTermination()
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    there: set = set()
+    for n, batch in enumerate(batches):
+        before = {s for s, k in counts.items() if all((s, p) in there for p in range(1, k + 1))}
+        there |= {(s, p) for s, p, _ in batch}
+        done = {s for s, k in counts.items() if all((s, p) in there for p in range(1, k + 1))} - before
+        assert sorted(seen.get(n, [])) == sorted((s, p, payload, "complete") for s, p, payload in every if s in done)
+    assert max(held) <= lots and held[-1] == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+def test_a_landed_batch_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch", lambda _: str(tmp_path))
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        queries.streamed_pages(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset(merged)
+    assert len(list((tmp_path / "landed").glob("*.parquet"))) > 3
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 3
